@@ -280,7 +280,7 @@ def complete_days(
     tagged = df.withColumn(day, F.to_date(ts))
     full = (
         tagged.groupBy(*by, day)
-        .agg(F.bit_or(F.shiftleft(F.lit(1), F.hour(ts))).alias("_hours"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(ts))).alias("_hours"))
         .filter(F.bit_count("_hours") == hours)
         .select(*by, day)
     )

@@ -317,7 +317,8 @@ def terrain(grid: DataFrame, by: Sequence[str], z: str = "z", cell: float = 1.0,
     )
     gx = F.when(F.col("_n9") == 9, F.col("_e") / (8.0 * cell))
     gy = F.when(F.col("_n9") == 9, F.col("_n") / (8.0 * cell))
-    aspect = F.atan2(-gx, -gy)
+    # Downslope direction; flat ground counts as 0 degrees.
+    aspect = F.when((gx == 0) & (gy == 0), F.lit(0.0)).otherwise(F.atan2(-gx, -gy))
     return got.filter("z is not null").select(
         *by,
         "x",

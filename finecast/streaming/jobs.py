@@ -72,7 +72,7 @@ def daily_completeness(stream: DataFrame, ts: str, by: Sequence[str], value: str
         .groupBy(F.window(ts, "1 day").alias("w"), *by)
         .agg(
             F.count(F.lit(1)).alias("n_rows"), F.avg(value).alias("mean_value"), F.sum(value).alias("sum_value"),
-            F.bit_count(F.bit_or(F.shiftleft(F.lit(1), F.hour(ts)))).alias("n_hours"),
+            F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour(ts)))).alias("n_hours"),
         )
         .select(F.to_date("w.start").alias("day"), *by, "n_rows", "mean_value", "sum_value", "n_hours",
                 (F.col("n_hours") == 24).alias("complete"))
