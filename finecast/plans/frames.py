@@ -126,14 +126,12 @@ class Frames:
     @cached_property
     def predictions(self) -> DataFrame:
         """(block, date, horizon) with truth, raw and corrected rain and a split by distinct date."""
-        p = self.forecast.join(
-            self.daily.select("block_id", F.col("date").alias("target_date"), F.col("rain").alias("actual")), ["block_id", "target_date"]
+        p = self.daily.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(7)))).selectExpr(
+            "block_id", "date", "dn", "horizon", "rain as actual", "rain * (8 + (dn + horizon) % 5) / 10D as raw",
+            "((dn * 13 + horizon * 5) % 101) / 100D as prob",
         ).selectExpr(
-            "block_id", "target_date as date", "lead as horizon", "actual", "rain_f as raw",
-            "greatest(0D, rain_f + ((dn * 7 + lead * 3) % 11 - 5) / 4D) as corrected_any", "rain_f is null as no_raw",
-            "((dn * 13 + lead * 5) % 101) / 100D as prob",
-        ).selectExpr(
-            "block_id", "date", "horizon", "actual", "raw", "case when not no_raw then corrected_any end as corrected", "prob"
+            "block_id", "date", "horizon", "actual", "raw",
+            "case when raw is not null then greatest(0D, raw + ((dn * 7 + horizon * 3) % 11 - 5) / 4D) end as corrected", "prob",
         )
         return date_split(p, "date")
 
