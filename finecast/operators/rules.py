@@ -168,10 +168,10 @@ def planning_flags(mean_rain: Column, threshold: Column, soil_class: Column) ->
 def question_facts(fc: DataFrame, by: Sequence[str], date_col: str, rain: str, wind: str, today: Column) -> DataFrame:
     """R-06: total rain, wettest day (earliest on ties), strongest wind, next day's rain."""
     d, r = F.col(date_col), F.col(rain)
-    peak_key = F.when(r.isNotNull(), F.struct(-r, d))
+    peak_key = F.when(r.isNotNull(), F.struct((-r).alias("drier"), d.alias("day")))
     after = F.when(d > today, F.struct(d, r))
     return fc.groupBy(*by).agg(
-        F.sum(r).alias("total_rain_mm"), F.min(peak_key).getField("col2").alias("peak_date"), F.max(r).alias("peak_rain_mm"),
+        F.sum(r).alias("total_rain_mm"), F.min(peak_key).getField("day").alias("peak_date"), F.max(r).alias("peak_rain_mm"),
         F.max(wind).alias("max_wind"), F.min(after).getField(rain).alias("tomorrow_rain_mm"),
     )
 

@@ -6,12 +6,13 @@ stop, so a scheduler can start them as often as new files arrive.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from finecast.operators.sets import dedupe
 
@@ -51,7 +52,7 @@ def start_archive(
 
 def read_archive(spark: SparkSession, sink: str, schema: StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Current state of the archive: last batch wins, ``order`` decides inside a batch."""
-    full = StructType(list(schema.fields)).add("batch_no", "int")
+    full = StructType(list(schema.fields)).add("batch_no", IntegerType())
     rows = spark.read.schema(full).parquet(sink)
     return dedupe(rows, keys, ["batch_no", *order], keep="last").drop("batch_no")
 
@@ -115,4 +116,4 @@ def late_policy(progress: list[dict]) -> dict[str, int]:
 def finish(query: StreamingQuery) -> dict[str, int]:
     """Wait for an availableNow job and return its late-row counts."""
     query.awaitTermination()
-    return late_policy([p if isinstance(p, dict) else __import__("json").loads(p.json) for p in query.recentProgress])
+    return late_policy([p if isinstance(p, dict) else json.loads(p.json) for p in query.recentProgress])
