@@ -43,6 +43,11 @@ def utm_epsg(lat: Column, lon: Column) -> Column:
     return F.when(lat >= 0, F.lit(32600)).otherwise(F.lit(32700)) + utm_zone(lon)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def make_ring(points: list[tuple[Column, Column]]) -> Column:
     """Ring from vertices; the first is repeated at the end."""
     closed = [*points, points[0]]
@@ -103,10 +108,14 @@ def edge_keys(ring: Column, digits: int = 5) -> Column:
     def name(p: Column) -> Column:
         return F.format_string(f"%.{digits}f,%.{digits}f", p["x"], p["y"])
 
-    return F.transform(
-        ring_edges(ring),
-        lambda e: F.concat_ws("|", F.array_sort(F.array(name(e["a"]), name(e["b"])))),
-    )
+    def pairs(names: Column) -> Column:
+        n = F.size(names) - 1
+        return F.zip_with(
+            F.slice(names, 1, n), F.slice(names, 2, n),
+            lambda a, b: F.concat_ws("|", F.least(a, b), F.greatest(a, b)),
+        )
+
+    return bind(F.transform(ring, name), pairs)
 
 
 def contains_point(ring: Column, x: Column, y: Column) -> Column:
@@ -128,13 +137,16 @@ def signature(ring: Column) -> Column:
     printed with seven decimals.  Equal outlines give equal text wherever the
     drawing started and whichever way it ran.
     """
-    n = F.size(ring) - 1
-    open_ring = F.slice(ring, 1, n)
+    open_ring = F.slice(ring, 1, F.size(ring) - 1)
     ccw = F.when(signed_area(ring) < 0, F.reverse(open_ring)).otherwise(open_ring)
-    start = F.array_position(ccw, F.array_min(ccw)).cast("int")
-    turned = F.concat(F.slice(ccw, start, n), F.slice(ccw, 1, start - 1))
-    text = F.transform(turned, lambda p: F.format_string("%.7f %.7f", p["x"], p["y"]))
-    return F.sha2(F.array_join(text, ","), 256)
+
+    def digest(r: Column) -> Column:
+        start = F.array_position(r, F.array_min(r)).cast("int")
+        turned = F.concat(F.slice(r, start, F.size(r)), F.slice(r, 1, start - 1))
+        text = F.transform(turned, lambda p: F.format_string("%.7f %.7f", p["x"], p["y"]))
+        return F.sha2(F.array_join(text, ","), 256)
+
+    return bind(ccw, digest)
 
 
 def to_wkt(ring: Column) -> Column:

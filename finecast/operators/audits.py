@@ -45,6 +45,7 @@ INVENTORY_RULES = (
 )
 NUMERIC_TYPES = r"^(tinyint|smallint|int|bigint|float|double|decimal.*)$"
 MATCH_RATE = 0.999
+SPLITS = ("train", "validation", "test")
 FORBIDDEN_TOKENS = ("actual_", "target", "provenance", "source_file", "retrieved")
 
 
@@ -235,19 +236,35 @@ def training_audit(
         F.count_if(F.col(date_col).isNull()).alias("invalid_date"), F.count_if(F.col(entity).isNull()).alias("missing_entity"),
         total([F.count_if(F.col(c).isNull()) for c in labels if c in samples.columns]).alias("missing_label"),
     ).unpivot([], names, "check_name", "n_bad")
-    dup = guards.duplicate_keys(samples, [date_col, entity, lead]).agg(F.count(F.lit(1)).alias("n_bad"))
-    dup = dup.select(F.lit("duplicate_sample").alias("check_name"), "n_bad")
-    per_date = samples.select(lead, date_col, split).distinct().groupBy(lead, date_col).agg(F.count(F.lit(1)).alias("n"))
-    overlap = per_date.agg(F.count_if(F.col("n") > 1).alias("n_bad")).select(F.lit("split_overlap").alias("check_name"), "n_bad")
-    edges = samples.groupBy(lead).agg(
-        F.max(F.when(F.col(split) == "train", F.col(date_col))).alias("t1"),
-        F.min(F.when(F.col(split) == "validation", F.col(date_col))).alias("v0"),
-        F.max(F.when(F.col(split) == "validation", F.col(date_col))).alias("v1"),
-        F.min(F.when(F.col(split) == "test", F.col(date_col))).alias("s0"),
+    # One shuffle on the sample key serves duplicates, overlap and order: the
+    # later steps work on one row per key, per date and per lead.
+    # Splits travel as small numbers, which keeps the aggregates hash-based.
+    number = F.lit(len(SPLITS))
+    for i, name in enumerate(SPLITS):
+        number = F.when(F.col(split) == name, i).otherwise(number)
+    per_key = samples.select(lead, date_col, entity, number.alias("s")).groupBy(lead, date_col, entity).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or(F.pow(F.lit(2), F.col("s")).cast("int")).alias("bits")
     )
-    order = edges.agg(F.count_if((F.col("t1") >= F.col("v0")) | (F.col("v1") >= F.col("s0"))).alias("n_bad"))
-    order = order.select(F.lit("split_order").alias("check_name"), "n_bad")
-    return _with_status(union_chunks(agg, dup, overlap, order))
+    per_date = per_key.groupBy(lead, date_col).agg(
+        F.count_if(F.col("n") > 1).alias("dup"), F.bit_or("bits").alias("bits")
+    ).select(
+        "*", *[(F.col("bits").bitwiseAND(F.lit(1 << i)) > 0).alias(f"has_{name}") for i, name in enumerate(SPLITS)]
+    )
+
+    def edge(f, s):
+        return f(F.when(F.col(f"has_{s}"), F.col(date_col)))
+
+    per_lead = per_date.groupBy(lead).agg(
+        F.sum("dup").alias("dup"), F.count_if(F.bit_count("bits") > 1).alias("overlap"),
+        edge(F.max, "train").alias("t1"), edge(F.min, "validation").alias("v0"),
+        edge(F.max, "validation").alias("v1"), edge(F.min, "test").alias("s0"),
+    )
+    late = F.count_if((F.col("t1") >= F.col("v0")) | (F.col("v1") >= F.col("s0")))
+    keyed = per_lead.agg(
+        F.coalesce(F.sum("dup"), F.lit(0)).alias("duplicate_sample"),
+        F.coalesce(F.sum("overlap"), F.lit(0)).alias("split_overlap"), late.alias("split_order"),
+    ).unpivot([], ["duplicate_sample", "split_overlap", "split_order"], "check_name", "n_bad")
+    return _with_status(agg.unionByName(keyed))
 
 
 def target_preflight(target: DataFrame, keys: Sequence[str], ranges: Mapping[str, tuple[float, float]]) -> DataFrame:

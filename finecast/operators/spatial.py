@@ -149,21 +149,28 @@ def touching(polys: DataFrame, key: str, by: Sequence[str], ring: str = "ring",
     )
 
 
-# Largest number of points in one grid cell at the finest round, and the factor
-# by which cells grow from round to round.
-CELL_POPULATION, CELL_GROWTH, CELL_LEVELS = 64, 4, 12
+# Points a grid cell may hold in the first round, cell sizes tried for it
+# (each half the one before), and the growth of cells from round to round.
+CELL_POPULATION, CELL_LEVELS, CELL_GROWTH = 16, 12, 4
 
 
-def _first_step(targets: DataFrame, by: Sequence[str], k: int) -> tuple[float, float]:
-    """Coarsest cell size whose fullest cell is bounded, and the extent."""
-    row = targets.agg(
+def _first_step(spots: DataFrame, by: Sequence[str], k: int) -> tuple[float, float]:
+    """Starting cell size and the extent.
+
+    The coarsest tried size is the mean spacing; sizes halve until the fullest
+    cell is bounded.  One aggregate over all tried sizes decides, so a cluster
+    holding much of the data still starts with small candidate sets.
+    """
+    row = spots.agg(
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
+        F.count(F.lit(1)).alias("n"),
     ).first()
     extent = max((row["x1"] or 0) - (row["x0"] or 0), (row["y1"] or 0) - (row["y0"] or 0), 1e-9) * 1.001
-    levels = F.explode(F.transform(F.sequence(F.lit(0), F.lit(CELL_LEVELS)),
-                                   lambda i: F.struct(i.alias("i"), (F.lit(extent) / F.pow(F.lit(float(CELL_GROWTH)), i)).alias("s"))))
+    spacing = extent / max(row["n"] or 1, 1) ** 0.5 * 8
+    sizes = [spacing / 2**i for i in range(CELL_LEVELS)]
+    table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(sizes)])
     full = (
-        targets.select(*by, "x", "y", levels.alias("l"))
+        spots.select(*by, "x", "y", F.explode(table).alias("l"))
         .groupBy(*by, "l.i", F.floor(F.col("x") / F.col("l.s")), F.floor(F.col("y") / F.col("l.s")))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("i")
@@ -171,8 +178,7 @@ def _first_step(targets: DataFrame, by: Sequence[str], k: int) -> tuple[float, f
         .collect()
     )
     fits = [r["i"] for r in full if r["n"] <= max(CELL_POPULATION, 2 * k)]
-    level = min(fits) if fits else CELL_LEVELS
-    return extent / CELL_GROWTH**level, extent
+    return sizes[min(fits) if fits else CELL_LEVELS - 1], extent
 
 
 def nearest(
@@ -249,7 +255,10 @@ def neighbours(
     """
     by = list(by)
     x, y = geo.centroid(F.col(ring))
-    tagged = polys.select(*by, key, ring, geo.signature(F.col(ring)).alias("_sig"), x.alias("x"), y.alias("y"))
+    # Written once: outlines, offers and points all start from it.
+    tagged = materialise(
+        polys.select(*by, key, ring, geo.signature(F.col(ring)).alias("_sig"), x.alias("x"), y.alias("y")), "outlines"
+    )
     order = Window.partitionBy(*by, "_sig").orderBy(key)
     reps = (
         tagged.withColumn("_rn", F.row_number().over(order))

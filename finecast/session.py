@@ -15,6 +15,9 @@ def local_session(app: str = "finecast", cpus: str | int = "*", partitions: int
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test tables multiply in later joins; keep all cores busy.  On a
+        # cluster leave partition coalescing on.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
@@ -31,15 +34,14 @@ def shared_dir(spark: SparkSession) -> str:
     may fall back to a folder of its own; elsewhere a missing setting is an
     error, since a machine-local folder would be invisible to other hosts.
     """
-    conf = spark.sparkContext.getConf()
-    named = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
