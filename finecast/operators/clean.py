@@ -137,8 +137,8 @@ def clean(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     before = df.agg(F.count(F.lit(1)).alias("rows_in"), inf.alias("infinite_cells"))
     out = fixed.distinct()
     after = out.agg(F.count(F.lit(1)).alias("rows_out"))
-    joined = before.join(after)
-    return out, joined.withColumn("duplicate_rows", F.col("rows_in") - F.col("rows_out"))
+    report = before.withColumn("rows_out", after.scalar())
+    return out, report.withColumn("duplicate_rows", F.col("rows_in") - F.col("rows_out"))
 
 
 def collapse_duplicates(df: DataFrame) -> DataFrame:

@@ -83,7 +83,7 @@ def key_report(df: DataFrame, master: DataFrame, key: str) -> DataFrame:
     )
     names = ["blank", "duplicate", "missing", "unexpected"]
     return (
-        sets.join(dups)
+        sets.withColumns({c: dups.select(c).scalar() for c in ("blank", "duplicate")})
         .unpivot([], names, "check_name", "n_bad")
         .withColumn("status", F.when(F.col("n_bad") == 0, "PASS").otherwise("FAIL"))
     )
@@ -205,13 +205,14 @@ def availability_tag(issue: Column, observed: Column) -> Column:
 
 def asof_join(
     left: DataFrame, right: DataFrame, by: Sequence[str], left_ts: str, right_ts: str,
-    values: Sequence[str], strict: bool = True, chunk: str = "MONTH",
+    values: Sequence[str], strict: bool = True, chunk: str = "DAY",
 ) -> DataFrame:
     """J-17: each left row with the latest right row before (or at) its time.
 
     Both sides are stacked and scanned per entity and ``chunk`` of time; what
     earlier chunks held comes from a table with one row per chunk.  A busy
-    entity is thus spread over its chunks and the result is still exact.
+    entity is thus spread over its chunks and the result is still exact;
+    take HOUR or MINUTE where one entity has very many rows per day.
     Right rows at the same time are ordered by their values.
     """
     by = list(by)

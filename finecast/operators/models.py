@@ -153,7 +153,7 @@ def apply_current(
     entities = frame.select(*keys).distinct().agg((F.count(F.lit(1)) * days).alias("expected_rows"))
     audit = out.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("corrected").isNull() | F.isnan("corrected")).alias("non_finite")
-    ).join(entities)
+    ).withColumn("expected_rows", entities.scalar())
     return out, audit.withColumn(
         "status", F.when((F.col("rows") == F.col("expected_rows")) & (F.col("non_finite") == 0), "PASS").otherwise("FAIL")
     )

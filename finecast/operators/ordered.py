@@ -13,19 +13,30 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finecast.session import materialise
+
 
 def position(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column, name: str = "pos"
+    df: DataFrame, by: Sequence[str], order: Sequence[str], chunk: Column | None = None, name: str = "pos"
 ) -> DataFrame:
     """0-based position of each row within ``by``, ordered by ``order``.
 
-    ``chunk`` must not decrease along ``order`` (for example the month of the
-    leading date).  Rows are numbered inside each chunk; chunk sizes are summed
-    per entity over a table with one row per chunk; both are added.  No task
-    ever sees more than one chunk of one entity.
+    Rows are numbered inside chunks; chunk sizes are summed per entity over a
+    table with one row per chunk; both are added.  No task ever sees more than
+    one chunk of one entity.
+
+    ``chunk`` must not decrease along ``order``, for example the month of the
+    leading date.  Without it the rows are range-partitioned by entity and
+    order, and the partition number is the chunk: pieces of even size for any
+    distribution of entities and dates.  That copy is written once, because
+    both steps must see the same boundaries.
     """
     by = list(by)
-    tagged = df.withColumn("_chunk", chunk)
+    if chunk is None:
+        ranged = df.repartitionByRange(*[F.col(c) for c in [*by, *order]])
+        tagged = materialise(ranged.withColumn("_chunk", F.spark_partition_id()), "ranged")
+    else:
+        tagged = df.withColumn("_chunk", chunk)
     inside = tagged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)) - 1
     )

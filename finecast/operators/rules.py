@@ -123,11 +123,12 @@ def watch_ranges(fc: DataFrame, by: Sequence[str], day: str, rain: str, humidity
 def apply_scenarios(fc: DataFrame, scenarios: DataFrame, rain: str, temperature: str, humidity: str, wind_ms: str) -> DataFrame:
     """R-04: every forecast row under every scenario; NULL stays NULL.
 
-    Scenarios are packed into one array on a single row, so each forecast row
-    is read once and multiplied inside its own task.
+    The scenario table (what a person typed in, a handful of rows) becomes one
+    array value, so each forecast row is read once and multiplied inside its
+    own task.
     """
     packed = scenarios.agg(F.collect_list(F.struct(*scenarios.columns)).alias("_s"))
-    j = fc.join(packed).select(*fc.columns, F.explode("_s").alias("_s")).select(*fc.columns, "_s.*")
+    j = fc.select(*fc.columns, F.explode(packed.scalar()).alias("_s")).select(*fc.columns, "_s.*")
     return j.withColumns(
         {
             rain: clip(F.col(rain) * (F.lit(1.0) + F.col("rainfall_delta_pct") / 100.0), 0.0),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from finecast.functions import geo
 from finecast.operators.ingest import latest_dates
+from finecast.operators.scalars import one_row
 
 # Land-cover classes, forecast days shown.
 LANDCOVER_CLASSES = (
@@ -90,9 +91,13 @@ def validate_forecast(fc: DataFrame, master: DataFrame, manifest: DataFrame, ent
     unknown = ids.join(master.select(entity).distinct(), entity, "left_anti").agg(F.count(F.lit(1)).alias("unknown_ids"))
     n = ids.agg(F.count(F.lit(1)).alias("n_ids"))
     newest = fc.agg(F.max(date_col).alias("last_target"))
-    j = n.join(unknown).join(newest).join(manifest)
+    flags = ("synthetic_target", "interpolated_target", "block_actual_copied_to_gp", "gp_count")
+    j = one_row(
+        fc.sparkSession,
+        {"n_ids": n, "unknown_ids": unknown, "last_target": newest} | {c: manifest.select(c) for c in flags},
+    )
     clear = F.lit(True)
-    for flag in ("synthetic_target", "interpolated_target", "block_actual_copied_to_gp"):
+    for flag in flags[:3]:
         clear = clear & F.coalesce(~F.col(flag), F.lit(False))
     reasons = F.array_compact(
         F.array(

@@ -120,12 +120,12 @@ def date_split(df: DataFrame, date_col: str, by: Sequence[str] = ()) -> DataFram
 def row_split(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), chunk: Column | None = None) -> DataFrame:
     """M-02: 70/15/15 by row after sorting; one date may be cut in two.
 
-    Positions come from per-chunk numbering plus chunk offsets (default chunk:
-    the first order column), not from a global sort in one task.
+    Positions come from numbering inside bounded pieces plus their offsets,
+    not from a global sort in one task.
     """
-    placed = position(df, by, order, F.col(order[0]) if chunk is None else chunk, "_pos")
+    placed = position(df, by, order, chunk, "_pos")
     total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    joined = placed.join(total, list(by)) if by else placed.join(total)
+    joined = placed.join(total, list(by)) if by else placed.withColumn("_n", total.scalar())
     return joined.withColumn("split", _split_label(F.col("_pos"), F.col("_n"))).drop("_pos", "_n")
 
 
@@ -181,10 +181,9 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
 
 
 def impute_by_train_median(df: DataFrame, columns: Sequence[str], split: str = "split") -> DataFrame:
-    """M-05 as one plan: the median row is joined, nothing is collected."""
+    """M-05 as one plan: the medians enter as scalar subqueries, nothing is collected."""
     med = medians_wide(df.filter(F.col(split) == "train"), [], {c: F.col(c) for c in columns})
-    joined = df.join(med)
-    return joined.withColumns({c: F.coalesce(c, f"{c}_median") for c in columns}).drop(*[f"{c}_median" for c in columns])
+    return df.withColumns({c: F.coalesce(F.col(c), med.select(f"{c}_median").scalar()) for c in columns})
 
 
 def forbid_actuals(columns: Sequence[str]) -> Sequence[str]:

@@ -22,9 +22,12 @@ class Frames:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def daily(self) -> DataFrame:

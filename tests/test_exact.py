@@ -141,3 +141,15 @@ def test_terrain_of_a_plane(spark):
     assert r["slope_deg"] == pytest.approx(math.degrees(math.atan(2))) and r["laplacian_curvature"] == 0.0 and r["tpi"] == 0.0
     assert (r["aspect_sin"], r["aspect_cos"]) == (pytest.approx(-1.0), pytest.approx(0.0, abs=1e-12))
     assert spatial.terrain(grid, ["zone"]).filter("x = 0 and y = 0").first()["slope_deg"] is None
+
+
+def test_position_by_ranges_when_one_date_holds_most_rows(spark):
+    from finecast.operators.ordered import position
+    from finecast.operators.training import row_split
+
+    df = spark.range(900).selectExpr("if(id % 3 = 0, 5, id % 40) as d", "id * 31 % 900 as k")
+    want = df.toPandas().sort_values(["d", "k"]).reset_index(drop=True)
+    got = position(df, [], ["d", "k"]).orderBy("pos").toPandas()
+    assert got["pos"].tolist() == list(range(900)) and (got[["d", "k"]].to_numpy() == want[["d", "k"]].to_numpy()).all()
+    sizes = {r["split"]: r["count"] for r in row_split(df, ["d", "k"]).groupBy("split").count().collect()}
+    assert sizes == {"train": 630, "validation": 135, "test": 135}
