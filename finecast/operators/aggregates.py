@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from finecast.functions.columns import circular_mean, safe_ratio, weighted_mean_strict
 from finecast.operators import guards
 from finecast.operators.ingest import missing_keys
-from finecast.operators.quantiles import medians_wide
+from finecast.operators.quantiles import exact_quantiles, medians_wide
 
 # Root-zone layer depths in cm, radar and optical variables.
 ROOT_ZONE = {"0-5cm": 5.0, "5-15cm": 10.0, "15-30cm": 15.0}
@@ -118,11 +118,10 @@ def monthly_composite(
 ) -> DataFrame:
     """A-09: per-pixel monthly median over scenes, then the zone mean.
 
-    A pixel sees a bounded number of scenes per month, so the exact median
-    fits any task.  Months without a scene stay in the grid with NULL.
+    Months without a scene stay in the grid with NULL.
     """
-    month = F.trunc(F.to_date(ts), "MM")
-    per_pixel = pixels.groupBy(zone, *pixel, month.alias("month_start")).agg(F.median(value).alias("_m"))
+    monthly = pixels.withColumn("month_start", F.trunc(F.to_date(ts), "MM"))
+    per_pixel = exact_quantiles(monthly, [zone, *pixel, "month_start"], value, {"_m": 0.5})
     per_zone = per_pixel.groupBy(zone, "month_start").agg(F.avg("_m").alias(f"{value}_median"))
     months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.make_ym_interval(F.lit(0), F.lit(1)))
     grid = zones.select(zone, F.explode(months).alias("month_start"))

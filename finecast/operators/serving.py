@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from finecast.functions import geo
 from finecast.operators.ingest import latest_dates
 from finecast.operators.scalars import one_row
+from finecast.operators.sets import dedupe
 
 # Land-cover classes, forecast days shown.
 LANDCOVER_CLASSES = (
@@ -21,9 +22,10 @@ FORECAST_DAYS = 7
 def nested_forecast(fc: DataFrame, entity: str, date_col: str, day: str, values: Sequence[str]) -> DataFrame:
     """One row per entity with its days as a sorted array.
 
-    Only the newest seven dates are kept first, which bounds the array.
+    Only the newest seven dates are kept, one row per entity and date, which
+    bounds the array.
     """
-    recent = latest_dates(fc, date_col, FORECAST_DAYS)
+    recent = dedupe(latest_dates(fc, date_col, FORECAST_DAYS), [entity, date_col], [day], keep="last")
     days = F.sort_array(F.collect_list(F.struct(day, F.col(date_col).alias("date"), *values)))
     return recent.groupBy(entity).agg(days.alias("forecast"))
 

@@ -44,15 +44,15 @@ def membership(
     )
 
 
-def distinct_outlines(polys: DataFrame, key: str, ring: str = "ring") -> DataFrame:
-    """One row per outline: signature, smallest id, number of ids drawn with it.
+def distinct_outlines(polys: DataFrame, key: str, by: Sequence[str] = (), ring: str = "ring") -> DataFrame:
+    """One row per outline (within ``by``): smallest id, number of ids drawn with it.
 
     Copies of one outline are merged before any overlap join, so a shape
     repeated by a third of all rows stays one row.
     """
     return (
         polys.withColumn("signature", geo.signature(F.col(ring)))
-        .groupBy("signature")
+        .groupBy(*by, "signature")
         .agg(
             F.min(key).alias("first_id"),
             F.count(F.lit(1)).alias("n_copies"),
@@ -70,40 +70,60 @@ def _relation(cells: Column, a: Column, b: Column) -> Column:
     )
 
 
-def _pair_overlaps(shapes: DataFrame, key: str, by: Sequence[str], step: float, ring: str) -> DataFrame:
-    """Pairs a < b (within ``by``) that share cells, with relation and shared area."""
-    cells = cover(shapes, [*by, key], ring, step)
-    size = cells.groupBy(*by, key).agg(F.count(F.lit(1)).alias("n"))
-    b = cells.withColumnRenamed(key, "_b")
+def _overlaps(polys: DataFrame, key: str, by: Sequence[str], step: float, ring: str) -> DataFrame:
+    """Pairs of distinct outlines a < b (within ``by``) that share cells.
+
+    ``a`` and ``b`` are the smallest ids drawn with each outline and
+    ``n_pairs`` the id pairs behind the row; copies of one outline are one
+    IDENTICAL row with a = b.
+    """
+    by = list(by)
+    shapes = distinct_outlines(polys, key, by, ring)
+    cells = cover(shapes, [*by, "first_id", "n_copies"], ring, step)
+    size = cells.groupBy(*by, "first_id", "n_copies").agg(F.count(F.lit(1)).alias("cells"))
+    lean = cells.drop("n_copies")
     pairs = (
-        cells.join(b, [*by, "cx", "cy"])
-        .filter(F.col(key) < F.col("_b"))
-        .groupBy(*by, F.col(key).alias("a"), F.col("_b").alias("b"))
-        .agg(F.count(F.lit(1)).alias("cells"))
+        lean.withColumnRenamed("first_id", "a")
+        .join(lean.withColumnRenamed("first_id", "b"), [*by, "cx", "cy"])
+        .filter(F.col("a") < F.col("b"))
+        .groupBy(*by, "a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"))
+    )
+
+    def side(name: str) -> DataFrame:
+        return size.select(*by, F.col("first_id").alias(name), F.col("cells").alias(f"n{name}"), F.col("n_copies").alias(f"c{name}"))
+
+    between = pairs.join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"]).select(
+        *by, "a", "b", "shared", "na", "nb", (F.col("ca") * F.col("cb")).alias("n_pairs")
     )
-    out = pairs.join(size.select(*by, F.col(key).alias("a"), F.col("n").alias("na")), [*by, "a"]).join(
-        size.select(*by, F.col(key).alias("b"), F.col("n").alias("nb")), [*by, "b"]
+    among = size.filter("n_copies > 1").select(
+        *by, F.col("first_id").alias("a"), F.col("first_id").alias("b"), F.col("cells").alias("shared"),
+        F.col("cells").alias("na"), F.col("cells").alias("nb"),
+        (F.col("n_copies") * (F.col("n_copies") - 1) / 2).cast("long").alias("n_pairs"),
     )
-    return out.select(
+    return between.unionByName(among).select(
         *by,
         "a",
         "b",
-        _relation(F.col("cells"), F.col("na"), F.col("nb")).alias("relation"),
-        (F.col("cells") * F.lit(step * step)).alias("overlap_area"),
-        (F.lit(100.0) * F.col("cells") / F.least("na", "nb")).alias("overlap_pct_of_smaller"),
+        _relation(F.col("shared"), F.col("na"), F.col("nb")).alias("relation"),
+        (F.col("shared") * F.lit(step * step)).alias("overlap_area"),
+        (F.lit(100.0) * F.col("shared") / F.least("na", "nb")).alias("overlap_pct_of_smaller"),
+        "n_pairs",
     )
 
 
 def same_id_pairs(parts: DataFrame, by: Sequence[str], part: str, step: float, ring: str = "ring") -> DataFrame:
     """J-11: relation of the parts filed under one id, for all parts that meet."""
-    return _pair_overlaps(parts, part, by, step, ring)
+    return _overlaps(parts, part, by, step, ring)
 
 
 def same_id_summary(parts: DataFrame, by: Sequence[str], part: str, step: float, ring: str = "ring") -> DataFrame:
     """J-11 per id: pairs of each relation; DISJOINT is counted, not enumerated."""
     met = same_id_pairs(parts, by, part, step, ring)
     kinds = ("IDENTICAL", "A_CONTAINS_B", "B_CONTAINS_A", "OVERLAPPING")
-    counted = met.groupBy(*by).agg(*[F.count_if(F.col("relation") == k).alias(k.lower()) for k in kinds])
+    counted = met.groupBy(*by).agg(
+        *[F.coalesce(F.sum(F.when(F.col("relation") == k, F.col("n_pairs"))), F.lit(0)).alias(k.lower()) for k in kinds]
+    )
     n = parts.groupBy(*by).agg(F.count(F.lit(1)).alias("n_parts"))
     filled = n.join(counted, list(by), "left").na.fill(0)
     pairs = (F.col("n_parts") * (F.col("n_parts") - 1) / 2).cast("long")
@@ -112,29 +132,8 @@ def same_id_summary(parts: DataFrame, by: Sequence[str], part: str, step: float,
 
 
 def cross_overlaps(polys: DataFrame, key: str, step: float, ring: str = "ring") -> DataFrame:
-    """J-12: positive-area overlaps between distinct outlines, each pair once.
-
-    ``n_pairs`` counts the id pairs behind a row; copies of one outline are
-    one IDENTICAL row with a = b.
-    """
-    shapes = distinct_outlines(polys, key, ring)
-    pairs = _pair_overlaps(shapes.select("first_id", ring), "first_id", [], step, ring)
-    n = shapes.select("first_id", "n_copies")
-    between = (
-        pairs.join(n.select(F.col("first_id").alias("a"), F.col("n_copies").alias("na")), "a")
-        .join(n.select(F.col("first_id").alias("b"), F.col("n_copies").alias("nb")), "b")
-        .select("a", "b", "relation", "overlap_area", (F.col("na") * F.col("nb")).alias("n_pairs"))
-    )
-    copies = shapes.filter("n_copies > 1")
-    area = cover(copies, ["first_id"], ring, step).groupBy("first_id").agg(F.count(F.lit(1)).alias("cells"))
-    among = copies.join(area, "first_id").select(
-        F.col("first_id").alias("a"),
-        F.col("first_id").alias("b"),
-        F.lit("IDENTICAL").alias("relation"),
-        (F.col("cells") * F.lit(step * step)).alias("overlap_area"),
-        (F.col("n_copies") * (F.col("n_copies") - 1) / 2).cast("long").alias("n_pairs"),
-    )
-    return between.unionByName(among)
+    """J-12: positive-area overlaps between distinct outlines, each pair once."""
+    return _overlaps(polys, key, [], step, ring).drop("overlap_pct_of_smaller")
 
 
 def touching(polys: DataFrame, key: str, by: Sequence[str], ring: str = "ring", digits: int = 5) -> DataFrame:

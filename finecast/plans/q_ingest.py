@@ -33,9 +33,13 @@ def _(f):
 
 
 def payloads(f):
-    """Events packed the way an hourly interface delivers them: parallel arrays per user and day."""
+    """Events packed the way an hourly interface delivers them: parallel arrays per user and day.
+
+    A payload holds at most 100 entries, however busy the user is.
+    """
     row = F.struct(F.col("ts").cast("string").alias("t"), "event_id", "value")
-    packed = f.table("events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sort_array(F.collect_list(row)).alias("a"))
+    part = F.floor(F.col("event_id") / 100).alias("part")
+    packed = f.table("events").groupBy("user_id", F.to_date("ts").alias("day"), part).agg(F.sort_array(F.collect_list(row)).alias("a"))
     return packed.select(
         "user_id", "day",
         F.struct(
@@ -56,11 +60,12 @@ def _(f):
 
 @query("s03_read_geojson", with_("squares", f"SELECT CAST(gp_id AS VARCHAR) AS gp_id, CAST(5 AS INTEGER) AS vertices, {r('side * side')} AS area FROM squares"))
 def _(f):
-    """One feature collection document per area, read as many documents."""
+    """Feature collection documents of at most 500 features per area, read as many documents."""
     path = fresh_dir(f.spark, "collections")
     feature = geojson.feature_json(["gp_id"])
-    sq = f.squares.select("block_id", F.col("gp_id").cast("string").alias("gp_id"), F.array("ring").alias("rings"))
-    docs = sq.groupBy("block_id").agg(F.collect_list(feature).alias("fs")).select(
+    part = F.floor(F.col("gp_id") / 500).alias("part")
+    sq = f.squares.select("block_id", part, F.col("gp_id").cast("string").alias("gp_id"), F.array("ring").alias("rings"))
+    docs = sq.groupBy("block_id", "part").agg(F.collect_list(feature).alias("fs")).select(
         F.concat(
             F.lit('{"type":"FeatureCollection","crs":{"type":"name","properties":{"name":"EPSG:4326"}},"features":['),
             F.array_join("fs", ","), F.lit("]}"),

@@ -158,13 +158,17 @@ def _(f):
 RELATION = "CASE WHEN n = na AND n = nb THEN 'IDENTICAL' WHEN n = nb THEN 'A_CONTAINS_B' WHEN n = na THEN 'B_CONTAINS_A' ELSE 'OVERLAPPING' END"
 
 
+OUTLINES = "SELECT gid, k, side, cx, cy, MIN(gp_id) AS f, COUNT(*) AS c FROM (SELECT *, k % 40 AS gid FROM square_cells) GROUP BY ALL"
+
+
 @query(
     "j11_same_id_pairs",
-    with_("square_cells", f"""SELECT gid, a, b, {RELATION} AS relation, {r('n')} AS overlap_area, {r('100e0 * n / least(na, nb)')} AS overlap_pct_of_smaller FROM
-      (SELECT p.k % 40 AS gid, p.gp_id AS a, q.gp_id AS b, COUNT(*) AS n, MAX(p.side * p.side) AS na, MAX(q.side * q.side) AS nb
-       FROM square_cells p JOIN square_cells q ON p.k % 40 = q.k % 40 AND p.cx = q.cx AND p.cy = q.cy AND p.gp_id < q.gp_id GROUP BY 1, 2, 3)"""),
+    with_("square_cells", f"""SELECT gid, a, b, {RELATION} AS relation, {r('n')} AS overlap_area, {r('100e0 * n / least(na, nb)')} AS overlap_pct_of_smaller, n_pairs FROM
+      (SELECT gid, p.f AS a, q.f AS b, COUNT(*) AS n, MAX(p.side * p.side) AS na, MAX(q.side * q.side) AS nb, MAX(p.c * q.c) AS n_pairs FROM u p JOIN u q USING (gid, cx, cy) WHERE p.f < q.f GROUP BY 1, 2, 3
+       UNION ALL SELECT gid, f, f, COUNT(*), MAX(side * side), MAX(side * side), MAX(c * (c - 1) // 2) FROM u WHERE c > 1 GROUP BY 1, 2, 3)""", u=OUTLINES),
 )
 def _(f):
+    """Outlines filed under one id; copies appear once with their number of pairs."""
     parts = f.squares.select((F.col("k") % 40).alias("gid"), "gp_id", "ring")
     return spatial.same_id_pairs(parts, ["gid"], "gp_id", 1.0)
 
