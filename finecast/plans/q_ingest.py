@@ -89,7 +89,7 @@ def _(f):
 @query(
     "s06_resolve_location",
     """WITH reg AS (SELECT r_name AS state, n_name AS block FROM nation JOIN region ON n_regionkey = r_regionkey
-      UNION ALL SELECT r_name, replace(n_name, '_', ' - ') FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 6 = 0),
+      UNION ALL SELECT r_name, CASE WHEN n_nationkey % 6 = 0 THEN replace(n_name, '_', ' - ') ELSE n_name END FROM nation JOIN region ON n_regionkey = r_regionkey),
     req AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower(r_name) WHEN 1 THEN '  ' || r_name ELSE r_name END AS state,
       CASE c_custkey % 4 WHEN 0 THEN replace(n_name, '_', '-') WHEN 1 THEN lower(n_name) || ' ' WHEN 2 THEN n_name ELSE n_name || 'x' END AS block
       FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
@@ -102,7 +102,7 @@ def _(f):
 def _(f):
     nr = f.table("nation").join(f.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     reg = nr.selectExpr("r_name as state", "n_name as block").unionByName(
-        nr.filter("n_nationkey % 6 = 0").selectExpr("r_name as state", "replace(n_name, '_', ' - ') as block")
+        nr.selectExpr("r_name as state", "if(n_nationkey % 6 = 0, replace(n_name, '_', ' - '), n_name) as block")
     )
     req = f.table("customer").join(nr, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         "c_custkey",
@@ -122,7 +122,7 @@ def _(f):
 
 @query("s08_staged_publish", with_("daily", f"SELECT block_id, date, CASE WHEN block_id % 2 = 0 THEN {r('temp + 100')} ELSE {r('temp')} END AS temp FROM daily"))
 def _(f):
-    """Publish all areas, then replace only the even ones."""
+    """Publish all areas, then replace only the even ones: the others must survive."""
     path = fresh_dir(f.spark, "published")
     d = f.daily.select("date", "temp", "block_id")
     tables.publish(d, path, ["block_id"])
@@ -160,7 +160,7 @@ def _(f):
 def _(f):
     n = f.current.agg(F.count_distinct("gp_id").cast("long").alias("gp_count"))
     m = n.selectExpr("gp_count", "false as synthetic_target", "false as interpolated_target", "false as block_actual_copied_to_gp")
-    return serving.validate_forecast(f.current, f.sites.filter("gp_id % 10 <> 3"), m, "gp_id", "target_date", day("2001-08-02"))
+    return serving.validate_forecast(f.current, f.sites.selectExpr("if(gp_id % 10 = 3, -1 - gp_id, gp_id) as gp_id"), m, "gp_id", "target_date", day("2001-08-02"))
 
 
 # --- incremental archives -----------------------------------------------------------------------
@@ -322,5 +322,5 @@ def _(f):
       UNION ALL SELECT 'duplicate_key', COUNT(*) FROM (SELECT gp_id, image_id FROM radar GROUP BY ALL HAVING COUNT(*) > 1))"""),
 )
 def _(f):
-    master = f.table("supplier").filter("s_suppkey % 4 <> 1").selectExpr("s_suppkey as gp_id")
+    master = f.table("supplier").selectExpr("if(s_suppkey % 4 = 1, -1 - s_suppkey, s_suppkey) as gp_id")
     return ingest.check_store(f.radar, ["gp_id", "image_id"], "date", master, "gp_id")

@@ -12,11 +12,13 @@ AREA_DAY = ["block_id", "date"]
 
 
 def actual(f):
-    return f.daily.filter("dn % 5 <> 0").select("block_id", "date", "temp", "rain")
+    return f.daily.select("block_id", "date", "temp", "rain")
 
 
 def reanalysis(f):
-    return f.daily.filter("dn % 3 <> 0").select("block_id", "date", "rh")
+    return f.table("lineitem").groupBy((F.col("l_partkey") % 25).cast("int").alias("block_id"), F.to_date("l_shipdate").alias("date")).agg(
+        F.min("l_quantity").alias("rh")
+    )
 
 
 def optical(f):
@@ -26,8 +28,8 @@ def optical(f):
 
 
 SOURCES = dict(
-    actual="SELECT block_id, date, temp, rain FROM daily WHERE dn % 5 <> 0",
-    era5="SELECT block_id, date, rh FROM daily WHERE dn % 3 <> 0",
+    actual="SELECT block_id, date, temp, rain FROM daily",
+    era5="SELECT CAST(l_partkey % 25 AS INTEGER) AS block_id, CAST(l_shipdate AS DATE) AS date, MIN(l_quantity) AS rh FROM lineitem GROUP BY 1, 2",
     s2="SELECT CAST(l_suppkey % 25 AS INTEGER) AS block_id, CAST(l_shipdate AS DATE) AS date, MAX(l_quantity) AS ndvi FROM lineitem GROUP BY 1, 2",
 )
 

@@ -361,7 +361,7 @@ def audited(f, bad):
     if not bad:
         return audits.training_audit(s, PREDICTORS, LABELS, "gp_id", "target_date", "lead")
     wrong = F.when(F.col("split") == "test", "train").otherwise("test")
-    s = s.unionByName(s.filter("gp_id = 7").withColumn("split", wrong))
+    s = s.withColumn("split", F.explode(F.when(F.col("gp_id") == 7, F.array("split", wrong)).otherwise(F.array("split"))))
     return audits.training_audit(s, [*PREDICTORS, LABELS[0]], LABELS, "gp_id", "target_date", "lead")
 
 
