@@ -1 +1,11 @@
-"""Operators for building text-training corpora; nothing else in the library imports them."""
+"""Operators for building text-training corpora; nothing else in the library imports them.
+
+Functions that run in tasks travel by value, so executors need no copy of this
+package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

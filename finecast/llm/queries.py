@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finecast.llm import chat, decontaminate, exact_dedup, mixing, quality, secrets_scan, url_filter
+from finecast.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, quality, secrets_scan, suffix_dedup, url_filter
 from finecast.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,34 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document; fitted on the labels that are not held out."""
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 100 bytes that start earlier."""
+    return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
+
+
+OP9_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, least(3, len(w)) AS n, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes m ON m.doc_id = x JOIN sizes n ON n.doc_id = y WHERE 100 * c >= 90 * (m.n + n.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS to_id FROM documents
+  UNION
+  SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.to_id)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) d LEFT JOIN sizes z USING (doc_id)
+"""
+
+
+@_query("op9_ngram_join", OP9_SQL)
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word sets are alike."""
+    return ngram_join.join_report(table(spark, sf_dir, "documents"))
