@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finecast.llm import chat, decontaminate, exact_dedup, mixing, ngram_join, quality, secrets_scan, suffix_dedup, url_filter
+from finecast.llm import chat, decontaminate, exact_dedup, html_extract, mixing, ngram_join, quality, secrets_scan, suffix_dedup, url_filter
 from finecast.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,9 @@ FROM (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) d LE
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word sets are alike."""
     return ngram_join.join_report(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_html_extract")
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.html_report(table(spark, sf_dir, "pages"))
