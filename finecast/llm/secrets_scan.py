@@ -27,7 +27,8 @@ FALSE_SHARE, LEVEL = 0.05, 0.001
 #: Grid of log10 evidence; evidence is rounded down to it, which keeps the control valid.
 STEP, LOW, HIGH = 0.05, -400, 4000
 
-#: Encodings from the narrowest: the first whose alphabet holds the whole string is taken.
+#: Encodings from the narrowest: the first whose alphabet holds the whole string is taken.  Letters of one case
+#: alone (``lower``, ``UPPER``) are words or names, of whatever language, and are not reported.
 ENCODINGS = tuple(
     (name, {c: i for i, c in enumerate(chars)})
     for name, chars in (
@@ -161,7 +162,7 @@ def text_model(found: DataFrame) -> np.ndarray:
 def weigh(string: str, model: np.ndarray) -> int | None:
     """Evidence in steps; None where no encoding fits or a test of the battery fails (the level holds for the three together)."""
     got = infer(string)
-    if got is None or len(got[1]) < 2 or min(battery(got[1], got[2])) < LEVEL / 3:
+    if got is None or got[0] in ("lower", "UPPER") or len(got[1]) < 2 or min(battery(got[1], got[2])) < LEVEL / 3:
         return None
     return math.floor(max(LOW, min(HIGH, evidence(string.rstrip("="), got[2], model))) / STEP)
 
