@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finecast.errors import DataContractError
@@ -147,10 +147,20 @@ def latest_cycle(df: DataFrame, cycle_col: str, by: Sequence[str] = ()) -> DataF
     return df.join(newest, [*by, cycle_col], "left_semi")
 
 
-def latest_dates(df: DataFrame, date_col: str, n: int) -> DataFrame:
-    """I-08: rows of the newest ``n`` distinct dates (top-n over distinct dates, joined back)."""
-    keep = df.select(date_col).distinct().orderBy(F.col(date_col).desc()).limit(n)
-    return df.join(keep, date_col, "left_semi").select(*df.columns)
+def latest_dates(df: DataFrame, date_col: str, n: int, by: Sequence[str] = ()) -> DataFrame:
+    """I-08: rows of the newest ``n`` distinct dates of each area (``by``), joined back.
+
+    Only distinct (area, date) pairs are ranked, so the rank sorts calendars,
+    not rows; an area whose last run is old keeps its own newest dates.  The join
+    is null-safe: rows without an area form one.
+    """
+    by = list(by)
+    dates = df.select(*by, date_col).filter(F.col(date_col).isNotNull()).distinct()
+    order = Window.partitionBy(*by).orderBy(F.col(date_col).desc())
+    keep = dates.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n) if by else dates.orderBy(F.col(date_col).desc()).limit(n)
+    a, b = df.alias("a"), keep.select(*by, date_col).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*by, date_col]])
+    return a.join(b, same, "left_semi").select(*df.columns)
 
 
 def trim_before(df: DataFrame, date_col: str, anchor: Column) -> DataFrame:

@@ -19,13 +19,13 @@ LANDCOVER_CLASSES = (
 FORECAST_DAYS = 7
 
 
-def nested_forecast(fc: DataFrame, entity: str, date_col: str, day: str, values: Sequence[str]) -> DataFrame:
+def nested_forecast(fc: DataFrame, entity: str, date_col: str, day: str, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per entity with its days as a sorted array.
 
-    Only the newest seven dates are kept, one row per entity and date, which
-    bounds the array.
+    The newest seven dates of each area (``by``) are kept, one row per entity
+    and date, which bounds the array.
     """
-    recent = dedupe(latest_dates(fc, date_col, FORECAST_DAYS), [entity, date_col], [day], keep="last")
+    recent = dedupe(latest_dates(fc, date_col, FORECAST_DAYS, by), [entity, date_col], [day], keep="last")
     days = F.sort_array(F.collect_list(F.struct(day, F.col(date_col).alias("date"), *values)))
     return recent.groupBy(entity).agg(days.alias("forecast"))
 
@@ -38,14 +38,14 @@ def fractions_map(prefix_classes: Sequence[str] = LANDCOVER_CLASSES, suffix: str
 
 def serving_frame(
     fc: DataFrame, master: DataFrame, landcover: DataFrame | None, overrides: Sequence[DataFrame], entity: str,
-    date_col: str, day: str, values: Sequence[str], fields: Sequence[str],
+    date_col: str, day: str, values: Sequence[str], fields: Sequence[str], by: Sequence[str] = (),
 ) -> DataFrame:
     """J-20: nested forecast with master, land cover and later non-NULL overrides.
 
     ``master`` and each override carry ``entity`` plus some of ``fields``; the
     last non-NULL value wins.
     """
-    out = nested_forecast(fc, entity, date_col, day, values).join(master, entity, "left")
+    out = nested_forecast(fc, entity, date_col, day, values, by).join(master, entity, "left")
     if landcover is not None:
         out = out.join(landcover.select(entity, fractions_map().alias("land_use_fractions")), entity, "left")
     for i, o in enumerate(overrides):

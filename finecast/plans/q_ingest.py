@@ -292,9 +292,9 @@ def _(f):
     return ingest.latest_cycle(c, "retrieved_at", ["user_id"])
 
 
-@query("i08_latest_dates", with_("daily", f"SELECT block_id, date, {r('rh')} AS rh FROM daily WHERE date IN (SELECT DISTINCT date FROM daily ORDER BY date DESC LIMIT 7)"))
+@query("i08_latest_dates", with_("daily", f"SELECT block_id, date, {r('rh')} AS rh FROM daily JOIN (SELECT * FROM (SELECT block_id, date, row_number() OVER (PARTITION BY block_id ORDER BY date DESC) AS n FROM (SELECT DISTINCT block_id, date FROM daily)) WHERE n <= 7) USING (block_id, date)"))
 def _(f):
-    return ingest.latest_dates(f.daily.select("block_id", "date", "rh"), "date", 7)
+    return ingest.latest_dates(f.daily.select("block_id", "date", "rh"), "date", 7, ["block_id"])
 
 
 @query("i09_trim_before", with_("daily", f"SELECT block_id, date, {r('rh')} AS rh FROM daily WHERE date >= DATE '1998-06-15'"))

@@ -137,7 +137,7 @@ def _(f):
 @query(
     "j20_serving_assembly",
     with_("current_fc", f"""SELECT gp_id, s_name AS gp_name, CASE WHEN gp_id % 3 = 0 THEN {r('s_acctbal + 5')} WHEN gp_id % 5 = 0 THEN NULL ELSE {r('s_acctbal')} END AS elevation, days, {r('rain')} AS rain, CASE WHEN gp_id % 4 <> 0 THEN 'crops,water' ELSE 'water' END AS classes
-    FROM (SELECT gp_id, string_agg(day || ':' || CAST(target_date AS VARCHAR), ' ' ORDER BY day, target_date) AS days, SUM(rainfall) AS rain FROM current_fc WHERE target_date IN (SELECT DISTINCT target_date FROM current_fc ORDER BY target_date DESC LIMIT 7) GROUP BY gp_id) JOIN supplier ON s_suppkey = gp_id"""),
+    FROM (SELECT gp_id, string_agg(day || ':' || CAST(target_date AS VARCHAR), ' ' ORDER BY day, target_date) AS days, SUM(rainfall) AS rain FROM current_fc GROUP BY gp_id) JOIN supplier ON s_suppkey = gp_id"""),
 )
 def _(f):
     s = f.table("supplier")
@@ -145,7 +145,7 @@ def _(f):
     over = s.selectExpr("s_suppkey as gp_id", "case when s_suppkey % 3 = 0 then s_acctbal + 5 end as elevation")
     fractions = {c: "cast(null as double)" for c in serving.LANDCOVER_CLASSES} | {"water": "0.25D", "crops": "case when s_suppkey % 4 <> 0 then 0.5D end"}
     lc = s.selectExpr("s_suppkey as gp_id", *[f"{e} as {c}_fraction" for c, e in fractions.items()])
-    out = serving.serving_frame(f.current, master, lc, [over], "gp_id", "target_date", "day", ["temperature", "humidity", "rainfall", "wind"], ["elevation"])
+    out = serving.serving_frame(f.current, master, lc, [over], "gp_id", "target_date", "day", ["temperature", "humidity", "rainfall", "wind"], ["elevation"], ["block_id"])
     return out.select(
         "gp_id", "gp_name", "elevation",
         F.array_join(F.transform("forecast", lambda d: F.concat_ws(":", d["day"].cast("string"), d["date"].cast("string"))), " ").alias("days"),
