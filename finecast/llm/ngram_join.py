@@ -21,6 +21,8 @@ FEW = 8
 PIVOTS = 4
 #: Sets of one tree.
 TREE = 256
+#: Up to this many candidate sets (a long each) their ids are broadcast to the texts; beyond, texts are shuffled to them.
+BROADCAST_IDS = 2_000_000
 
 
 def _cells(tokens: np.ndarray) -> np.ndarray:
@@ -127,12 +129,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     than TREE partners gets several, each with its own copy of x's set.
     """
     trees = pairs.groupBy("x").agg(F.count("*").alias("m")).select("x", F.ceil(F.col("m") / TREE).alias("k"))
-    dealt = pairs.join(trees, "x").select("x", "y", F.pmod(F.xxhash64("y"), "k").cast("int").alias("tree"))
-    heads = trees.select("x", F.explode(F.expr("sequence(0, cast(k as int) - 1)")).alias("tree"))
+    dealt = pairs.join(trees, "x").select(F.col("y").alias("rep"), "x", F.pmod(F.xxhash64("y"), "k").cast("int").alias("tree"), "y")
+    heads = trees.select(F.col("x").alias("rep"), "x", F.explode(F.expr("sequence(0, cast(k as int) - 1)")).alias("tree"), F.lit(None).cast("long").alias("y"))
     rows = (
-        dealt.join(sets.withColumnRenamed("rep", "y"), "y")
+        dealt.union(heads)
+        .join(sets, "rep")
         .select("x", "tree", "y", "tokens")
-        .union(heads.join(sets.withColumnRenamed("rep", "x"), "x").select("x", "tree", F.lit(None).cast("long").alias("y"), "tokens"))
         .repartition("x", "tree")
         .sortWithinPartitions("x", "tree", F.col("y").asc_nulls_first())
     )
@@ -194,9 +196,11 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     """
     body = docs.select(F.col(doc_id).cast("long").alias("doc_id"), present(F.col(text)).cast("binary").alias("body"))
     often = token_sketch(body, width)
-    rows = written(_described(body, width, percent, often), "ngram-sets")
+    described = _described(body, width, percent, often)
+    rows = written(described.drop("rare"), "ngram-sets")
     key = ["n", "a", "b"]
-    classes = written(rows.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("rare").alias("rare")), "ngram-classes")
+    # Described once more rather than kept: prefixes are the bulk of it.
+    classes = written(described.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("rare").alias("rare")), "ngram-classes")
     # A repeated id may stand for several sets: all of them are looked at under its name.
     tokens = classes.select("rep", "n", F.explode("rare").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
@@ -205,8 +209,9 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     one = few.select("g", F.explode("g").alias("p")).select(F.col("p.rep").alias("x"), F.col("p.n").alias("n"), F.explode("g").alias("q"))
     pairs = one.select("x", F.col("q.rep").alias("y"), "n", F.col("q.n").alias("m")).where("x < y").where(_near_size(percent)).select("x", "y")
     many = groups.where(f"c > {FEW}")
-    ids = groups.select("rep").distinct()
-    sets = written(_whole_sets(body.withColumnRenamed("doc_id", "rep").join(ids, "rep"), width, often), "ngram-whole")
+    ids = written(groups.select("rep").distinct(), "ngram-ids")
+    near = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = written(_whole_sets(body.withColumnRenamed("doc_id", "rep").join(near, "rep"), width, often), "ngram-whole")
     tested = written(_ordered_pairs(pairs.union(_star(many, percent, 0))), "ngram-pairs")
     links = written(verified(tested, sets, percent), "ngram-links")
     comps = written(components(links, "x", "y"), "ngram-components")
