@@ -6,8 +6,9 @@ first.  Longitude is x and latitude is y where degrees are meant.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 # Mean Earth radius, compass names in clockwise order.
 EARTH_KM = 6371.0
@@ -75,9 +76,90 @@ def ring_area(ring: Column) -> Column:
 
 
 def ring_area_km2(ring: Column) -> Column:
-    """Area in km2 of a ring in degrees, on a local equirectangular plane."""
-    y = vertices_mean(ring, "y")
-    return ring_area(ring) * F.lit(KM_PER_DEGREE * KM_PER_DEGREE) * F.cos(F.radians(y))
+    """Area in km2 of a ring in degrees, with the ellipsoid's degree lengths at its mean latitude."""
+    lon, lat = degree_km(vertices_mean(ring, "y"))
+    return ring_area(ring) * lon * lat
+
+
+def degree_km(lat: Column) -> tuple[Column, Column]:
+    """Length in km of one degree of longitude and of latitude (WGS 84 series)."""
+    p = F.radians(lat)
+    lon = (F.cos(p) * 111412.84 - F.cos(p * 3) * 93.5 + F.cos(p * 5) * 0.118) / 1000.0
+    return lon, (F.lit(111132.92) - F.cos(p * 2) * 559.82 + F.cos(p * 4) * 1.175 - F.cos(p * 6) * 0.0023) / 1000.0
+
+
+def nesting(df: DataFrame, name: str) -> int:
+    """1 for a ring, 2 for a polygon (outer ring, then holes), 3 for a multipolygon."""
+    depth, kind = 0, df.schema[name].dataType
+    while isinstance(kind, ArrayType):
+        depth, kind = depth + 1, kind.elementType
+    return depth
+
+
+def oriented_rings(shape: Column, depth: int) -> Column:
+    """All rings of a shape, outer ones counter-clockwise and holes clockwise, so that signed sums hold for the shape."""
+    def turned(ring: Column, hole) -> Column:
+        wrong = (signed_area(ring) > 0) if hole is True else (signed_area(ring) < 0) if hole is False else ((signed_area(ring) > 0) == hole)
+        return F.when(wrong, F.reverse(ring)).otherwise(ring)
+
+    if depth == 1:
+        return F.array(turned(shape, False))
+    if depth == 2:
+        return F.transform(shape, lambda r, i: turned(r, i > 0))
+    return F.flatten(F.transform(shape, lambda p: F.transform(p, lambda r, i: turned(r, i > 0))))
+
+
+def total(rings: Column, of) -> Column:
+    """Sum of ``of(ring)``."""
+    return F.aggregate(rings, F.lit(0.0), lambda s, r: s + of(r))
+
+
+def sweep_edges(rings: Column) -> Column:
+    """array<struct<x0, y0, x1, y1, s>>: edges from left to right; s is +1 where the shape lies below, -1 above.
+
+    Upright edges bound no area below them and are left out.
+    """
+    def edge(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        right = a["x"] < b["x"]
+        lo, hi = F.when(right, a).otherwise(b), F.when(right, b).otherwise(a)
+        return F.struct(
+            lo["x"].alias("x0"), lo["y"].alias("y0"), hi["x"].alias("x1"), hi["y"].alias("y1"),
+            F.when(right, -1.0).otherwise(1.0).alias("s"),
+        )
+
+    flat = F.flatten(F.transform(rings, ring_edges))
+    return F.transform(F.filter(flat, lambda e: e["a"]["x"] != e["b"]["x"]), edge)
+
+
+def edges_area(edges: Column) -> Column:
+    return F.aggregate(edges, F.lit(0.0), lambda t, e: t + e["s"] * (e["x1"] - e["x0"]) * (e["y0"] + e["y1"]) / 2.0)
+
+
+def overlap_area(left: Column, right: Column) -> Column:
+    """Exact area that two shapes share, from their ``sweep_edges``.
+
+    A shape is the signed sum of the strips below its edges, so the shared area
+    is the signed sum over pairs of edges of the strip below both: the integral
+    of the lower of two lines over the x they have in common.  Holds for concave
+    shapes, holes and several parts.
+    """
+    def strip(e: Column, f: Column) -> Column:
+        lo, hi = F.greatest(e["x0"], f["x0"]), F.least(e["x1"], f["x1"])
+
+        def at(g: Column, x: Column) -> Column:
+            return g["y0"] + (x - g["x0"]) * (g["y1"] - g["y0"]) / (g["x1"] - g["x0"])
+
+        el, fl, eh, fh = at(e, lo), at(f, lo), at(e, hi), at(f, hi)
+        dl, dh = el - fl, eh - fh
+        ends = F.least(el, fl) + F.least(eh, fh)
+        # Where the lines cross, the lower one changes.
+        part = dl / (dl - dh)
+        middle = el + (eh - el) * part
+        crossed = part * (F.least(el, fl) + middle) + (F.lit(1.0) - part) * (middle + F.least(eh, fh))
+        return F.when(hi > lo, e["s"] * f["s"] * (hi - lo) / 2.0 * F.when(dl * dh < 0, crossed).otherwise(ends)).otherwise(0.0)
+
+    return F.aggregate(left, F.lit(0.0), lambda t, e: t + F.aggregate(right, F.lit(0.0), lambda u, f: u + strip(e, f)))
 
 
 def vertices_mean(ring: Column, axis: str) -> Column:
@@ -87,12 +169,17 @@ def vertices_mean(ring: Column, axis: str) -> Column:
 
 def centroid(ring: Column) -> tuple[Column, Column]:
     """Area centroid (x, y)."""
-    six_area = signed_area(ring) * 6.0
+    return shape_centroid(F.array(ring))
+
+
+def shape_centroid(rings: Column) -> tuple[Column, Column]:
+    """Area centroid (x, y) of oriented rings."""
+    six_area = total(rings, signed_area) * 6.0
 
     def moment(axis: str) -> Column:
-        return F.aggregate(
-            ring_edges(ring), F.lit(0.0), lambda s, e: s + (e["a"][axis] + e["b"][axis]) * _cross(e)
-        )
+        return total(rings, lambda r: F.aggregate(
+            ring_edges(r), F.lit(0.0), lambda s, e: s + (e["a"][axis] + e["b"][axis]) * _cross(e)
+        ))
 
     return F.try_divide(moment("x"), six_area), F.try_divide(moment("y"), six_area)
 
@@ -149,6 +236,12 @@ def signature(ring: Column) -> Column:
     return bind(ccw, digest)
 
 
-def to_wkt(ring: Column) -> Column:
-    text = F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string")))
-    return F.concat(F.lit("POLYGON (("), F.array_join(text, ", "), F.lit("))"))
+def shape_signature(shape: Column, depth: int) -> Column:
+    """Signature of a ring, a polygon with its holes, or several parts, whatever their order."""
+    if depth == 1:
+        return signature(shape)
+    if depth == 2:
+        holes = F.array_sort(F.transform(F.slice(shape, 2, F.greatest(F.size(shape) - 1, F.lit(0))), signature))
+        return F.when(F.size(shape) == 1, signature(shape[0])).otherwise(F.sha2(F.concat_ws("|", signature(shape[0]), holes), 256))
+    parts = F.array_sort(F.transform(shape, lambda p: shape_signature(p, 2)))
+    return F.when(F.size(shape) == 1, parts[0]).otherwise(F.sha2(F.concat_ws("||", parts), 256))

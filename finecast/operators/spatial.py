@@ -1,9 +1,8 @@
 """Polygon and neighbour jobs on a cell grid.
 
-A polygon is covered by the fixed cells whose centre lies inside it.  Cells
-are equi-join keys, so no polygon is ever compared with all others.  Areas are
-``cells * cell_area``: exact for outlines on the grid, otherwise off by at
-most the cells along the outline.
+A shape is filed under every cell that its bounding box touches.  Cells are
+equi-join keys that only pre-select pairs; areas are exact, from the edges of
+the pair.  Shapes may be rings, polygons with holes, or several parts.
 """
 
 from __future__ import annotations
@@ -17,30 +16,64 @@ from finecast.functions import geo
 from finecast.session import materialise
 
 
-def cover(polys: DataFrame, keys: Sequence[str], ring: str, step: float) -> DataFrame:
-    """(keys, cx, cy): cells whose centre is inside the ring."""
-    x0, y0, x1, y1 = geo.bounds(F.col(ring))
-    columns = F.sequence(F.floor(x0 / step), F.ceil(x1 / step) - 1)
-    rows = F.sequence(F.floor(y0 / step), F.ceil(y1 / step) - 1)
-    cells = polys.select(*keys, ring, F.explode(columns).alias("cx"), rows.alias("_rows")).select(
-        *keys, ring, "cx", F.explode("_rows").alias("cy")
+def _shapes(polys: DataFrame, keys: Sequence[str], ring: str) -> DataFrame:
+    """(keys, edges, area, bx0, by0, bx1, by1) of every shape."""
+    edges = geo.sweep_edges(geo.oriented_rings(F.col(ring), geo.nesting(polys, ring)))
+    e = F.col("edges")
+    ys = F.concat(F.transform(e, lambda x: x["y0"]), F.transform(e, lambda x: x["y1"]))
+    return polys.select(*keys, edges.alias("edges")).select(
+        *keys, "edges", geo.edges_area(e).alias("area"), F.array_min(F.transform(e, lambda x: x["x0"])).alias("bx0"),
+        F.array_min(ys).alias("by0"), F.array_max(F.transform(e, lambda x: x["x1"])).alias("bx1"), F.array_max(ys).alias("by1"),
     )
-    inside = geo.contains_point(F.col(ring), (F.col("cx") + 0.5) * step, (F.col("cy") + 0.5) * step)
-    return cells.filter(inside).select(*keys, "cx", "cy")
+
+
+def _filed(shapes: DataFrame, keys: Sequence[str], step: float) -> DataFrame:
+    """(keys, bounding box, cx, cy): one row per cell that the box touches."""
+    box = ("bx0", "by0", "bx1", "by1")
+    columns = F.sequence(F.floor(F.col("bx0") / step), F.floor(F.col("bx1") / step))
+    rows = F.sequence(F.floor(F.col("by0") / step), F.floor(F.col("by1") / step))
+    return shapes.select(*keys, *box, F.explode(columns).alias("cx"), rows.alias("_rows")).select(*keys, *box, "cx", F.explode("_rows").alias("cy"))
+
+
+def _shared(left: DataFrame, right: DataFrame, a: str, b: str, by: Sequence[str], step: float, once: bool) -> DataFrame:
+    """(by, a, b, shared, area_a, area_b): pairs of shapes with an area in common; with ``once`` only a < b.
+
+    A pair is looked at in one cell alone, the one of the lower left corner of
+    its boxes' intersection, so pairs need no distinct step.
+    """
+    fl = _filed(left, [*by, a], step)
+    fr = _filed(right, [*by, b], step).select(*by, b, *[F.col(c).alias(f"r{c}") for c in ("bx0", "by0", "bx1", "by1")], "cx", "cy")
+    x, y = F.greatest("bx0", "rbx0"), F.greatest("by0", "rby0")
+    pairs = fl.join(fr, [*by, "cx", "cy"]).filter(
+        (F.least("bx1", "rbx1") > x) & (F.least("by1", "rby1") > y) & (F.floor(x / step) == F.col("cx")) & (F.floor(y / step) == F.col("cy"))
+    )
+    pairs = (pairs.filter(F.col(a) < F.col(b)) if once else pairs).select(*by, a, b)
+    side = lambda d, k, n: d.select(*by, k, F.col("edges").alias(f"e{n}"), F.col("area").alias(f"area_{n}"))
+    joined = pairs.join(side(left, a, "a"), [*by, a]).join(side(right, b, "b"), [*by, b])
+    found = joined.select(*by, a, b, geo.overlap_area(F.col("ea"), F.col("eb")).alias("shared"), "area_a", "area_b")
+    return found.filter(F.col("shared") > F.least("area_a", "area_b") * TOLERANCE)
+
+
+#: Areas that differ by less than this share count as equal, and smaller ones as none.
+TOLERANCE = 1e-9
 
 
 def membership(
     polys: DataFrame, zones: DataFrame, poly_key: str, zone_key: str, step: float, ring: str = "ring"
 ) -> DataFrame:
-    """J-08: zones each polygon meets, with area and share of the polygon."""
-    p, z = cover(polys, [poly_key], ring, step), cover(zones, [zone_key], ring, step)
-    total = p.groupBy(poly_key).agg(F.count(F.lit(1)).alias("_total"))
-    hit = p.join(z, ["cx", "cy"]).groupBy(poly_key, zone_key).agg(F.count(F.lit(1)).alias("cells"))
-    return hit.join(total, poly_key).select(
-        poly_key,
-        zone_key,
-        (F.col("cells") * F.lit(step * step)).alias("overlap_area"),
-        (F.lit(100.0) * F.col("cells") / F.col("_total")).alias("overlap_pct"),
+    """J-08: zones each polygon meets, with exact area and share of the polygon.
+
+    Rows of one polygon key are its parts, rows of one zone key the zone's.
+    """
+    part = F.struct(F.col("area"), F.col("edges"))
+    name = lambda d, k, n: d.withColumn(n, F.struct(F.col(k).alias("k"), F.xxhash64(part).alias("h")))
+    p = name(_shapes(polys, [poly_key], ring), poly_key, "_p").dropDuplicates(["_p"])
+    z = name(_shapes(zones, [zone_key], ring), zone_key, "_z").dropDuplicates(["_z"])
+    total = p.groupBy(F.col("_p.k").alias(poly_key)).agg(F.sum("area").alias("_total"))
+    hit = _shared(p, z, "_p", "_z", [], step, once=False)
+    areas = hit.groupBy(F.col("_p.k").alias(poly_key), F.col("_z.k").alias(zone_key)).agg(F.sum("shared").alias("overlap_area"))
+    return areas.join(total, poly_key).select(
+        poly_key, zone_key, "overlap_area", (F.lit(100.0) * F.col("overlap_area") / F.col("_total")).alias("overlap_pct"),
     )
 
 
@@ -51,7 +84,7 @@ def distinct_outlines(polys: DataFrame, key: str, by: Sequence[str] = (), ring:
     repeated by a third of all rows stays one row.
     """
     return (
-        polys.withColumn("signature", geo.signature(F.col(ring)))
+        polys.withColumn("signature", geo.shape_signature(F.col(ring), geo.nesting(polys, ring)))
         .groupBy(*by, "signature")
         .agg(
             F.min(key).alias("first_id"),
@@ -61,53 +94,44 @@ def distinct_outlines(polys: DataFrame, key: str, by: Sequence[str] = (), ring:
     )
 
 
-def _relation(cells: Column, a: Column, b: Column) -> Column:
+def _relation(shared: Column, a: Column, b: Column) -> Column:
+    near = lambda v: F.abs(shared - v) <= v * TOLERANCE
     return (
-        F.when((cells == a) & (cells == b), "IDENTICAL")
-        .when(cells == b, "A_CONTAINS_B")
-        .when(cells == a, "B_CONTAINS_A")
+        F.when(near(a) & near(b), "IDENTICAL")
+        .when(near(b), "A_CONTAINS_B")
+        .when(near(a), "B_CONTAINS_A")
         .otherwise("OVERLAPPING")
     )
 
 
 def _overlaps(polys: DataFrame, key: str, by: Sequence[str], step: float, ring: str) -> DataFrame:
-    """Pairs of distinct outlines a < b (within ``by``) that share cells.
+    """Pairs of distinct outlines a < b (within ``by``) that share an area.
 
     ``a`` and ``b`` are the smallest ids drawn with each outline and
     ``n_pairs`` the id pairs behind the row; copies of one outline are one
     IDENTICAL row with a = b.
     """
     by = list(by)
-    shapes = distinct_outlines(polys, key, by, ring)
-    cells = cover(shapes, [*by, "first_id", "n_copies"], ring, step)
-    size = cells.groupBy(*by, "first_id", "n_copies").agg(F.count(F.lit(1)).alias("cells"))
-    lean = cells.drop("n_copies")
-    pairs = (
-        lean.withColumnRenamed("first_id", "a")
-        .join(lean.withColumnRenamed("first_id", "b"), [*by, "cx", "cy"])
-        .filter(F.col("a") < F.col("b"))
-        .groupBy(*by, "a", "b")
-        .agg(F.count(F.lit(1)).alias("shared"))
+    outlines = distinct_outlines(polys, key, by, ring)
+    shapes = _shapes(outlines, [*by, "first_id"], ring)
+    other = lambda n: shapes.withColumnRenamed("first_id", n)
+    pairs = _shared(other("a"), other("b"), "a", "b", by, step, once=True)
+    copies = lambda n: outlines.select(*by, F.col("first_id").alias(n), F.col("n_copies").alias(f"c{n}"))
+    between = pairs.join(copies("a"), [*by, "a"]).join(copies("b"), [*by, "b"]).select(
+        *by, "a", "b", "shared", "area_a", "area_b", (F.col("ca") * F.col("cb")).alias("n_pairs")
     )
-
-    def side(name: str) -> DataFrame:
-        return size.select(*by, F.col("first_id").alias(name), F.col("cells").alias(f"n{name}"), F.col("n_copies").alias(f"c{name}"))
-
-    between = pairs.join(side("a"), [*by, "a"]).join(side("b"), [*by, "b"]).select(
-        *by, "a", "b", "shared", "na", "nb", (F.col("ca") * F.col("cb")).alias("n_pairs")
-    )
-    among = size.filter("n_copies > 1").select(
-        *by, F.col("first_id").alias("a"), F.col("first_id").alias("b"), F.col("cells").alias("shared"),
-        F.col("cells").alias("na"), F.col("cells").alias("nb"),
+    among = shapes.join(outlines.filter("n_copies > 1").select(*by, "first_id", "n_copies"), [*by, "first_id"]).select(
+        *by, F.col("first_id").alias("a"), F.col("first_id").alias("b"), F.col("area").alias("shared"),
+        F.col("area").alias("area_a"), F.col("area").alias("area_b"),
         (F.col("n_copies") * (F.col("n_copies") - 1) / 2).cast("long").alias("n_pairs"),
     )
     return between.unionByName(among).select(
         *by,
         "a",
         "b",
-        _relation(F.col("shared"), F.col("na"), F.col("nb")).alias("relation"),
-        (F.col("shared") * F.lit(step * step)).alias("overlap_area"),
-        (F.lit(100.0) * F.col("shared") / F.least("na", "nb")).alias("overlap_pct_of_smaller"),
+        _relation(F.col("shared"), F.col("area_a"), F.col("area_b")).alias("relation"),
+        F.col("shared").alias("overlap_area"),
+        (F.lit(100.0) * F.col("shared") / F.least("area_a", "area_b")).alias("overlap_pct_of_smaller"),
         "n_pairs",
     )
 
@@ -202,6 +226,11 @@ def nearest(
     cand = materialise(slim, "nearest-targets")
     spots = cand.select(*by, F.col("tx").alias("x"), F.col("ty").alias("y")).distinct()
     step, extent = _first_step(spots, by, k)
+    # Points far outside the targets count too: the last round must reach from any point to any target.
+    sides = points.select("x", "y").union(spots.select("x", "y")).agg(
+        F.max("x") - F.min("x"), F.max("y") - F.min("y")
+    ).first()
+    extent = max(extent, *[(v or 0) * 1.001 for v in sides])
     open_points = points.select(*by, F.col(key).alias("_p"), "x", "y")
     done = None
     while True:

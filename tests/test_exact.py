@@ -153,3 +153,64 @@ def test_position_by_ranges_when_one_date_holds_most_rows(spark):
     assert got["pos"].tolist() == list(range(900)) and (got[["d", "k"]].to_numpy() == want[["d", "k"]].to_numpy()).all()
     sizes = {r["split"]: r["count"] for r in row_split(df, ["d", "k"]).groupBy("split").count().collect()}
     assert sizes == {"train": 630, "validation": 135, "test": 135}
+
+
+def polygon(*rings):
+    return [ring(r) for r in rings]
+
+
+def box(x, y, w, h):
+    return [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+
+
+@pytest.mark.parametrize("step", [0.25, 1.0, 7.0])
+def test_overlaps_are_exact_off_the_grid(spark, step):
+    """Tiny, shifted, concave, holed and multipart shapes; areas in closed form, whatever the cell size."""
+    shape = f"array<array<{RING}>>"
+    parts = [
+        (1, [polygon(box(0.1, 0.1, 3, 3))]),
+        (2, [polygon(box(0.35, 0.35, 0.3, 0.3))]),  # no cell centre inside
+        (3, [polygon(box(-1, -1, 6, 6), box(0.2, 0.2, 2, 2))]),  # a frame around a hole
+        (4, [polygon(box(2.9, 0, 1, 1)), polygon(box(-0.5, 2.5, 1, 1))]),  # two parts
+        (5, [polygon([(0.1, 0.1), (3.1, 0.1), (0.1, 3.1)])]),
+        (6, [polygon(box(100, 100, 1e-3, 1e-3))]),
+    ]
+    df = spark.createDataFrame(parts, f"id int, ring {shape}")
+    got = {(r["a"], r["b"]): (r["relation"], round(r["overlap_area"], 9)) for r in spatial.cross_overlaps(df, "id", step).collect()}
+    assert got == {
+        (1, 2): ("A_CONTAINS_B", 0.09), (1, 3): ("OVERLAPPING", 5.0), (1, 4): ("OVERLAPPING", 0.42), (1, 5): ("A_CONTAINS_B", 4.5),
+        (2, 5): ("B_CONTAINS_A", 0.09), (3, 4): ("A_CONTAINS_B", 2.0), (3, 5): ("OVERLAPPING", 1.22), (4, 5): ("OVERLAPPING", 0.18),
+    }
+
+
+def test_membership_keeps_tiny_polygons(spark):
+    zones = spark.createDataFrame([("z", ring(box(0, 0, 10, 10)))], f"z string, ring {RING}")
+    small = spark.createDataFrame([(1, ring(box(0.1, 0.1, 0.3, 0.3))), (2, ring(box(9.75, 3, 0.5, 0.5))), (3, ring(box(10, 0, 1, 1)))], f"id int, ring {RING}")
+    got = {r["id"]: (r["overlap_area"], r["overlap_pct"]) for r in spatial.membership(small, zones, "id", "z", 1.0).collect()}
+    assert set(got) == {1, 2}
+    assert got[1] == (pytest.approx(0.09), pytest.approx(100)) and got[2] == (pytest.approx(0.125), pytest.approx(50))
+
+
+def test_holes_count_in_signature_and_centroid(spark):
+    shape = f"array<{RING}>"
+    df = spark.createDataFrame([(1, polygon(box(0, 0, 4, 4))), (2, polygon(box(0, 0, 4, 4), box(0, 0, 2, 4))), (3, polygon(list(reversed(box(0, 0, 4, 4))), list(reversed(box(0, 0, 2, 4)))))], f"id int, rings {shape}")
+    rings = geo.oriented_rings(F.col("rings"), geo.nesting(df, "rings"))
+    got = {r["id"]: r for r in df.select("id", geo.shape_signature(F.col("rings"), 2).alias("s"), geo.total(rings, geo.signed_area).alias("a"), geo.shape_centroid(rings)[0].alias("x")).collect()}
+    assert got[2]["s"] == got[3]["s"] != got[1]["s"]
+    assert [(got[i]["a"], got[i]["x"]) for i in (1, 2, 3)] == [(16.0, 2.0), (8.0, 3.0), (8.0, 3.0)]
+
+
+def test_nearest_keeps_points_far_from_all_targets(spark):
+    t = spark.createDataFrame([(i, float(i % 40) / 40, float(i // 40) / 40) for i in range(400)], "id long, x double, y double")
+    p = spark.createDataFrame([(1000, 100.0, 100.0), (1001, -5e6, 3.0), (1002, 0.5, 0.1)], "id long, x double, y double")
+    got = {(r["id"], r["other"], r["rank"]) for r in spatial.nearest(p, t, "id", "id", 3).collect()}
+    assert got == brute(p.toPandas(), t.toPandas(), 3, False)
+
+
+def test_latest_dates_per_area(spark):
+    from finecast.operators import ingest
+
+    rows = [("a", f"2024-01-{d:02d}", i) for d in range(1, 12) for i in range(2)] + [("b", f"2023-01-{d:02d}", 0) for d in range(1, 12)] + [(None, "2020-05-05", 1), ("c", None, 1)]
+    df = spark.createDataFrame(rows, "area string, date string, v int")
+    got = ingest.latest_dates(df, "date", 7, ["area"]).groupBy("area").agg(F.count("*").alias("n"), F.min("date").alias("lo")).collect()
+    assert {r["area"]: (r["n"], r["lo"]) for r in got} == {"a": (14, "2024-01-05"), "b": (7, "2023-01-05"), None: (1, "2020-05-05")}
