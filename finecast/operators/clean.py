@@ -54,6 +54,9 @@ PREDICTOR_BLOCKED = (
     "target_datetime", "valid_time", "acquisition_date", "system_index", "source_dataset",
     "source_file", "provenance",
 )
+# What a lead column may not be about, and how past-only columns begin.
+PREDICTOR_META = ("lead", "issued_date", "issue_date", "run", "retrieved", "rule", "source", "model")
+PREDICTOR_HISTORY = ("hist__", "rainfall_", "wet_day_", "calendar_", "time__", "historical_")
 PREDICTOR_BLOCKED_NAMES = (
     "date", "latitude", "longitude", "actual_is_reference_only", "synthetic_data_present",
     "interpolation_present",
@@ -226,23 +229,27 @@ def hard_excluded(name: str, targets: Sequence[str]) -> bool:
 
 
 def predictors(
-    columns: Sequence[str], horizon: int, targets: Sequence[str], roles: Mapping[str, str] | None = None
+    columns: Sequence[str], horizon: int, targets: Sequence[str], roles: Mapping[str, tuple[str, str]] | None = None
 ) -> list[str]:
     """P-11: columns that may feed a model at one horizon.
 
-    Forecast values of exactly this lead and past-only ``hist__`` columns;
-    ``roles`` (column to final role) may admit more forecast predictors.
+    Forecast values of exactly this lead that say nothing about the run itself,
+    admitted by weather family or by the dictionary, and past-only columns,
+    admitted by prefix or by the dictionary.  ``roles`` is the dictionary: column
+    to (feature group, final role).
     """
-    roles = roles or {}
     chosen = []
     for c in columns:
         low = c.lower()
         if hard_excluded(c, targets):
             continue
-        lead = low.endswith(f"_d{horizon}") and (
-            roles.get(c) == "forecast_predictor" or any(t in low for t in PREDICTOR_FAMILIES)
+        group, role = (roles or {}).get(c, ("", ""))
+        ahead = low.endswith(f"_d{horizon}") and not any(t in low for t in PREDICTOR_META)
+        known = (group, role) == ("weather_forecast", "forecast_predictor")
+        past = low.startswith(PREDICTOR_HISTORY) or (
+            group in ("historical_weather", "temporal_control") and role in ("historical_source", "candidate_predictor", "temporal_alignment")
         )
-        if lead or low.startswith("hist__") or (low.startswith("time__") and name_has_role(c, "temporal")):
+        if past or (ahead and (known or any(t in low for t in PREDICTOR_FAMILIES))):
             chosen.append(c)
     return chosen
 

@@ -46,9 +46,14 @@ def require_no_future(stored: DataFrame, date_col: str, today: Column) -> DataFr
 def append_new(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
 ) -> DataFrame:
-    """I-02: add rows with unseen keys only; a stored row always wins."""
-    fresh = dedupe(new, keys, list(order) or list(keys), keep="first")
-    return existing.unionByName(fresh.join(existing.select(*keys), list(keys), "left_anti"))
+    """I-02: add rows with unseen keys only; a stored row always wins.
+
+    Keys are compared null-safe, so a key with a NULL in it is stored once too.
+    """
+    fresh = dedupe(new, keys, list(order) or list(keys), keep="first").alias("a")
+    seen = existing.select(*keys).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    return existing.unionByName(fresh.join(seen, same, "left_anti"))
 
 
 def upsert_latest(
@@ -62,28 +67,30 @@ def upsert_latest(
 def conflicts(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], rtol: float = 1e-10, atol: float = 1e-12
 ) -> DataFrame:
-    """Keys whose repeated rows disagree, with the columns that differ."""
+    """Keys of ``new`` whose rows disagree, with each other or with stored ones, and the columns that differ.
+
+    One partial aggregate over both tables (extremes and counts per key), so
+    neither repeated keys nor a hot one multiply rows.
+    """
     values = [c for c in existing.columns if c not in keys]
     numeric = {f.name for f in existing.schema.fields if f.dataType.typeName() in ("double", "float")}
-    a, b = existing.alias("a"), new.alias("b")
-    on = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    both = existing.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    parts = [x for i, c in enumerate(values) for x in (F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"), F.count(c).alias(f"_n{i}"))]
+    g = both.groupBy(*keys).agg(F.bool_or("_new").alias("_new"), F.count(F.lit(1)).alias("_n"), *parts).filter("_new AND _n > 1")
 
-    def differs(c: str) -> Column:
-        x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
-        return ~close(x, y, rtol, atol) if c in numeric else ~x.eqNullSafe(y)
+    def differs(i: int, c: str) -> Column:
+        lo, hi, n = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_n{i}")
+        apart = ~(close(hi, lo, rtol, atol) | hi.eqNullSafe(lo)) if c in numeric else ~hi.eqNullSafe(lo)
+        return apart | ((n > 0) & (n < F.col("_n")))
 
-    named = F.array_compact(F.array(*[F.when(differs(c), F.lit(c)) for c in values]))
-    return (
-        a.join(b, on)
-        .select(*[F.col(f"a.{k}").alias(k) for k in keys], named.alias("differing"))
-        .filter(F.size("differing") > 0)
-    )
+    named = F.array_compact(F.array(*[F.when(differs(i, c), F.lit(c)) for i, c in enumerate(values)]))
+    return g.select(*keys, named.alias("differing")).filter(F.size("differing") > 0)
 
 
 def append_strict(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], rtol: float = 1e-10, atol: float = 1e-12
 ) -> DataFrame:
-    """I-04: identical repeats are ignored, a changed repeat raises."""
+    """I-04: identical repeats are ignored; a changed repeat raises, be it of a stored row or inside the delivery."""
     bad = conflicts(existing, new, keys, rtol, atol).limit(guards.EXAMPLES).collect()
     if bad:
         raise DataContractError(f"same key, different values: {[r.asDict() for r in bad]}")

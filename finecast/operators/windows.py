@@ -96,13 +96,25 @@ def primary_variables(columns: Sequence[str], excluded: Sequence[str] = ()) -> l
         members = [c for c in columns if c not in excluded and any(t in c.lower() for t in tokens)]
         if members:
             best = max(members, key=lambda c: sum(s for t, s in NAME_SCORES.items() if t in c.lower()))
-            if best not in chosen:
+            if best not in chosen:  # one column serves one family
                 chosen.append(best)
     return chosen
 
 
+def primary_from_dictionary(
+    dictionary: DataFrame, columns: Sequence[str], targets: Sequence[str], dataset: str = "block_observations_daily", group: str = "historical_weather",
+    name: str = "column_name",
+) -> DataFrame:
+    """W-04 as the reference catalogue asks: only dictionary rows of one dataset and group, present in the data and no target."""
+    fit = (F.col("source_dataset") == dataset) & (F.col("feature_group") == group)
+    return primary_report(dictionary.filter(fit & F.col(name).isin(list(columns)) & ~F.col(name).isin(list(targets))), name)
+
+
 def primary_report(dictionary: DataFrame, name: str = "column_name") -> DataFrame:
-    """W-04 over a dictionary table: (family, column_name), first row wins ties by ``position``."""
+    """W-04 over a dictionary table: (family, column_name), first row wins ties by ``position``.
+
+    A column that is the best of several families stands under the first alone.
+    """
     low = F.lower(F.col(name))
     score = sum((F.when(low.contains(t), s).otherwise(0) for t, s in NAME_SCORES.items()), F.lit(0))
     families = F.array(
@@ -112,9 +124,9 @@ def primary_report(dictionary: DataFrame, name: str = "column_name") -> DataFram
         ]
     )
     tagged = dictionary.select(name, "position", score.alias("_s"), F.explode(F.array_compact(families)).alias("family"))
-    return tagged.groupBy("family").agg(
-        F.min_by(name, F.struct(-F.col("_s"), F.col("position"))).alias(name)
-    )
+    best = tagged.groupBy("family").agg(F.min_by(name, F.struct(-F.col("_s"), F.col("position"))).alias(name))
+    rank = F.array_position(F.array(*[F.lit(f) for f in FAMILIES]), F.col("family"))
+    return best.groupBy(name).agg(F.min_by("family", rank).alias("family")).select("family", name)
 
 
 def _daily_parts(obs: DataFrame, by: Sequence[str], date_col: str, values: Sequence[str]) -> DataFrame:

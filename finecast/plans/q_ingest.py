@@ -211,10 +211,10 @@ def _(f):
 
 @query(
     "i04_conflicts",
-    with_("radar", """SELECT a.gp_id, a.image_id, array_to_string(list_filter([CASE WHEN a.date IS DISTINCT FROM b.date THEN 'date' END,
-        CASE WHEN a.vv IS DISTINCT FROM b.vv THEN 'vv' END, CASE WHEN a.v IS DISTINCT FROM b.v THEN 'v' END], lambda x: x IS NOT NULL), ',') AS differing
-      FROM a JOIN b ON a.gp_id = b.gp_id AND a.image_id = b.image_id
-      WHERE a.date IS DISTINCT FROM b.date OR a.vv IS DISTINCT FROM b.vv OR a.v IS DISTINCT FROM b.v""", a=EXISTING, b=ARRIVING),
+    with_("radar", """SELECT gp_id, image_id, differing FROM (SELECT gp_id, image_id, array_to_string(list_filter([
+        CASE WHEN COUNT(DISTINCT date) > 1 OR COUNT(date) BETWEEN 1 AND COUNT(*) - 1 THEN 'date' END, CASE WHEN COUNT(DISTINCT vv) > 1 OR COUNT(vv) BETWEEN 1 AND COUNT(*) - 1 THEN 'vv' END,
+        CASE WHEN COUNT(DISTINCT v) > 1 OR COUNT(v) BETWEEN 1 AND COUNT(*) - 1 THEN 'v' END], lambda x: x IS NOT NULL), ',') AS differing
+      FROM (SELECT *, 0 AS o FROM a UNION ALL BY NAME SELECT *, 1 AS o FROM b) GROUP BY gp_id, image_id HAVING MAX(o) = 1) WHERE differing <> ''""", a=EXISTING, b=ARRIVING),
 )
 def _(f):
     c = ingest.conflicts(*batches(f), ["gp_id", "image_id"])

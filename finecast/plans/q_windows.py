@@ -107,10 +107,10 @@ NAMES = "actual_temperature_2m_mean actual_temperature_2m_max actual_rain_sum ac
       - CASE WHEN contains(n, 'std') THEN 20 ELSE 0 END - CASE WHEN contains(n, 'max') THEN 10 ELSE 0 END - CASE WHEN contains(n, 'min') THEN 10 ELSE 0 END AS s
       FROM (SELECT lower(p_name) || '_' || f || '_' || lower(p_type) AS n, MIN(p_partkey) AS position FROM part,
         (SELECT unnest(['rain', 'temp_mean', 'humidity_2m', 'wind_max', 'pressure', 'dewpoint_min']) AS f) GROUP BY ALL))
-    SELECT family, arg_min(n, (-s, position, n)) AS column_name FROM names JOIN
+    SELECT arg_min(family, list_position(['rain', 'temperature', 'humidity', 'wind', 'pressure', 'dewpoint'], family)) AS family, column_name FROM (SELECT family, arg_min(n, (-s, position, n)) AS column_name FROM names JOIN
       (SELECT unnest(['rain', 'temperature', 'humidity', 'wind', 'pressure', 'dewpoint']) AS family,
               unnest(['rain|precip', 'temp', 'humidity', 'wind', 'pressure', 'dewpoint|dew_point']) AS pat)
-      ON regexp_matches(n, pat) GROUP BY family""",
+      ON regexp_matches(n, pat) GROUP BY family) GROUP BY column_name""",
 )
 def _(f):
     """Best-named column per weather family over a table of column names."""

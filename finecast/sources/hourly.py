@@ -19,8 +19,9 @@ def read_payloads(spark: SparkSession, path: str, variables: Sequence[str], ids:
 def explode_hourly(df: DataFrame, keys: Sequence[str], variables: Sequence[str], strict: bool = True, root: str = "hourly") -> DataFrame:
     """S-02: one row per hour.
 
-    Strict: a variable missing from the schema, absent in a payload or of
-    another length than ``time`` fails.  Lenient: it becomes NULL.
+    Strict: a variable missing from the schema or absent in a payload fails.
+    Lenient: it becomes NULL.  In both, an array of another length than ``time``
+    and a time that cannot be read fail the job.
     """
     present = {f.name for f in df.schema[root].dataType.fields}
     gone = [v for v in variables if v not in present]
@@ -29,16 +30,17 @@ def explode_hourly(df: DataFrame, keys: Sequence[str], variables: Sequence[str],
     n = F.size(f"{root}.time")
     arrays = []
     for v in variables:
+        nulls = F.array_repeat(F.lit(None).cast("double"), n)
         if v in gone:
-            a = F.array_repeat(F.lit(None).cast("double"), n)
+            a = nulls
         else:
             a = F.col(f"{root}.{v}")
-            same = F.coalesce(F.size(a) == n, F.lit(False))
-            if strict:
-                a = F.when(same, a).otherwise(F.raise_error(F.lit(f"{v}: length differs from time")))
-            else:
-                a = F.when(same, a).otherwise(F.array_repeat(F.lit(None).cast("double"), n))
+            absent = F.raise_error(F.lit(f"{v}: absent from a payload")).cast("array<double>") if strict else nulls
+            wrong = F.raise_error(F.lit(f"{v}: length differs from time")).cast("array<double>")
+            a = F.when(a.isNull(), absent).when(F.size(a) == n, a).otherwise(wrong)
         arrays.append(a.alias(v))
     zipped = F.arrays_zip(F.col(f"{root}.time").alias("time"), *arrays)
     out = df.select(*keys, F.explode(zipped).alias("h")).select(*keys, "h.*")
-    return out.withColumn("time", F.try_to_timestamp(F.col("time").cast("string")))
+    raw = F.col("time").cast("string")
+    read = F.coalesce(F.try_to_timestamp(raw), F.raise_error(F.concat(F.lit("not a time: "), F.coalesce(raw, F.lit("NULL")))).cast("timestamp"))
+    return out.withColumn("time", read)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 
 from finecast.errors import DataContractError
 from finecast.functions.names import match_key
-from finecast.session import fresh_dir
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -44,21 +43,33 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
 
 
 def publish(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """S-08: stage first, then replace the target.
+    """S-08: the target changes only after all data have been written, once.
 
-    The frame is computed completely into a staging folder; a failed job
-    leaves the target as it was.  With keys, only the partitions present in
-    the new data are replaced.
+    With keys, Spark's dynamic overwrite stages the files and its commit swaps
+    in the partitions present in the new data; the others stay.  Without, the
+    data are written beside the target, which is then renamed away and replaced;
+    if the second rename fails the old target is put back.  A failed job leaves
+    the target as it was.
     """
-    spark = df.sparkSession
-    staged = fresh_dir(spark, "publish")
-    df.write.parquet(staged)
-    back = spark.read.schema(df.schema).parquet(staged)
-    writer = back.write.mode("overwrite")
     if keys:
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-    else:
-        writer.parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+        return
+    parent, _, name = path.rstrip("/").rpartition("/")
+    tag = uuid.uuid4().hex
+    staged, old = (f"{parent}/.{name}-{what}-{tag}" for what in ("new", "old"))
+    df.write.parquet(staged)
+    jvm = df.sparkSession.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    had = fs.exists(at(path))
+    if had and not fs.rename(at(path), at(old)):
+        raise DataContractError(f"cannot set {path} aside")
+    if not fs.rename(at(staged), at(path)):
+        if had:
+            fs.rename(at(old), at(path))
+        raise DataContractError(f"cannot put the new data at {path}")
+    if had:
+        fs.delete(at(old), True)
 
 
 def manifest(df: DataFrame, keys: Sequence[str], date_col: str | None = None, policy: Mapping[str, bool] | None = None) -> DataFrame:
@@ -122,7 +133,3 @@ def require_resolved(resolved: DataFrame) -> DataFrame:
     if bad:
         raise DataContractError(f"locations not resolved: {[r.asDict() for r in bad]}")
     return resolved
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

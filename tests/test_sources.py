@@ -63,8 +63,17 @@ def test_hourly_strict_and_lenient(spark, tmp_path):
         hourly.explode_hourly(df, ["gp_id"], ["t", "rain"]).collect()
     with pytest.raises(DataContractError):
         hourly.explode_hourly(df, ["gp_id"], ["t", "snow"])
+    with pytest.raises(Exception, match="length differs"):
+        hourly.explode_hourly(df, ["gp_id"], ["t", "rain", "snow"], strict=False).collect()
+    q = write(tmp_path / "q.json", payload(t=[1.0, 2.0]))
+    df = hourly.read_payloads(spark, q, ["t", "rain"], "gp_id string")
     got = hourly.explode_hourly(df, ["gp_id"], ["t", "rain", "snow"], strict=False).orderBy("time").collect()
     assert [(r["time"].hour, r["t"], r["rain"], r["snow"]) for r in got] == [(0, 1.0, None, None), (1, 2.0, None, None)]
+    with pytest.raises(Exception, match="absent"):
+        hourly.explode_hourly(df, ["gp_id"], ["t", "rain"]).collect()
+    bad = write(tmp_path / "b.json", payload(t=[1.0, 2.0]).replace("2024-01-01T01:00", "yesterday"))
+    with pytest.raises(Exception, match="not a time"):
+        hourly.explode_hourly(hourly.read_payloads(spark, bad, ["t"], "gp_id string"), ["gp_id"], ["t"], strict=False).collect()
 
 
 def test_failed_publish_leaves_the_target(spark, tmp_path):
@@ -78,6 +87,18 @@ def test_failed_publish_leaves_the_target(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 5]
 
 
+def test_publish_without_keys_swaps_whole_tables(spark, tmp_path):
+    path = str(tmp_path / "whole")
+    tables.publish(spark.range(3), path)
+    tables.publish(spark.range(5, 7), path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [5, 6]
+    broken = spark.range(2).withColumn("id", F.when(F.col("id") == 1, F.raise_error(F.lit("stop"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stop"):
+        tables.publish(broken, path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [5, 6]
+    assert [n for n in os.listdir(tmp_path) if "-old-" in n] == []
+
+
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     path = str(tmp_path / "p")
     tables.write_partitioned(spark.range(4000).selectExpr("if(id % 3 = 0, id % 50, 99) as k", "id"), path, ["k"])

@@ -248,6 +248,29 @@ def test_primary_variable_names():
 def test_predictor_choice():
     cols = ["temp_forecast_d1", "temp_forecast_d2", "forecast_issued_date_d1", "hist__rain__lag_1d", "actual_rain_d1", "date", "rain_d1"]
     assert clean.predictors(cols, 1, ["y"]) == ["temp_forecast_d1", "hist__rain__lag_1d", "rain_d1"]
+    about = ["rain_source_d3", "wind_model_d3", "temp_rule_d3", "rainfall_7d", "wet_day_3", "calendar_month", "soil_d3", "gdd", "odd"]
+    assert clean.predictors(about, 3, []) == ["rainfall_7d", "wet_day_3", "calendar_month"]
+    roles = {"soil_d3": ("weather_forecast", "forecast_predictor"), "gdd": ("historical_weather", "historical_source"), "odd": ("weather_forecast", "metadata"), "wind_model_d3": ("weather_forecast", "forecast_predictor")}
+    assert clean.predictors(about, 3, [], roles) == ["rainfall_7d", "wet_day_3", "calendar_month", "soil_d3", "gdd"]
+
+
+def test_dictionary_limits_primary_variables(spark):
+    rows = [("rain_mean", "block_observations_daily", "historical_weather", 1), ("rain_2m_mean", "other", "historical_weather", 2), ("temp_mean", "block_observations_daily", "static", 3),
+            ("wind_mean", "block_observations_daily", "historical_weather", 4), ("rain_temp", "block_observations_daily", "historical_weather", 5), ("pressure", "block_observations_daily", "historical_weather", 6)]
+    d = spark.createDataFrame(rows, "column_name string, source_dataset string, feature_group string, position int")
+    got = {r["family"]: r["column_name"] for r in windows.primary_from_dictionary(d, ["rain_mean", "rain_2m_mean", "temp_mean", "rain_temp", "pressure", "wind_mean"], ["pressure"]).collect()}
+    assert got == {"rain": "rain_mean", "temperature": "rain_temp", "wind": "wind_mean"}
+
+
+def test_conflict_inside_a_delivery_and_null_keys(spark):
+    old = spark.createDataFrame([(1, 1.0), (None, 5.0)], "k int, v double")
+    twice = spark.createDataFrame([(2, 1.0), (2, 9.0)], "k int, v double")
+    with pytest.raises(DataContractError):
+        ingest.append_strict(old, twice, ["k"])
+    same = spark.createDataFrame([(2, 1.0), (2, 1.0), (None, 5.0)], "k int, v double")
+    assert sorted((r["k"] or 0, r["v"]) for r in ingest.append_strict(old, same, ["k"]).collect()) == [(0, 5.0), (1, 1.0), (2, 1.0)]
+    half = spark.createDataFrame([(1, None)], "k int, v double")
+    assert [r["differing"] for r in ingest.conflicts(old, half, ["k"]).collect()] == [["v"]]
 
 
 def test_static_predictors(spark):
