@@ -58,14 +58,13 @@ def prints(text: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def maximal_repeats(texts: list[bytes], starts: list[int], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(length, occurrences as (text, place)) of the repeats of at least ``length`` bytes within ``texts``.
+def suffixes(texts: list[bytes], starts: list[int], length: int) -> tuple[np.ndarray, ...]:
+    """(text, place, lcp, before): enhanced suffix array of the strings that start in the first ``starts[i]`` bytes of texts.
 
-    Only strings that start in the first ``starts[i]`` bytes of a text are
-    looked at.  Their suffixes are sorted as big-endian words, neighbours'
-    common prefixes give the intervals of the enhanced suffix array in one scan
-    with a stack, and an interval is a maximal repeat when the bytes to the left
-    of its members differ or one of them stands at the left end of its text.
+    Suffixes are sorted as big-endian words; ``lcp[i]`` is what suffix i shares
+    with the one after it, ``before`` the byte to its left (-1 at the left end).
+    Strings whose first ``length`` bytes stand alone by their hash are no repeats
+    and are left out before sorting.
     """
     size = np.array([len(t) for t in texts])
     words = int(-(-size.max() // 8)) if len(size) else 0
@@ -75,7 +74,6 @@ def maximal_repeats(texts: list[bytes], starts: list[int], length: int) -> Itera
     count = np.array(starts)
     text = np.repeat(np.arange(len(texts)), count)
     place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    # Strings that stand alone by their hash are no repeats and need no sorting.
     base = np.ndarray((len(texts), words * 8 + 1), ">u8", grid, 0, (grid.shape[1], 1))
     look = np.zeros(len(text), np.uint64)
     for k in [*range(0, length - 7, 8), length - 8]:
@@ -83,17 +81,14 @@ def maximal_repeats(texts: list[bytes], starts: list[int], length: int) -> Itera
     _, back, seen = np.unique(look, return_inverse=True, return_counts=True)
     again = seen[back] > 1
     text, place = text[again], place[again]
-    if not len(text):
-        return
     left = size[text] - place
     keys = np.zeros((len(text), words), np.uint64)
     for k in range(words):
-        at = np.minimum(place + 8 * k, words * 8)
-        keys[:, k] = np.where(8 * k < left, base[text, at], 0)
+        keys[:, k] = np.where(8 * k < left, base[text, np.minimum(place + 8 * k, words * 8)], 0)
     order = np.lexsort([left, *keys.T[::-1]])
     text, place, left, keys = text[order], place[order], left[order], keys[order]
     differ = keys[1:] != keys[:-1]
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), words - 1)
+    first = np.where(differ.any(axis=1), differ.argmax(axis=1), words - 1) if len(differ) else np.zeros(0, np.int64)
     row = np.arange(len(first))
     apart = keys[1:][row, first] ^ keys[:-1][row, first]
     same = np.zeros(len(first), np.int64)
@@ -101,22 +96,37 @@ def maximal_repeats(texts: list[bytes], starts: list[int], length: int) -> Itera
         same += (apart >> np.uint64(56 - 8 * byte)) == 0
     lcp = np.minimum(8 * first + same, np.minimum(left[1:], left[:-1]))
     before = np.where(place > 0, grid[text, np.maximum(place - 1, 0)].astype(np.int64), -1)
+    return text, place, lcp, before
+
 
-    def diverse(lo: int, hi: int) -> bool:
-        part = before[lo : hi + 1]
-        return bool((part < 0).any() or (part != part[0]).any())
+def interval_tree(lcp: np.ndarray, before: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """(common, lo, hi) of the maximal repeats, inner intervals before outer ones.
 
-    stack: list[tuple[int, int]] = []  # (common prefix, first member) of open intervals
-    for i in range(1, len(text) + 1):
-        here = int(lcp[i - 1]) if i < len(text) else 0
+    One scan of the common prefixes with a stack of open intervals.  An interval
+    is a maximal repeat when the bytes to the left of its members differ, or one
+    of them stands at the left end of its text.
+    """
+    found: list[tuple[int, int, int]] = []
+    stack: list[tuple[int, int]] = []
+    for i in range(1, len(before) + 1):
+        here = int(lcp[i - 1]) if i < len(before) else 0
         here = here if here >= length else 0
         lo = i - 1
         while stack and stack[-1][0] > here:
             common, lo = stack.pop()
-            if diverse(lo, i - 1):
-                yield common, list(zip(text[lo:i].tolist(), place[lo:i].tolist(), strict=True))
+            part = before[lo:i]
+            if (part < 0).any() or (part != part[0]).any():
+                found.append((common, lo, i - 1))
         if here and (not stack or stack[-1][0] < here):
             stack.append((here, lo))
+    return found
+
+
+def maximal_repeats(texts: list[bytes], starts: list[int], length: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """(length, all occurrences as (text, place)) of the maximal repeats of at least ``length`` bytes within ``texts``."""
+    text, place, lcp, before = suffixes(texts, starts, length)
+    for common, lo, hi in interval_tree(lcp, before, length):
+        yield common, list(zip(text[lo : hi + 1].tolist(), place[lo : hi + 1].tolist(), strict=True))
 
 
 def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -159,10 +169,14 @@ def _piece_rows(docs: DataFrame, length: int) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(repeat, doc, copy, start, size, first): occurrences of repeated strings of at least ``length`` bytes.
-
-    ``repeat`` names the string, ``first`` marks its earliest occurrence (by id,
-    copy, place).  Texts are cut into pieces around anchors, so that equal
+    """(repeat, parent, doc, copy, start, size, gone): occurrences of repeated strings of at least ``length`` bytes.
+
+    ``repeat`` names a string of ``size`` bytes.  Repeats form a tree: an
+    occurrence stands once, under the longest repeat that starts there, and all
+    occurrences of a repeat are its own and those of the repeats whose ``parent``
+    it is, and so on down; a row without ``doc`` states a repeat's place in the
+    tree.  ``gone`` is the length of the longest string that starts there and
+    also starts earlier (by id, copy, place), 0 if none does.  Texts are cut into pieces around anchors, so that equal
     strings of ``length`` bytes always fall into pieces of one key: the
     repeats of a key's pieces are all there are, and a longer repeat shows as
     overlapping repeats of neighbouring keys.
@@ -193,7 +207,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
     )
     kinds = written(kinds, "pieces")
     whole = kinds.where("later OR shown").select(
-        F.xxhash64("key", "print").alias("repeat"), "doc", "copy", "start", (F.col("n") + length - 1).alias("size"), (~F.col("later")).alias("first")
+        F.xxhash64("key", "print").alias("repeat"), F.lit(None).cast("long").alias("parent"), "doc", "copy", "start", (F.col("n") + length - 1).alias("size"),
+        F.when(F.col("later"), F.col("n") + length - 1).otherwise(0).alias("gone"),
     )
     asked = kinds.where("mixed AND NOT later").select("doc", "copy", "key", "start", "n", "held")
     spots = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("key", "start", "n", "held")).alias("spots"))
@@ -216,20 +231,37 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
         size = 0
 
         def found() -> pa.RecordBatch:
-            name, doc, copy, start, long, first = [], [], [], [], [], []
-            for common, places in maximal_repeats([h[5] for h in held], [h[4] for h in held], length):
-                at = [(held[t][1], held[t][2], held[t][3] + p) for t, p in places]
-                text, place = places[0]
-                name += [int.from_bytes(hashlib.blake2b(held[text][5][place : place + common], digest_size=8).digest(), "little", signed=True)] * len(at)
-                doc += [a[0] for a in at]
-                copy += [a[1] for a in at]
-                start += [a[2] for a in at]
-                long += [common] * len(at)
-                earliest = min(at)
-                first += [a == earliest for a in at]
+            texts = [h[5] for h in held]
+            text, place, lcp, before = suffixes(texts, [h[4] for h in held], length)
+            tree = interval_tree(lcp, before, length)
+            n = len(text)
+            doc, copy = (np.array([h[k] for h in held], np.int64)[text] for k in (1, 2))
+            start = np.array([h[3] for h in held], np.int64)[text] + place
+            age = np.empty(n, np.int64)
+            age[np.lexsort((start, copy, doc))] = np.arange(n)
+            own, gone = np.full(n, -1), np.zeros(n, np.int64)
+            above = []
+            for k in range(len(tree) - 1, -1, -1):  # outer intervals first; inner ones are longer and overwrite
+                common, lo, hi = tree[k]
+                above.append(int(own[lo]))
+                own[lo : hi + 1] = k
+                first = lo + int(age[lo : hi + 1].argmin())
+                kept = gone[first]
+                gone[lo : hi + 1] = common
+                gone[first] = kept
+            above.reverse()
+            names = [int.from_bytes(hashlib.blake2b(texts[text[lo]][place[lo] : place[lo] + common], digest_size=8).digest(), "little", signed=True) for common, lo, _ in tree]
+            size_of = [common for common, _, _ in tree]
+            at = np.flatnonzero(own >= 0)
+            node = [names[k] if k >= 0 else None for k in above]
+            none = [None] * len(tree)
             return pa.RecordBatch.from_arrays(
-                [pa.array(name, pa.int64()), pa.array(doc, pa.int64()), pa.array(copy, pa.int32()), pa.array(start, pa.int32()), pa.array(long, pa.int32()), pa.array(first, pa.bool_())],
-                ["repeat", "doc", "copy", "start", "size", "first"],
+                [
+                    pa.array(names + [names[k] for k in own[at]], pa.int64()), pa.array(node + [node[k] for k in own[at]], pa.int64()),
+                    pa.array(none + doc[at].tolist(), pa.int64()), pa.array(none + copy[at].tolist(), pa.int32()), pa.array(none + start[at].tolist(), pa.int32()),
+                    pa.array(size_of + [size_of[k] for k in own[at]], pa.int32()), pa.array([0] * len(tree) + gone[at].tolist(), pa.int32()),
+                ],
+                ["repeat", "parent", "doc", "copy", "start", "size", "gone"],
             )
 
         for b in batches:
@@ -242,7 +274,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
         if held:
             yield found()
 
-    few = fetched.where("n > 0").repartition("key").sortWithinPartitions("key").mapInArrow(scan, "repeat long, doc long, copy int, start int, size int, first boolean")
+    few = fetched.where("n > 0").repartition("key").sortWithinPartitions("key").mapInArrow(scan, "repeat long, parent long, doc long, copy int, start int, size int, gone int")
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -257,7 +289,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
     strings = written(strings, "strings")
     lows = strings.groupBy("a", "b").agg(F.min(F.struct("doc", "copy", "start")).alias("low"), F.count("*").alias("k")).where("k > 1")
     many = strings.join(lows, ["a", "b"]).select(
-        F.xxhash64("a", "b").alias("repeat"), "doc", "copy", "start", F.lit(length).alias("size"), (F.struct("doc", "copy", "start") == F.col("low")).alias("first")
+        F.xxhash64("a", "b").alias("repeat"), F.lit(None).cast("long").alias("parent"), "doc", "copy", "start", F.lit(length).alias("size"),
+        F.when(F.struct("doc", "copy", "start") == F.col("low"), 0).otherwise(length).alias("gone"),
     )
     return whole.union(few).union(many)
 
@@ -289,8 +322,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", do
     bytes, which need not be valid UTF-8.  Rows with one id are copies 0, 1, ...
     and count as later in that order.  An empty table gives no rows.
     """
-    again = repeats(docs, length, text, doc_id).where("NOT first")
-    spans = again.groupBy("doc", "copy").agg(F.collect_list(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e"))).alias("spans"))
+    again = repeats(docs, length, text, doc_id).where("gone > 0")
+    spans = again.groupBy("doc", "copy").agg(F.collect_list(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("gone")).alias("e"))).alias("spans"))
     rows = _numbered(docs, text, doc_id).join(spans, ["doc", "copy"], "left").select("doc", "copy", "body", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
