@@ -223,11 +223,16 @@ def made_page(texts: list[str], rng: np.random.Generator) -> list[tuple[Block, i
 def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", sample: int = SAMPLE) -> Labeller:
     """Fit on a bounded sample of ``pages`` by what their own markup says (``silver``), and on pages made up of its texts.
 
-    Only ``sample`` pages reach the driver.  An empty table gives a labeller too,
-    fitted on made-up pages alone.
+    A hash below a bound that follows from the number of pages selects about
+    twice the sample, the smallest ``sample`` hashes of these are taken; so only a
+    bounded number of pages leaves the tasks.  An empty table gives a labeller
+    too, fitted on made-up pages alone.
     """
     body = present(F.col(html))
-    got = pages.select(F.xxhash64(F.col(page_id).cast("string"), F.substring(body, 1, 64)).alias("h"), F.substring(body, 1, 1 << 20).alias("t")).orderBy("h", "t").limit(sample).collect()
+    h = F.xxhash64(F.coalesce(F.col(page_id).cast("string"), F.lit("")), F.substring(body, 1, 64))
+    bound = min(1.0, 2 * sample / max(1, pages.count()))
+    few = pages.where(F.pmod(h, F.lit(1 << 40)) < int(bound * (1 << 40)))
+    got = few.select(F.pmod(h, F.lit(1 << 40)).alias("h"), body.alias("t")).orderBy("h", "t").limit(sample).collect()
     real = [blocks(r["t"]) for r in got]
     texts = [b.text for page in real for b in page] or ["one two three four five six seven"]
     rng = np.random.default_rng(SEED)
