@@ -20,6 +20,8 @@ PATH, WORDS, MORE = 192, 48, 6
 HIDDEN = 16
 #: Pages that the labeller is fitted on: a bounded sample, the smallest by hash of the id.
 SAMPLE = 192
+#: Characters of a sampled page that the fit reads; extraction always reads whole pages.
+FIT_CHARS = 1 << 20
 #: Made-up pages in the fit, per page of the sample.
 MADE = 3
 EPOCHS = 12
@@ -232,7 +234,7 @@ def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id", sample:
     h = F.xxhash64(F.coalesce(F.col(page_id).cast("string"), F.lit("")), F.substring(body, 1, 64))
     bound = min(1.0, 2 * sample / max(1, pages.count()))
     few = pages.where(F.pmod(h, F.lit(1 << 40)) < int(bound * (1 << 40)))
-    got = few.select(F.pmod(h, F.lit(1 << 40)).alias("h"), body.alias("t")).orderBy("h", "t").limit(sample).collect()
+    got = few.select(F.pmod(h, F.lit(1 << 40)).alias("h"), F.substring(body, 1, FIT_CHARS).alias("t")).orderBy("h", "t").limit(sample).collect()
     real = [blocks(r["t"]) for r in got]
     texts = [b.text for page in real for b in page] or ["one two three four five six seven"]
     rng = np.random.default_rng(SEED)

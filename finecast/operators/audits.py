@@ -297,17 +297,13 @@ TRAINING_GATE = (
 )
 
 
-def training_gate(checks: DataFrame) -> DataFrame:
-    """Q-12: first failing (or absent) named check decides."""
+def training_gate(checks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Q-12: first failing (or absent) named check decides, per group of ``by``."""
     ok = {n: F.coalesce(F.bool_and(F.when(F.col("check_name") == n, F.col("status") == "PASS")), F.lit(False)) for n, _ in TRAINING_GATE}
-    flags = checks.agg(*[c.alias(n) for n, c in ok.items()])
+    flags = checks.groupBy(*by).agg(*[c.alias(n) for n, c in ok.items()])
     decision, first = None, None
     for n, outcome in TRAINING_GATE:
         bad = ~F.col(n)
         decision = F.when(bad, outcome) if decision is None else decision.when(bad, outcome)
         first = F.when(bad, n) if first is None else first.when(bad, n)
     return flags.select("*", decision.otherwise("READY_FOR_TRAINING").alias("decision"), first.alias("first_failed"))
-
-
-def values_agree(a: Column, b: Column, tol: float = 1e-8) -> Column:
-    return close(a, b, tol, tol)

@@ -220,6 +220,9 @@ def unit_decision(ratios: DataFrame) -> DataFrame:
 def publish_decision(evaluation: DataFrame, by: str = "variable") -> DataFrame:
     """M-15: RAW_FORECAST, SPECIALIZED_CORRECTION, pending or unavailable per variable.
 
+    The rule is this library's own: a correction is published when it improves
+    more than half of the horizons.  Decide on the validation split; the test
+    split is for reporting alone.
     ``evaluation(variable, horizon, rmse_improvement_pct, n, unit_mismatch)``.
     """
     g = evaluation.groupBy(by).agg(

@@ -434,7 +434,7 @@ def _(f):
     return A.window_pair(f.radar.filter("orbit = 'A'"), ["gp_id"], "date", ["vv", "vh"], F.lit("2000-01-01").cast("date"))
 
 
-DECIDE = "SELECT 'precipitation' AS variable, horizon, n, rmse_improvement_pct, false AS unit_mismatch FROM (SELECT * FROM ev WHERE split = 'test') UNION ALL SELECT 'wind', horizon, 1, CAST(NULL AS DOUBLE), possible_unit_mismatch FROM uu UNION ALL SELECT 'pressure', horizon, 0, NULL, false FROM uu"
+DECIDE = "SELECT 'precipitation' AS variable, horizon, n, rmse_improvement_pct, false AS unit_mismatch FROM (SELECT * FROM ev WHERE split = 'validation') UNION ALL SELECT 'wind', horizon, 1, CAST(NULL AS DOUBLE), possible_unit_mismatch FROM uu UNION ALL SELECT 'pressure', horizon, 0, NULL, false FROM uu"
 
 
 @query(
@@ -444,7 +444,7 @@ DECIDE = "SELECT 'precipitation' AS variable, horizon, n, rmse_improvement_pct,
           p=FULL, ev=EVAL, u=WINDS, uu=UNITS, d=DECIDE),
 )
 def _(f):
-    rain = evaluation(f).filter("split = 'test'").selectExpr("'precipitation' as variable", "horizon", "n", "rmse_improvement_pct", "false as unit_mismatch")
+    rain = evaluation(f).filter("split = 'validation'").selectExpr("'precipitation' as variable", "horizon", "n", "rmse_improvement_pct", "false as unit_mismatch")
     u = metrics.unit_ratio(winds(f), ["horizon"], "actual", "raw")
     wind = u.selectExpr("'wind' as variable", "horizon", "1L as n", "cast(null as double) as rmse_improvement_pct", "possible_unit_mismatch as unit_mismatch")
     none = u.selectExpr("'pressure' as variable", "horizon", "0L as n", "cast(null as double) as rmse_improvement_pct", "false as unit_mismatch")

@@ -184,8 +184,13 @@ def test_master_refuses_repeated_key(spark):
 
 def test_merge_refuses_foreign_ids(spark):
     master = spark.createDataFrame([("1", "x")], "id string, name string")
+    for rows in ([("2", 1.0)], [], [("1", 1.0), ("2", 1.0)], [("1", 1.0), ("1", 2.0)], [("1", 1.0), (None, 2.0)]):
+        with pytest.raises(Exception, match="ids differ|blank id"):
+            joins.merge_one_to_one(master, {"s": spark.createDataFrame(rows, "id string, v double")}, "id").collect()
     with pytest.raises(DataContractError):
-        joins.merge_one_to_one(master, {"s": spark.createDataFrame([("2", 1.0)], "id string, v double")}, "id")
+        joins.merge_one_to_one(master.withColumn("s__v", F.lit(1)), {"s": spark.createDataFrame([("1", 1.0)], "id string, v double")}, "id")
+    got = joins.merge_one_to_one(master, {"s": spark.createDataFrame([("1", 1.0)], "id string, v double"), "t": spark.createDataFrame([("1", 2.0)], "id string, v double")}, "id").collect()
+    assert [tuple(r) for r in got] == [("1", "x", 1.0, 2.0)]
 
 
 def test_guards(spark):
