@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finecast.llm.components import components
@@ -162,14 +162,31 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(walk, "x long, y long")
 
 
-def _near_size(percent: int):
-    """Sizes n and m of a pair that can be similar at all."""
-    return F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+def _may_link(percent: int, common: str):
+    """Whether sets of n and m tokens can be similar with ``common`` shared tokens in their prefixes at most.
 
+    All shared tokens up to the end of the shorter-reaching prefix stand in both
+    prefixes; beyond it that set has less than its least overlap left.
+    """
+    least_of = lambda c: f"ceil({percent} * {c} / 100)"
+    need = f"ceil({percent} * (n + m) / {100 + percent})"
+    return F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m) AND {common} + greatest({least_of('n')}, {least_of('m')}) - 1 >= {need}")
+
+
+def _tested_once(pairs: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (x, y) that can be similar; the pivot stays first.
+
+    ``c`` adds up over the tokens of few sets that state a pair, so it counts
+    the prefix tokens of that kind which the two share; of tokens of many sets
+    they share h at most, the smaller of their numbers of such tokens.
+    """
+    one = pairs.groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(
+        F.min("x").alias("x"), F.sum("c").alias("c"), F.max("h").alias("h"), F.max("n").alias("n"), F.max("m").alias("m")
+    )
+    return one.where(_may_link(percent, "c + h")).select("x", F.expr("lo + hi - x").alias("y"))
 
-def _ordered_pairs(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs, the pivot first as it is; a pair stated from both ends stays once."""
-    return pairs.groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(F.min("x").alias("x")).select("x", F.expr("lo + hi - x").alias("y"))
+
+_PAIR = ("x", "y", "c", "h", "n", "m")
 
 
 def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -185,8 +202,9 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     tokens are its prefix, and similar sets share one.  Tokens that stand in one
     prefix only are dropped.  A token of few sets pairs them; one of many sets
     pairs a few pivots with all, in rounds with new pivots from those not yet
-    joined to the largest component, while that joins any; whoever is left then
-    is a query against all of the token's other components.  So no pair between
+    joined to the largest component, while that joins most; whoever is left then
+    is a query against all of the token's other components.  Pairs whose prefixes
+    share too little are dropped by a bound that no similar pair breaks.  So no pair between
     components is left unseen, and no group is paired within itself.  Pairs are
     checked over whole sets by ``tree_overlaps``.
 
@@ -205,17 +223,21 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     tokens = classes.select("rep", "n", F.explode("rare").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
     groups = written(tokens.join(counts, "token"), "ngram-groups")
-    few = groups.where(f"c <= {FEW}").groupBy("token").agg(F.collect_list(F.struct("rep", "n")).alias("g"))
-    one = few.select("g", F.explode("g").alias("p")).select(F.col("p.rep").alias("x"), F.col("p.n").alias("n"), F.explode("g").alias("q"))
-    pairs = one.select("x", F.col("q.rep").alias("y"), "n", F.col("q.n").alias("m")).where("x < y").where(_near_size(percent)).select("x", "y")
+    # g: prefix tokens that a set shares with any other, h: those of many sets.
+    own = Window.partitionBy("rep")
+    groups = written(
+        groups.select("*", F.count("*").over(own).alias("g"), F.count_if(F.col("c") > FEW).over(own).alias("h")), "ngram-groups"
+    )
+    few = groups.where(f"c <= {FEW}").groupBy("token").agg(F.collect_list(F.struct("rep", "n", "g", "h")).alias("all"))
+    one = few.select("all", F.explode("all").alias("p")).select("p", F.explode("all").alias("q")).where("p.rep < q.rep")
+    pairs = one.selectExpr("p.rep AS x", "q.rep AS y", "1 AS c", "least(p.h, q.h) AS h", "p.n AS n", "q.n AS m", "least(p.g, q.g) AS g")
+    pairs = pairs.where(_may_link(percent, "g")).select(*_PAIR)
     many = groups.where(f"c > {FEW}")
-    ids = written(groups.select("rep").distinct(), "ngram-ids")
-    near = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = written(_whole_sets(body.withColumnRenamed("doc_id", "rep").join(near, "rep"), width, often), "ngram-whole")
-    tested = written(_ordered_pairs(pairs.union(_star(many, percent, 0))), "ngram-pairs")
+    tested = written(_tested_once(pairs.union(_star(many, percent, 0)), percent), "ngram-pairs")
+    sets = _sets_of(tested, body, width, often, None)
     links = written(verified(tested, sets, percent), "ngram-links")
     comps = written(components(links, "x", "y"), "ngram-components")
-    joined, last, turn = many, None, 0
+    last, turn = None, 0
     while not many.isEmpty():
         turn += 1
         joined = many.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep")).drop("component")
@@ -225,11 +247,13 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
         left = joined.where("comp <> top").select("rep").distinct().count()
         if not left:
             break
-        final = last is not None and left >= last
+        final = last is not None and 2 * left > last
         new = _rest(joined, percent) if final else _star(joined, percent, turn)
-        new = written(_ordered_pairs(new.join(tested.select("x", "y"), ["x", "y"], "left_anti").join(tested.select(F.col("y").alias("x"), F.col("x").alias("y")), ["x", "y"], "left_anti")), "ngram-pairs")
-        more = written(verified(new, sets, percent), "ngram-links")
-        tested, links, last = tested.union(new), links.union(more), left
+        both = tested.select("x", "y").union(tested.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        new = written(_tested_once(new, percent).join(both, ["x", "y"], "left_anti"), "ngram-pairs")
+        sets = _sets_of(new, body, width, often, sets)
+        links = links.union(written(verified(new, sets, percent), "ngram-links"))
+        tested, last = tested.union(new), left
         comps = written(components(links, "x", "y"), "ngram-components")
         if final:
             break
@@ -238,25 +262,42 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     return out, links
 
 
+def _sets_of(pairs: DataFrame, body: DataFrame, width: int, often: np.ndarray, known: DataFrame | None) -> DataFrame:
+    """Whole sets of all documents of ``pairs``, besides those already ``known``."""
+    ids = pairs.select(F.col("x").alias("rep")).union(pairs.select("y")).distinct()
+    ids = written(ids if known is None else ids.join(known.select("rep"), "rep", "left_anti"), "ngram-ids")
+    near = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = written(_whole_sets(body.withColumnRenamed("doc_id", "rep").join(near, "rep"), width, often), "ngram-whole")
+    return sets if known is None else known.union(sets)
+
+
 def _star(groups: DataFrame, percent: int, turn: int) -> DataFrame:
-    """(x, y): a few pivots of each token with all its sets.
+    """Pairs of a few pivots of each token with all its sets.
 
     After the first round, pivots come from outside the token's largest component.
     """
-    open_ = groups if turn == 0 else groups.where("comp <> top")
-    comp = F.lit(None).cast("long").alias("c1") if turn == 0 else F.col("comp").alias("c1")
-    lows = [F.min(F.struct(F.xxhash64("rep", F.lit(turn * PIVOTS + i)).alias("h"), F.col("rep").alias("x"), "n", comp)).alias(f"p{i}") for i in range(PIVOTS)]
-    pivots = open_.groupBy("token").agg(*lows).select("token", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
-    pivots = pivots.select("token", "p.x", "p.n", "p.c1").distinct()
-    others = groups.select("token", F.col("rep").alias("y"), F.col("n").alias("m"), (F.lit(None).cast("long") if turn == 0 else F.col("comp")).alias("c2"))
-    return others.join(pivots, "token").where("x <> y AND (c1 IS NULL OR c1 <> c2)").where(_near_size(percent)).select("x", "y")
+    first = turn == 0
+    comp = F.lit(None).cast("long") if first else F.col("comp")
+    lows = [
+        F.min(F.struct(F.xxhash64("rep", F.lit(turn * PIVOTS + i)).alias("s"), F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("h").alias("h1"), comp.alias("c1"))).alias(f"p{i}")
+        for i in range(PIVOTS)
+    ]
+    pivots = (groups if first else groups.where("comp <> top")).groupBy("token").agg(*lows)
+    pivots = pivots.select("token", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).select("token", "p.x", "p.n", "p.g1", "p.h1", "p.c1").distinct()
+    return _against(groups, pivots, comp, percent)
 
 
 def _rest(groups: DataFrame, percent: int) -> DataFrame:
-    """(x, y): every set outside its token's largest component with all of the token's other components."""
-    queries = groups.where("comp <> top").select("token", F.col("rep").alias("x"), "n", F.col("comp").alias("c1"))
-    others = groups.select("token", F.col("rep").alias("y"), F.col("n").alias("m"), F.col("comp").alias("c2"))
-    return others.join(queries, "token").where("c1 <> c2").where(_near_size(percent)).select("x", "y")
+    """Pairs of every set outside its token's largest component with all of the token's other components."""
+    queries = groups.where("comp <> top").select("token", F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("h").alias("h1"), F.col("comp").alias("c1"))
+    return _against(groups, queries, F.col("comp"), percent)
+
+
+def _against(groups: DataFrame, some: DataFrame, comp, percent: int) -> DataFrame:
+    others = groups.select("token", F.col("rep").alias("y"), F.col("n").alias("m"), F.col("g").alias("g2"), F.col("h").alias("h2"), comp.alias("c2"))
+    apart = F.expr("x <> y AND (c1 IS NULL OR c1 <> c2)")
+    pairs = others.join(some.withColumnRenamed("token", "t"), (F.col("token") == F.col("t")) & apart & _may_link(percent, "least(g1, g2)"))
+    return pairs.select("x", "y", F.lit(0).alias("c"), F.least("h1", "h2").alias("h"), "n", "m")
 
 
 def join_report(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
