@@ -16,6 +16,12 @@ from finecast.operators.training import date_split
 
 DAY_ZERO = "1995-01-01"
 
+# Areas and outlines follow keys that grow with the tables; area 0 and outline 0 hold a third of all rows.
+CUSTOMER_AREA = "cast(case when c_custkey % 3 = 0 then 0 else c_custkey div 60 end as int)"
+SUPPLIER_AREA = "cast(case when s_suppkey % 3 = 0 then 0 else s_suppkey div 4 end as int)"
+OUTLINE = "case when c_custkey % 3 = 0 then 0 else c_custkey div 2 end"
+CUSTOMER_AREA_SQL, SUPPLIER_AREA_SQL, OUTLINE_SQL = (e.replace("div", "//") for e in (CUSTOMER_AREA, SUPPLIER_AREA, OUTLINE))
+
 
 class Frames:
     """Lazy domain frames over one folder of parquet tables."""
@@ -33,10 +39,10 @@ class Frames:
     def daily(self) -> DataFrame:
         """(block_id, date): one row per area and day that has data; gaps are natural."""
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-        c = self.table("customer").select("c_custkey", "c_nationkey")
+        c = self.table("customer").select("c_custkey", F.expr(CUSTOMER_AREA).alias("block_id"))
         g = (
             o.join(c, o.o_custkey == c.c_custkey)
-            .groupBy(F.col("c_nationkey").alias("block_id"), F.to_date("o_orderdate").alias("date"))
+            .groupBy("block_id", F.to_date("o_orderdate").alias("date"))
             .agg(
                 F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
                 F.min("o_orderkey").alias("k"),
@@ -75,7 +81,7 @@ class Frames:
     def gp(self) -> DataFrame:
         """Local areas with static features; one column constant, one empty."""
         return self.table("customer").selectExpr(
-            "c_custkey as gp_id", "c_nationkey as block_id", "c_name as gp_name",
+            "c_custkey as gp_id", f"{CUSTOMER_AREA} as block_id", "c_name as gp_name",
             "case when c_custkey % 7 <> 0 then c_acctbal end as terrain__elevation_mean",
             "cast(c_custkey % 17 as double) as terrain__slope_mean",
             "cast(c_custkey % 5 as double) as soil__clay",
@@ -86,7 +92,7 @@ class Frames:
 
     @cached_property
     def sites(self) -> DataFrame:
-        return self.table("supplier").selectExpr("s_suppkey as gp_id", "s_nationkey as block_id", "s_name as gp_name")
+        return self.table("supplier").selectExpr("s_suppkey as gp_id", f"{SUPPLIER_AREA} as block_id", "s_name as gp_name")
 
     @cached_property
     def site_targets(self) -> DataFrame:
@@ -155,24 +161,24 @@ class Frames:
     def squares(self) -> DataFrame:
         """Unit-step squares on a 20-wide board: side 1, or 2 for every fifth, so some overlap.
 
-        Customers 600 apart share one outline.
+        Two customers share each outline, and a third of all share outline 0.
         """
-        k = F.col("c_custkey") % 600
+        k = F.expr(OUTLINE)
         side = F.when(k % 5 == 0, 2).otherwise(1)
         x, y = (k % 20).cast("double"), F.floor(k / 20).cast("double")
         ring = make_ring([(x, y), (x + side, y), (x + side, y + side), (x, y + side)])
         return self.table("customer").select(
-            F.col("c_custkey").alias("gp_id"), F.col("c_nationkey").alias("block_id"), k.alias("k"), side.alias("side"), ring.alias("ring")
+            F.col("c_custkey").alias("gp_id"), F.expr(CUSTOMER_AREA).alias("block_id"), k.alias("k"), side.alias("side"), ring.alias("ring")
         )
 
 
 CTE = {
     "day_raw": (
         (),
-        f"""SELECT c_nationkey AS block_id, CAST(o_orderdate AS DATE) AS date,
+        f"""SELECT {CUSTOMER_AREA_SQL} AS block_id, CAST(o_orderdate AS DATE) AS date,
       CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, MIN(o_orderkey) AS k, COUNT(*) AS n_obs,
       CAST(CAST(o_orderdate AS DATE) - DATE '{DAY_ZERO}' AS INTEGER) AS dn
-    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, CAST(o_orderdate AS DATE)""",
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL""",
     ),
     "daily": (
         ("day_raw",),
@@ -196,14 +202,14 @@ CTE = {
     ),
     "gp": (
         (),
-        """SELECT c_custkey AS gp_id, c_nationkey AS block_id, c_name AS gp_name,
+        f"""SELECT c_custkey AS gp_id, {CUSTOMER_AREA_SQL} AS block_id, c_name AS gp_name,
       CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal END AS terrain__elevation_mean,
       CAST(c_custkey % 17 AS DOUBLE) AS terrain__slope_mean, CAST(c_custkey % 5 AS DOUBLE) AS soil__clay,
       CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 11 AS DOUBLE) END AS soil__sand,
       1e0 AS landcover__built, CAST(NULL AS DOUBLE) AS landcover__void,
       (800 + c_custkey * 7 % 2500) / 1e2 AS lat, (7000 + c_custkey * 13 % 1800) / 1e2 AS lon FROM customer""",
     ),
-    "sites": ((), "SELECT s_suppkey AS gp_id, s_nationkey AS block_id, s_name AS gp_name FROM supplier"),
+    "sites": ((), f"SELECT s_suppkey AS gp_id, {SUPPLIER_AREA_SQL} AS block_id, s_name AS gp_name FROM supplier"),
     "site_targets": (
         ("sites", "daily"),
         """SELECT gp_id, date, temp + (gp_id % 5) / 1e1 AS actual_temperature_2m_mean,
@@ -251,8 +257,8 @@ CTE = {
     ),
     "squares": (
         (),
-        """SELECT gp_id, block_id, k, side, k % 20 AS x0, k // 20 AS y0 FROM (SELECT c_custkey AS gp_id, c_nationkey AS block_id,
-      c_custkey % 600 AS k, CASE WHEN (c_custkey % 600) % 5 = 0 THEN 2 ELSE 1 END AS side FROM customer)""",
+        f"""SELECT gp_id, block_id, k, side, k % 20 AS x0, k // 20 AS y0 FROM (SELECT c_custkey AS gp_id, {CUSTOMER_AREA_SQL} AS block_id,
+      {OUTLINE_SQL} AS k, CASE WHEN ({OUTLINE_SQL}) % 5 = 0 THEN 2 ELSE 1 END AS side FROM customer)""",
     ),
     "square_cells": (
         ("squares",),

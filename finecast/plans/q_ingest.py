@@ -233,11 +233,11 @@ def _(f):
 
 @query(
     "i05_missing_keys",
-    with_("daily", f"SELECT block_id, date FROM (SELECT n_nationkey AS block_id, CAST(unnest(range(DATE '{A}', DATE '{B}' + 1, INTERVAL 1 DAY)) AS DATE) AS date FROM nation)"
+    with_("daily gp", f"SELECT block_id, date FROM (SELECT block_id, CAST(unnest(range(DATE '{A}', DATE '{B}' + 1, INTERVAL 1 DAY)) AS DATE) AS date FROM (SELECT DISTINCT block_id FROM gp))"
           " WHERE (block_id, date) NOT IN (SELECT (block_id, date) FROM daily)"),
 )
 def _(f):
-    blocks = f.table("nation").selectExpr("n_nationkey as block_id")
+    blocks = f.gp.select("block_id").distinct()
     return ingest.missing_keys(blocks, day(A), day(B), f.daily, ["block_id"], "date")
 
 
