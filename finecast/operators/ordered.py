@@ -28,15 +28,18 @@ def position(
     ``chunk`` must not decrease along ``order``, for example the month of the
     leading date.  Without it the rows are range-partitioned by entity and
     order, and the partition number is the chunk: pieces of even size for any
-    distribution of entities and dates.  That copy is written once, because
-    both steps must see the same boundaries.
+    distribution of entities and dates.  The remaining columns end the order, so
+    rows with equal keys may fall into several pieces.  That copy is written
+    once, because both steps must see the same boundaries.
     """
     by = list(by)
     if chunk is None:
-        ranged = df.repartitionByRange(*[F.col(c) for c in [*by, *order]])
+        ties = [F.xxhash64(*[c for c in df.columns if c not in by])]
+        ranged = df.repartitionByRange(*[F.col(c) for c in [*by, *order]], *ties)
         tagged = materialise(ranged.withColumn("_chunk", F.spark_partition_id()), "ranged")
+        ends = ties
     else:
-        tagged = df.withColumn("_chunk", chunk)
+        tagged, ends = df.withColumn("_chunk", chunk), []
     inside = tagged.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(*by, "_chunk").orderBy(*order)) - 1
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finecast.errors import DataContractError
 from finecast.functions.columns import clip
 from finecast.functions.weather import KMH_PER_MS
 
@@ -120,13 +121,19 @@ def watch_ranges(fc: DataFrame, by: Sequence[str], day: str, rain: str, humidity
     )
 
 
+SCENARIO_LIMIT = 1000
+
+
 def apply_scenarios(fc: DataFrame, scenarios: DataFrame, rain: str, temperature: str, humidity: str, wind_ms: str) -> DataFrame:
     """R-04: every forecast row under every scenario; NULL stays NULL.
 
     The scenario table (what a person typed in, a handful of rows) becomes one
     array value, so each forecast row is read once and multiplied inside its
-    own task.
+    own task.  More than ``SCENARIO_LIMIT`` scenarios are refused before any is
+    gathered.
     """
+    if scenarios.limit(SCENARIO_LIMIT + 1).count() > SCENARIO_LIMIT:
+        raise DataContractError(f"more than {SCENARIO_LIMIT} scenarios")
     packed = scenarios.agg(F.collect_list(F.struct(*scenarios.columns)).alias("_s"))
     j = fc.select(*fc.columns, F.explode(packed.scalar()).alias("_s")).select(*fc.columns, "_s.*")
     return j.withColumns(

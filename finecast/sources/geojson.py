@@ -14,16 +14,18 @@ GEOGRAPHIC_CRS = ("EPSG:4326", "urn:ogc:def:crs:OGC:1.3:CRS84", "urn:ogc:def:crs
 
 
 def read_geojson(spark: SparkSession, path: str, properties: Mapping[str, str], id_col: str) -> DataFrame:
-    """S-03: polygon features as rows: properties, ``rings`` and ``ring`` (the outer one).
+    """S-03: polygon features as rows: properties, ``parts``, and of the first part ``rings`` and ``ring`` (its outer one).
 
-    Many collections may lie under ``path``; each is one document and explodes
-    in its own task.  Refused: another reference system, a collection without
-    features, an unclosed or too short outer ring, blank or repeated ids.
+    A Polygon has one part, a MultiPolygon as many as it states; a part is its
+    outer ring and its holes.  Many collections may lie under ``path``; each is
+    one document and explodes in its own task.  Refused: another reference
+    system, a collection without features, other geometries, an unclosed or too
+    short ring, blank or repeated ids.
     """
     props = ", ".join(f"{k}: {t}" for k, t in properties.items())
     schema = (
         "type string, crs struct<properties: struct<name: string>>, features array<struct<"
-        f"properties: struct<{props}>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>>"
+        f"properties: struct<{props}>, geometry: struct<type: string, coordinates: string>>>"
     )
     docs = spark.read.schema(schema).option("multiLine", True).json(path)
     crs = F.col("crs.properties.name")
@@ -36,12 +38,14 @@ def read_geojson(spark: SparkSession, path: str, properties: Mapping[str, str],
     if bad["crs"]:
         raise DataContractError("coordinates are not geographic (EPSG:4326)")
     rows = docs.select(F.explode("features").alias("f"))
-    rings = F.transform(
-        "f.geometry.coordinates", lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    )
-    out = rows.select(*[F.col(f"f.properties.{k}").alias(k) for k in properties], rings.alias("rings"),
-                      F.col("f.geometry.type").alias("geometry_type")).withColumn("ring", F.get("rings", F.lit(0)))
-    shape = (F.col("geometry_type") == "Polygon") & (F.size("ring") >= 4) & (F.col("ring")[0] == F.element_at("ring", -1))
+    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    polygon = "array<array<array<double>>>"
+    drawn = F.when(kind == "Polygon", F.array(F.from_json(text, polygon))).when(kind == "MultiPolygon", F.from_json(text, f"array<{polygon}>"))
+    parts = F.transform(drawn, lambda p: F.transform(p, lambda r: F.transform(r, lambda v: F.struct(v[0].alias("x"), v[1].alias("y")))))
+    out = rows.select(*[F.col(f"f.properties.{k}").alias(k) for k in properties], parts.alias("parts"), kind.alias("geometry_type"))
+    out = out.withColumn("rings", F.get("parts", F.lit(0))).withColumn("ring", F.get("rings", F.lit(0)))
+    closed = lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1))
+    shape = (F.size("parts") > 0) & F.forall("parts", lambda p: (F.size(p) > 0) & F.forall(p, closed))
     per_id = out.groupBy(id_col).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.coalesce(shape, F.lit(False))).alias("bad")
     )

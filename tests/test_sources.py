@@ -38,6 +38,20 @@ def test_geojson_contract(spark, tmp_path):
             geojson.read_geojson(spark, write(tmp_path / f"{name}.json", doc), {"gp_id": "string"}, "gp_id")
 
 
+def test_geojson_parts_and_holes(spark, tmp_path):
+    hole = [[0.2, 0.2], [0.4, 0.2], [0.4, 0.4], [0.2, 0.2]]
+    far = [[5.0, 0.0], [6.0, 0.0], [6.0, 1.0], [5.0, 0.0]]
+    multi = {"type": "Feature", "properties": {"gp_id": "m"}, "geometry": {"type": "MultiPolygon", "coordinates": [[SQUARE, hole], [far]]}}
+    rows = geojson.read_geojson(spark, write(tmp_path / "m.json", collection(feature("1"), multi)), {"gp_id": "string"}, "gp_id")
+    got = {r["gp_id"]: ([len(p) for p in r["parts"]], len(r["rings"]), len(r["ring"])) for r in rows.collect()}
+    assert got == {"1": ([1], 1, 5), "m": ([2, 1], 2, 5)}
+    line = {"type": "Feature", "properties": {"gp_id": "l"}, "geometry": {"type": "LineString", "coordinates": [[0, 0], [1, 1]]}}
+    broken = {"type": "Feature", "properties": {"gp_id": "b"}, "geometry": {"type": "MultiPolygon", "coordinates": [[SQUARE], [far[:-1]]]}}
+    for i, bad in enumerate((line, broken)):
+        with pytest.raises(DataContractError):
+            geojson.read_geojson(spark, write(tmp_path / f"bad{i}.json", collection(bad)), {"gp_id": "string"}, "gp_id")
+
+
 def test_collection_round_trip(spark, tmp_path):
     rows = geojson.read_geojson(spark, write(tmp_path / "a.json", collection(feature("1"), feature("2"))), {"gp_id": "string"}, "gp_id")
     out = str(tmp_path / "doc")
@@ -101,7 +115,12 @@ def test_publish_without_keys_swaps_whole_tables(spark, tmp_path):
 
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     path = str(tmp_path / "p")
-    tables.write_partitioned(spark.range(4000).selectExpr("if(id % 3 = 0, id % 50, 99) as k", "id"), path, ["k"])
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        tables.write_partitioned(spark.range(0, 60_000, 1, 8).selectExpr("if(id % 3 = 0, id % 50, 99) as k", "id", "uuid() as u"), path, ["k"])
+    finally:
+        spark.conf.unset(size)
     assert len([f for f in os.listdir(f"{path}/k=99") if f.endswith(".parquet")]) > 1
 
 
