@@ -72,10 +72,10 @@ def _(f):
 
 
 def flagship(f):
-    """Day-one forecast with past-only history and calendar features per area and target date."""
+    """The forecast of every lead with past-only history and calendar features per area and target date."""
     h = windows.history_features(f.daily, ["block_id"], "date", ["temp", "rain"], ["rain"])
     hist = h.select("block_id", "date", *[c for c in h.columns if c.startswith("hist__")])
-    fc = f.forecast.filter("lead = 1").select("block_id", "target_date", "issue_date", "temp_f", "rain_f")
+    fc = f.forecast.select("block_id", "target_date", "lead", "issue_date", "temp_f", "rain_f")
     out = joins.attach_history(fc, hist, ["block_id"], "target_date", "date")
     from finecast.functions.weather import calendar_cycle
 
@@ -86,9 +86,9 @@ def flagship(f):
     "flagship_history_on_forecast",
     with_(
         "forecast",
-        f"SELECT f.block_id, f.target_date, f.issue_date, {r('temp_f')} AS temp_f, {r('rain_f')} AS rain_f, h.* EXCLUDE (block_id, date), "
+        f"SELECT f.block_id, f.target_date, f.lead, f.issue_date, {r('temp_f')} AS temp_f, {r('rain_f')} AS rain_f, h.* EXCLUDE (block_id, date), "
         + CAL.format(d="f.target_date")
-        + " FROM forecast f LEFT JOIN h ON f.block_id = h.block_id AND f.target_date = h.date WHERE lead = 1",
+        + " FROM forecast f LEFT JOIN h ON f.block_id = h.block_id AND f.target_date = h.date",
         h=f"SELECT block_id, date, {HIST_TEMP}, {HIST_RAIN} FROM daily",
     ),
 )
