@@ -278,8 +278,16 @@ def _star(groups: DataFrame, percent: int, turn: int) -> DataFrame:
     """
     first = turn == 0
     comp = F.lit(None).cast("long") if first else F.col("comp")
+    # Half of the pivots are those with the fewest prefix tokens of their own: whoever is
+    # near to anything in a group of copies is near to the least changed one.  Half are drawn.
+    own = F.expr(f"n - ceil({percent} * n / 100) + 1 - g")
     lows = [
-        F.min(F.struct(F.xxhash64("rep", F.lit(turn * PIVOTS + i)).alias("s"), F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("h").alias("h1"), comp.alias("c1"))).alias(f"p{i}")
+        F.min(
+            F.struct(
+                (own if i < PIVOTS // 2 else F.lit(0).cast("long")).alias("o"), F.xxhash64("rep", F.lit(turn * PIVOTS + i)).alias("s"),
+                F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("h").alias("h1"), comp.alias("c1"),
+            )
+        ).alias(f"p{i}")
         for i in range(PIVOTS)
     ]
     pivots = (groups if first else groups.where("comp <> top")).groupBy("token").agg(*lows)
@@ -288,9 +296,20 @@ def _star(groups: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def _rest(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of every set outside its token's largest component with all of the token's other components."""
-    queries = groups.where("comp <> top").select("token", F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("h").alias("h1"), F.col("comp").alias("c1"))
-    return _against(groups, queries, F.col("comp"), percent)
+    """Pairs of every set outside its token's largest component with all of the token's other components.
+
+    A pair comes up at the first token that both hold, not at each of them, and
+    with the number of tokens of many sets that they share.
+    """
+    held = groups.withColumn("held", F.collect_set("token").over(Window.partitionBy("rep")))
+    queries = held.where("comp <> top").select(
+        F.col("token").alias("t"), F.col("rep").alias("x"), "n", F.col("g").alias("g1"), F.col("comp").alias("c1"), F.col("held").alias("held1")
+    )
+    others = held.select("token", F.col("rep").alias("y"), F.col("n").alias("m"), F.col("g").alias("g2"), F.col("comp").alias("c2"), F.col("held").alias("held2"))
+    shared = F.array_intersect("held1", "held2")
+    apart = F.expr("x <> y AND c1 <> c2") & _may_link(percent, "least(g1, g2)")
+    pairs = others.join(queries, (F.col("token") == F.col("t")) & apart & (F.array_min(shared) == F.col("token")))
+    return pairs.select("x", "y", F.lit(0).alias("c"), F.size(shared).cast("long").alias("h"), "n", "m")
 
 
 def _against(groups: DataFrame, some: DataFrame, comp, percent: int) -> DataFrame:
