@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from finecast.llm.components import components
-from finecast.llm.shared import present, written
+from finecast.llm.shared import present, slices, written
 from finecast.llm.tokens import mixed, shingles
 
 WIDTH, PERCENT = 5, 80
@@ -38,7 +38,7 @@ def token_sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, np.int64)
-        for b in batches:
+        for b in slices(batches):
             np.add.at(total, _cells(np.concatenate([np.zeros(0, np.uint64), *(shingles(t, width) for t in _texts(b))])), 1)
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(total[cell], pa.int64())], ["cell", "n"])
@@ -63,7 +63,7 @@ def _described(docs: DataFrame, width: int, percent: int, often: np.ndarray) ->
     """(doc_id, n, a, b, rare): set size, 128-bit set hash, and the rarest tokens, one of which any partner shares."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, a, b, rare = [], [], [], []
             for t in _texts(batch):
                 s = shingles(t, width)
@@ -85,7 +85,7 @@ def _whole_sets(docs: DataFrame, width: int, often: np.ndarray) -> DataFrame:
     """(rep, tokens): whole sets in the global order, as bytes."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [ordered(shingles(t, width), often).tobytes() for t in _texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["rep", "tokens"])
 
@@ -146,7 +146,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             found = [y for p in pivots for y, _ in tree_overlaps(p, members, percent)]
             return pa.RecordBatch.from_arrays([pa.array([at[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], ["x", "y"])
 
-        for b in batches:
+        for b in slices(batches):
             for x, tree, y, tokens in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (x, tree) != at:
                     if members:

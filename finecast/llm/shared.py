@@ -33,3 +33,10 @@ def present(c: Column) -> Column:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Copy in the shared folder: read by several jobs and safe from lost executors."""
     return materialise(df, f"llm-{label}")
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches cut into pieces of few rows, so that Python holds few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finecast.llm.shared import present, written
+from finecast.llm.shared import present, slices, written
 from finecast.llm.tokens import _BYTE, _power, mixed
 
 LENGTH = 100
@@ -142,7 +142,7 @@ def _piece_rows(docs: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[tuple[np.ndarray, ...]] = []
-        for b in batches:
+        for b in slices(batches):
             for doc, copy, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 key, mark, start, last = pieces(body, length)
                 if len(key):
@@ -214,7 +214,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
     spots = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("key", "start", "n", "held")).alias("spots"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out = [], [], [], [], [], []
             for doc, copy, body, spots in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for s in spots:
@@ -327,7 +327,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", do
     rows = _numbered(docs, text, doc_id).join(spans, ["doc", "copy"], "left").select("doc", "copy", "body", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             n, runs, kept = [], [], []
             for body, spans in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 _, r, rest = _cut(body, [(x["s"], x["e"]) for x in spans or ()])
