@@ -162,15 +162,20 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(walk, "x long, y long")
 
 
-def _may_link(percent: int, common: str):
-    """Whether sets of n and m tokens can be similar with ``common`` shared tokens in their prefixes at most.
+def _lacking(percent: int) -> str:
+    """How many tokens the prefixes of sets of n and m tokens have to share at least, if the sets are similar.
 
     All shared tokens up to the end of the shorter-reaching prefix stand in both
     prefixes; beyond it that set has less than its least overlap left.
     """
     least_of = lambda c: f"ceil({percent} * {c} / 100)"
     need = f"ceil({percent} * (n + m) / {100 + percent})"
-    return F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m) AND {common} + greatest({least_of('n')}, {least_of('m')}) - 1 >= {need}")
+    return f"({need} - greatest({least_of('n')}, {least_of('m')}) + 1)"
+
+
+def _may_link(percent: int, common: str):
+    """Whether sets of n and m tokens can be similar with ``common`` shared tokens in their prefixes at most."""
+    return F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m) AND {common} >= {_lacking(percent)}")
 
 
 def _tested_once(pairs: DataFrame, percent: int) -> DataFrame:
@@ -178,12 +183,17 @@ def _tested_once(pairs: DataFrame, percent: int) -> DataFrame:
 
     ``c`` adds up over the tokens of few sets that state a pair, so it counts
     the prefix tokens of that kind which the two share; of tokens of many sets
-    they share h at most, the smaller of their numbers of such tokens.
+    they share h at most, the smaller of their numbers of such tokens.  What a
+    pair needs is taken row by row, from the two sizes of that row: rows may
+    state a pair in both directions, and a repeated id has several sizes.
+
+    The first round states all pairs that share a token of few sets, each with
+    all of them, and so decides these pairs; later rounds count none of them.
     """
     one = pairs.groupBy(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).agg(
-        F.min("x").alias("x"), F.sum("c").alias("c"), F.max("h").alias("h"), F.max("n").alias("n"), F.max("m").alias("m")
+        F.min("x").alias("x"), F.sum("c").alias("c"), F.max("h").alias("h"), F.min(F.expr(_lacking(percent))).alias("lacking")
     )
-    return one.where(_may_link(percent, "c + h")).select("x", F.expr("lo + hi - x").alias("y"))
+    return one.where("c + h >= lacking").select("x", F.expr("lo + hi - x").alias("y"))
 
 
 _PAIR = ("x", "y", "c", "h", "n", "m")

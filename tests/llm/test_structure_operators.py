@@ -228,6 +228,26 @@ def test_ngram_join(spark, width, percent):
     assert got == _similar(rows, width, percent)
 
 
+def test_ngram_join_sets_of_different_size(spark):
+    rng = random.Random(2)
+    rows = []
+    for g in range(20):  # groups of more than 8, so that pivots and tokens of few sets state a pair in both directions
+        base = [f"w{g}x{rng.randrange(10**6)}" for _ in range(80)]
+        for k in range(12):
+            w = list(base)
+            at, n = rng.randrange(len(w)), rng.randrange(0, 10)
+            if k % 2:
+                w[at:at] = [f"new{rng.randrange(10**6)}" for _ in range(n)]
+            else:
+                del w[at : at + n]
+            for _ in range(rng.randrange(0, 4)):
+                p = rng.randrange(len(w))
+                w[p : p + rng.randrange(2)] = [f"new{rng.randrange(10**6)}"] * rng.randrange(2)
+            rows.append((g * 100 + k, " ".join(w)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join_report(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()}
+    assert got == _similar(rows, 5, 80)
+
+
 def test_ngram_join_odd_rows(spark):
     docs = odd.documents(spark)
     rows = ngram_join.join_report(docs).collect()
