@@ -21,14 +21,17 @@ _HINTS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 
 #: Strings that the battery looks at: unbroken, with at least this many characters.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SHORTEST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
+#: Parts of a run that are looked at besides the whole: of ``name=value``, and what stands between the characters
+#: that an alphabet lacks.
+PARTS = tuple(re.compile(rf"[{own}]+(?:=+\Z)?") for own in (r"A-Za-z0-9+/_-", r"A-Za-z0-9+/", r"A-Za-z0-9_-", r"A-Za-z0-9"))
 #: Share of false finds among the strings reported, and level of the randomness tests.
 FALSE_SHARE, LEVEL = 0.05, 0.001
 #: Grid of log10 evidence; evidence is rounded down to it, which keeps the control valid.
-STEP, LOW, HIGH = 0.05, -400, 4000
+STEP, HIGH = 0.05, 4000
 
-#: Encodings from the narrowest: the first whose alphabet holds the whole string is taken.  Letters of one case
-#: alone (``lower``, ``UPPER``) are words or names, of whatever language, and are not reported.
+#: Encodings from the narrowest: the first whose alphabet holds the whole string is taken.
 ENCODINGS = tuple(
     (name, {c: i for i, c in enumerate(chars)})
     for name, chars in (
@@ -54,6 +57,22 @@ _CLASS[48:58] = 26
 _CLASS[[43, 47, 95, 45]] = 27
 
 
+def _word_model() -> np.ndarray:
+    """log10 probability of a letter after another in words of whatever language: vowels and consonants in turn, each by usual frequency."""
+    share = np.array([8, 1.5, 3, 4, 12.5, 2, 2, 4, 7.5, 0.3, 1, 4.5, 2.7, 7, 7, 2, 0.15, 6.5, 6.5, 8, 3, 1.2, 1.5, 0.2, 1.2, 0.5])
+    vowel = np.isin(np.arange(26), [0, 4, 8, 14, 20])
+    out = np.full((_CLASSES, _CLASSES), 0.001)
+    for before, to_vowel in ((vowel, 0.15), (~vowel, 0.55)):
+        row = np.where(vowel, to_vowel * share / share[vowel].sum(), (1 - to_vowel) * share / share[~vowel].sum())
+        out[:26][before, :26] = row
+    out[:26, 27] = 0.1
+    out[26:, :26] = share / share.sum()
+    return np.log10(out / out.sum(axis=1, keepdims=True))
+
+
+_WORDS = _word_model()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the fixed patterns, leftmost and non-overlapping per kind."""
     out = []
@@ -67,11 +86,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_strings(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Candidate strings that touch no base span."""
+    """Candidate strings that touch no base span: runs, and the parts of runs (which may overlap)."""
     out = []
     for m in CANDIDATE.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e, _ in base):
-            out.append(m.span())
+        spans, run = [m.span()], m[0]
+        if not run.isalnum():
+            spans += sorted({(m.start() + p.start(), m.start() + p.end()) for part in PARTS for p in part.finditer(run) if p.end() - p.start() >= SHORTEST} - {m.span()})
+        out += [(a, b) for a, b in spans if not any(s < b and a < e for s, e, _ in base)]
     return out
 
 
@@ -115,12 +136,17 @@ def battery(x: np.ndarray, size: int) -> tuple[float, float, float]:
 
 def evidence(string: str, size: int, model: np.ndarray) -> float:
     """log10 likelihood ratio of a uniform random string against the text model: an e-value, which grows with length."""
-    c = _CLASS[np.frombuffer(string.encode("ascii"), np.uint8)]
-    cased = np.array([ch.isupper() for ch in string])
+    raw = np.frombuffer(string.encode("ascii"), np.uint8)
+    c = _CLASS[raw]
+    cased = (raw >= 65) & (raw <= 90)
     text = model[c[:-1], c[1:]].sum() + model[28, c[0]]
+    turned = (cased[1:] != cased[:-1]) & (c[1:] < 26) & (c[:-1] < 26)
+    inside = np.concatenate([[False], c[:-2] < 26])
+    if not (c == 26).any() and not (turned & inside).any():
+        # Shaped like words: it has to be unlikely as words of another language than the corpus's, too.
+        text = max(text, _WORDS[c[:-1], c[1:]].sum() + _WORDS[28, c[0]])
     text -= math.log10(10) * (c == 26).sum() + math.log10(4) * (c == 27).sum()
-    turns = int((cased[1:] != cased[:-1])[(c[1:] < 26) & (c[:-1] < 26)].sum())
-    text += turns * math.log10(0.05)
+    text += int(turned.sum()) * math.log10(0.05)
     return -len(string) * math.log10(size) - text
 
 
@@ -160,11 +186,15 @@ def text_model(found: DataFrame) -> np.ndarray:
 
 
 def weigh(string: str, model: np.ndarray) -> int | None:
-    """Evidence in steps; None where no encoding fits or a test of the battery fails (the level holds for the three together)."""
+    """Evidence in steps; None where no encoding fits, where evidence speaks for text (which is never reported), or where a
+    test of the battery fails (the level holds for the three together)."""
     got = infer(string)
-    if got is None or got[0] in ("lower", "UPPER") or len(got[1]) < 2 or min(battery(got[1], got[2])) < LEVEL / 3:
+    if got is None or got[0] in ("lower", "UPPER") or len(got[1]) < 2:
+        return None
+    found = evidence(string.rstrip("="), got[2], model)
+    if found <= 0 or min(battery(got[1], got[2])) < LEVEL / 3:
         return None
-    return math.floor(max(LOW, min(HIGH, evidence(string.rstrip("="), got[2], model))) / STEP)
+    return math.floor(min(HIGH, found) / STEP)
 
 
 def least_evidence(weights: DataFrame, false_share: float = FALSE_SHARE) -> float | None:
@@ -203,14 +233,24 @@ def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", false_shar
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def weighed(others: pd.Series) -> pd.Series:
-        return pd.Series([[weigh(o["string"], model) for o in row] for row in others])
+        seen: dict[str, int | None] = {}
+        for row in others:
+            for o in row:
+                if o["string"] not in seen:
+                    seen[o["string"]] = weigh(o["string"], model)
+        return pd.Series([[seen[o["string"]] for o in row] for row in others])
 
     some = F.size("others") > 0
     rows = written(rows.withColumn("w", F.when(some, weighed("others")).otherwise(F.expr("cast(array() as array<long>)"))), "evidence")
     least = least_evidence(rows.where(some).select(F.explode("w").alias("w")), false_share)
     if least is None:
         return rows.select("doc_id", F.col("base").alias("spans"))
-    random = F.expr(f"transform(filter(arrays_zip(others, w), x -> x.w >= {least}), x -> struct(x.others.s AS s, x.others.e AS e, {KINDS.index('random')} AS k))")
+    passed = f"filter(arrays_zip(others, w), x -> x.w >= {least})"
+    kind = KINDS.index("random")
+    passed = f"array_sort(transform({passed}, x -> struct(x.others.s AS s, x.others.e AS e, {kind} AS k)))"
+    # A run and its parts make one span.
+    joined = f"IF(size(a) > 0 AND element_at(a, -1).e > x.s, concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).s AS s, greatest(element_at(a, -1).e, x.e) AS e, {kind} AS k))), concat(a, array(x)))"
+    random = F.expr(f"aggregate({passed}, cast(array() AS array<struct<s: int, e: int, k: int>>), (a, x) -> {joined})")
     spans = F.expr("array_sort(concat(base, random), (a, b) -> CASE WHEN a.s <> b.s THEN a.s - b.s ELSE a.k - b.k END)")
     return rows.withColumn("random", random).select("doc_id", spans.alias("spans"))
 

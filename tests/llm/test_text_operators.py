@@ -173,6 +173,29 @@ def test_secrets(spark, docs):
     assert secrets_scan.secrets_report(odd.clashing(docs)).count() == docs.count()
 
 
+B62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def _found(spark, planted, plain):
+    """Each key of (text, key) is found once, and nothing in plain texts."""
+    texts = [t.format(k) for t, k in planted]
+    df = spark.createDataFrame(list(enumerate(texts + plain)) + [(100 + i, odd.prose(300, i)) for i in range(30)], "doc_id long, text string")
+    got = {r["doc_id"]: [(x["s"], x["e"]) for x in r["spans"] if x["k"] == 3] for r in secrets_scan.scan(df).collect()}
+    for i, (t, (_, key)) in enumerate(zip(texts, planted, strict=True)):
+        assert len(got[i]) == 1 and got[i][0][0] <= t.index(key) and got[i][0][1] >= t.index(key) + len(key), (t, got[i])
+    assert not any(spans for i, spans in got.items() if i >= len(texts))
+
+
+def _draw(rng, chars, n):
+    return "".join(chars[i] for i in rng.integers(0, len(chars), n))
+
+
+def test_secrets_inside_runs(spark):
+    rng = np.random.default_rng(5)
+    keys = [_draw(rng, B62 + "+/", 40), _draw(rng, B62, 44), _draw(rng, B62, 40)]
+    _found(spark, list(zip(["run AWS_ACCESS_KEY_ID={} now", "at /user-files/{} there", "go sig={}== on"], keys, strict=True)), ["/usr-local/share/applications/environment", "MAX_LENGTH_OF_NAME=DEFAULT_LENGTH_OF_NAME"])
+
+
 def test_battery_tells_random_from_patterned():
     rng = np.random.default_rng(2)
     passed = [min(secrets_scan.battery(rng.integers(0, 64, 48), 64)) >= secrets_scan.LEVEL / 3 for _ in range(300)]
