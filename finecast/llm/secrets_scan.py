@@ -20,8 +20,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 _HINTS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "random")
 
-#: Strings that the battery looks at: unbroken, with at least this many characters.
-SHORTEST = 20
+#: Strings that the battery looks at: unbroken, with the symbols that it needs at least (two cells of five).  From
+#: there on, evidence decides.
+SHORTEST = 10
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 #: Parts of a run that are looked at besides the whole: of ``name=value``, and what stands between the characters
 #: that an alphabet lacks.
@@ -189,7 +190,7 @@ def weigh(string: str, model: np.ndarray) -> int | None:
     """Evidence in steps; None where no encoding fits, where evidence speaks for text (which is never reported), or where a
     test of the battery fails (the level holds for the three together)."""
     got = infer(string)
-    if got is None or got[0] in ("lower", "UPPER") or len(got[1]) < 2:
+    if got is None or len(got[1]) < 2:
         return None
     found = evidence(string.rstrip("="), got[2], model)
     if found <= 0 or min(battery(got[1], got[2])) < LEVEL / 3:

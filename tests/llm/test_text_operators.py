@@ -196,6 +196,12 @@ def test_secrets_inside_runs(spark):
     _found(spark, list(zip(["run AWS_ACCESS_KEY_ID={} now", "at /user-files/{} there", "go sig={}== on"], keys, strict=True)), ["/usr-local/share/applications/environment", "MAX_LENGTH_OF_NAME=DEFAULT_LENGTH_OF_NAME"])
 
 
+def test_secrets_of_one_case_and_short(spark):
+    rng = np.random.default_rng(6)
+    keys = [_draw(rng, B62[26:52], 44), _draw(rng, B62[:26], 44), _draw(rng, B62, 18)]
+    _found(spark, [("key {} here", k) for k in keys], ["internationalizationandlocalizationframework", "Donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement"])
+
+
 def test_battery_tells_random_from_patterned():
     rng = np.random.default_rng(2)
     passed = [min(secrets_scan.battery(rng.integers(0, 64, 48), 64)) >= secrets_scan.LEVEL / 3 for _ in range(300)]
