@@ -138,7 +138,7 @@ def _numbered(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _piece_rows(docs: DataFrame, length: int) -> DataFrame:
-    """(part, key, print, doc, copy, start, n): one row per piece; those with an equal, earlier one in their task have part > 0."""
+    """(part, key, print, doc, copy, start, n, again): one row per piece; those with an equal, earlier one in their task have part > 0, and that one has again."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[tuple[np.ndarray, ...]] = []
@@ -158,14 +158,16 @@ def _piece_rows(docs: DataFrame, length: int) -> DataFrame:
         order = np.argsort(both, kind="stable")
         later = np.zeros(len(key), bool)
         later[order[1:]] = both[order[1:]] == both[order[:-1]]
+        again = np.zeros(len(key), bool)
+        again[order[:-1]] = later[order[1:]]
         part = np.where(later, np.abs(doc) % 65521 + 1, 0).astype(np.int32)
         for at in range(0, len(key), 1 << 16):
             s = slice(at, at + (1 << 16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[s]) for c in (part, key.view(np.int64), mark.view(np.int64), doc, copy, start, n)], ["part", "key", "print", "doc", "copy", "start", "n"]
+                [pa.array(c[s]) for c in (part, key.view(np.int64), mark.view(np.int64), doc, copy, start, n, again)], ["part", "key", "print", "doc", "copy", "start", "n", "again"]
             )
 
-    return docs.select("doc", "copy", "body").mapInArrow(cut, "part int, key long, print long, doc long, copy int, start int, n int")
+    return docs.select("doc", "copy", "body").mapInArrow(cut, "part int, key long, print long, doc long, copy int, start int, n int, again boolean")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -190,25 +192,50 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
        of a very common passage) is taken string by string instead: grouped by
        hash with the earliest combined map-side.
 
+    Copies of a piece stand wherever the fetched one of their kind does; a
+    repeat that is a whole piece hangs below the repeat that starts with it.  Under
+    a key with more than PIECES kinds, groups are complete for strings of ``length`` bytes only.
+
     Matches never cross documents.  Null text is empty; texts shorter than
     ``length`` have no repeats.
     """
+    kinds, whole, parts = _found_repeats(docs, length, text, doc_id)
+    parts = written(parts, "repeats")
+    copies = kinds.where("later").select("key", "print", F.col("doc").alias("cd"), F.col("copy").alias("cc"), F.col("start").alias("cs"), (F.col("n") + length - 1).alias("cn"))
+    fetched = kinds.where("mixed AND NOT later").select("key", "print", "doc", "copy", F.col("start").alias("piece"))
+    inner = parts.where("doc IS NOT NULL").join(fetched, ["key", "doc", "copy", "piece"]).withColumn("place", F.col("start") - F.col("piece"))
+    more = inner.where("place > 0").join(copies, ["key", "print"]).select(
+        "repeat", "parent", F.col("cd").alias("doc"), F.col("cc").alias("copy"), (F.col("cs") + F.col("place")).alias("start"), "size", (F.col("cn") - F.col("place")).alias("gone")
+    )
+    heads = inner.where("place = 0").select("key", "print", F.col("repeat").alias("head"), F.col("parent").alias("above"), F.col("size").alias("long"))
+    same = F.col("long") == F.col("size")
+    linked = whole.join(heads, ["key", "print"], "left").select(
+        F.when(same, F.col("head")).otherwise(F.col("repeat")).alias("repeat"), F.when(same, F.col("above")).otherwise(F.col("head")).alias("parent"), "doc", "copy", "start", "size", "gone"
+    )
+    return linked.union(parts.select(*_REPEAT)).union(more)
+
+
+_REPEAT = ("repeat", "parent", "doc", "copy", "start", "size", "gone")
+
+
+def _found_repeats(docs: DataFrame, length: int, text: str, doc_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kinds, whole, parts): pieces that are repeated or share a key, repeats that are whole pieces, and those among the fetched pieces."""
     docs = _numbered(docs, text, doc_id)
     w = Window.partitionBy("part", "key")
     first = w.orderBy("print", "doc", "copy", "start")
     kinds = (
         _piece_rows(docs, length)
         .withColumn("later", (F.col("part") > 0) | F.coalesce(F.lag("print").over(first) == F.col("print"), F.lit(False)))
-        .withColumn("shown", F.coalesce(F.lead("print").over(first) == F.col("print"), F.lit(False)))
+        .withColumn("shown", F.col("again") | F.coalesce(F.lead("print").over(first) == F.col("print"), F.lit(False)))
         .withColumn("mixed", F.min("print").over(w) != F.max("print").over(w))
         .withColumn("held", F.count("*").over(w))
         .where("later OR shown OR mixed")
-        .drop("part")
+        .drop("part", "again")
     )
     kinds = written(kinds, "pieces")
     whole = kinds.where("later OR shown").select(
         F.xxhash64("key", "print").alias("repeat"), F.lit(None).cast("long").alias("parent"), "doc", "copy", "start", (F.col("n") + length - 1).alias("size"),
-        F.when(F.col("later"), F.col("n") + length - 1).otherwise(0).alias("gone"),
+        F.when(F.col("later"), F.col("n") + length - 1).otherwise(0).alias("gone"), "key", "print",
     )
     asked = kinds.where("mixed AND NOT later").select("doc", "copy", "key", "start", "n", "held")
     spots = asked.groupBy("doc", "copy").agg(F.collect_list(F.struct("key", "start", "n", "held")).alias("spots"))
@@ -236,7 +263,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
             tree = interval_tree(lcp, before, length)
             n = len(text)
             doc, copy = (np.array([h[k] for h in held], np.int64)[text] for k in (1, 2))
-            start = np.array([h[3] for h in held], np.int64)[text] + place
+            key, piece = (np.array([h[k] for h in held], np.int64)[text] for k in (0, 3))
+            start = piece + place
             age = np.empty(n, np.int64)
             age[np.lexsort((start, copy, doc))] = np.arange(n)
             own, gone = np.full(n, -1), np.zeros(n, np.int64)
@@ -260,8 +288,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
                     pa.array(names + [names[k] for k in own[at]], pa.int64()), pa.array(node + [node[k] for k in own[at]], pa.int64()),
                     pa.array(none + doc[at].tolist(), pa.int64()), pa.array(none + copy[at].tolist(), pa.int32()), pa.array(none + start[at].tolist(), pa.int32()),
                     pa.array(size_of + [size_of[k] for k in own[at]], pa.int32()), pa.array([0] * len(tree) + gone[at].tolist(), pa.int32()),
+                    pa.array(none + key[at].tolist(), pa.int64()), pa.array(none + piece[at].tolist(), pa.int32()),
                 ],
-                ["repeat", "parent", "doc", "copy", "start", "size", "gone"],
+                [*_REPEAT, "key", "piece"],
             )
 
         for b in batches:
@@ -274,25 +303,25 @@ def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", doc_id: s
         if held:
             yield found()
 
-    few = fetched.where("n > 0").repartition("key").sortWithinPartitions("key").mapInArrow(scan, "repeat long, parent long, doc long, copy int, start int, size int, gone int")
+    few = fetched.where("n > 0").repartition("key").sortWithinPartitions("key").mapInArrow(scan, "repeat long, parent long, doc long, copy int, start int, size int, gone int, key long, piece int")
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, doc, copy, start, n, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for key, doc, copy, start, n, piece in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 at = np.arange(-n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prints(piece, at, at + length).view(np.int64)), pa.array([hash_of(piece[i : i + length]) for i in at], pa.int64()), pa.array(np.full(-n, doc)), pa.array(np.full(-n, copy, np.int32)), pa.array((start + at).astype(np.int32))],
-                    ["a", "b", "doc", "copy", "start"],
+                    [pa.array(prints(piece, at, at + length).view(np.int64)), pa.array([hash_of(piece[i : i + length]) for i in at], pa.int64()), pa.array(np.full(-n, doc)), pa.array(np.full(-n, copy, np.int32)), pa.array((start + at).astype(np.int32)), pa.array(np.full(-n, key)), pa.array(np.full(-n, start, np.int32))],
+                    ["a", "b", "doc", "copy", "start", "key", "piece"],
                 )
 
-    strings = fetched.where("n < 0").mapInArrow(single, "a long, b long, doc long, copy int, start int")
+    strings = fetched.where("n < 0").mapInArrow(single, "a long, b long, doc long, copy int, start int, key long, piece int")
     strings = written(strings, "strings")
     lows = strings.groupBy("a", "b").agg(F.min(F.struct("doc", "copy", "start")).alias("low"), F.count("*").alias("k")).where("k > 1")
     many = strings.join(lows, ["a", "b"]).select(
         F.xxhash64("a", "b").alias("repeat"), F.lit(None).cast("long").alias("parent"), "doc", "copy", "start", F.lit(length).alias("size"),
-        F.when(F.struct("doc", "copy", "start") == F.col("low"), 0).otherwise(length).alias("gone"),
+        F.when(F.struct("doc", "copy", "start") == F.col("low"), 0).otherwise(length).alias("gone"), "key", "piece",
     )
-    return whole.union(few).union(many)
+    return kinds, whole, few.union(many)
 
 
 def hash_of(piece: bytes) -> int:
@@ -322,7 +351,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", do
     bytes, which need not be valid UTF-8.  Rows with one id are copies 0, 1, ...
     and count as later in that order.  An empty table gives no rows.
     """
-    again = repeats(docs, length, text, doc_id).where("gone > 0")
+    # Copies lose their pieces as a whole: where else they stand makes no difference.
+    _, whole, parts = _found_repeats(docs, length, text, doc_id)
+    again = whole.select(*_REPEAT).union(parts.select(*_REPEAT)).where("gone > 0")
     spans = again.groupBy("doc", "copy").agg(F.collect_list(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("gone")).alias("e"))).alias("spans"))
     rows = _numbered(docs, text, doc_id).join(spans, ["doc", "copy"], "left").select("doc", "copy", "body", "spans")
 

@@ -170,6 +170,38 @@ def test_suffix_dedup(spark, pieces, monkeypatch):
     assert got == _removed(rows)
 
 
+@pytest.mark.parametrize("pieces", [suffix_dedup.PIECES, 1])
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_repeats_have_all_occurrences(spark, partitions, pieces, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "PIECES", pieces)
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+    passage = [noise(150), noise(260)]
+    bodies = [noise(70) + p + noise(90) + noise(60) for p in passage for _ in range(2)]
+    texts = [b for b in bodies for _ in range(4)] + [noise(300)] * 3 + [passage[0], passage[0], noise(5) + bodies[1]]
+    rows = list(enumerate(texts))
+    found = suffix_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)).collect()
+    own, below, size = {}, {}, {}
+    for r in found:
+        size[r["repeat"]] = r["size"]
+        if r["parent"] is not None:
+            below.setdefault(r["parent"], set()).add(r["repeat"])
+        if r["doc"] is not None:
+            own.setdefault(r["repeat"], set()).add((r["doc"], r["start"]))
+
+    def occurrences(k):
+        return own.get(k, set()).union(*[occurrences(c) for c in below.get(k, ())])
+
+    assert len(size) > 4
+    for k, n in size.items():
+        if pieces == 1 and n > 100:
+            continue  # a key of many kinds is taken by strings of 100 bytes
+        got = occurrences(k)
+        i, s = min(got)
+        string = texts[i][s : s + n]
+        assert got == {(j, at) for j, t in rows for at in range(len(t) - n + 1) if t.startswith(string, at)}
+
+
 def test_suffix_dedup_repeated_ids(spark):
     t = odd.prose(40)
     rows = [(1, t), (1, t), (None, t), (2, t[:150]), (1, t[5:])]
