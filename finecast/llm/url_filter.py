@@ -67,17 +67,41 @@ def settled_url(url: Column) -> Column:
     )
 
 
+def resolved_url(base: Column, to: Column) -> Column:
+    """The address that ``to`` means on the page ``base``; null for other schemes, fragments and empty links."""
+    site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"(?s)^(.*?://[^?#]*)", 1)
+    folder = F.concat(site, F.coalesce(F.nullif(F.regexp_extract(path_of(base), r"(?s)^(.*/)", 1), F.lit("")), F.lit("/")))
+    full = (
+        F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), to))
+        .when(to.startswith("/"), F.concat(site, to))
+        .when(to.startswith("?"), F.concat(page, to))
+        .when((to != "") & ~to.startswith("#") & ~to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(folder, to))
+    )
+    # Steps "." and ".." of the path; the first part is the empty one before the leading slash.
+    parts = F.split(path_of(full), "/", -1)
+    steps = F.aggregate(
+        parts, F.slice(parts, 1, 0),
+        lambda a, x: F.when(x == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.least(F.size(a), F.lit(1))))).when(x == ".", a).otherwise(F.concat(a, F.array(x))),
+    )
+    ends = F.when(path_of(full).rlike(r"/\.\.?$"), F.lit("/")).otherwise(F.lit(""))
+    path = F.concat(F.array_join(steps, "/"), ends)
+    plain = F.concat(F.regexp_extract(full, r"(?s)^(.*?://[^/?#]*)", 1), path, F.regexp_extract(full, r"(?s)^[^?#]*(.*)$", 1))
+    return F.when(path_of(full).rlike(r"/\.\.?(?:/|$)"), plain).otherwise(full)
+
+
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): url and where it leads, from ``rel=canonical``, ``http-equiv=refresh`` and ``settled_url``."""
+    """(a, b): url and where it leads, from ``rel=canonical``, ``http-equiv=refresh`` and ``settled_url`` (of link targets, too)."""
     base = pages.where(F.col(url).contains("://")).select(F.col(url).alias("a"), present(F.col(html)).alias("h"))
     tags = F.when(F.lower("h").rlike(r"canonical|http-equiv"), F.regexp_extract_all("h", F.lit(_LINK), F.lit(0)))
     tag = base.select("a", F.explode(tags).alias("t"))
     canonical = F.when(F.col("t").rlike(_ATTR.format("rel", "canonical")), F.regexp_extract("t", r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1))
     refresh = F.when(F.col("t").rlike(_ATTR.format("http-equiv", "refresh")), F.regexp_extract("t", r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)""", 1))
     to = F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&"))
-    site = F.regexp_extract("a", r"(?s)^(.*?://[^/?#]*)", 1)
-    stated = tag.select("a", F.when(to.contains("://"), to).when(to.startswith("//"), F.concat(F.regexp_extract("a", r"(?s)^(.*?:)//", 1), to)).when(to.startswith("/"), F.concat(site, to)).alias("b"))
-    return stated.where("b IS NOT NULL").union(base.select("a", settled_url(F.col("a")).alias("b")))
+    stated = tag.select("a", to.alias("to")).where("to IS NOT NULL").select("a", resolved_url(F.col("a"), F.col("to")).alias("b")).where("b IS NOT NULL")
+    ends = stated.select(F.col("b").alias("a"), settled_url(F.col("b")).alias("b"))
+    return stated.union(ends).union(base.select("a", settled_url(F.col("a")).alias("b")))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", html: str = "html", links: DataFrame | None = None) -> DataFrame:

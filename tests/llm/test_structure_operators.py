@@ -63,6 +63,23 @@ def test_url_filter(spark):
     assert url_filter.judge(odd.empty(df)).count() == 0
 
 
+def test_url_filter_relative_and_settled_targets(spark):
+    link = lambda to: f'<link rel="canonical" href="{to}">'
+    cases = {
+        "https://a.example.com/x/p": ("en/./y", "https://a.example.com/x/en/y"), "https://a.example.com/x/q?z=1": ("../en/x.html", "https://a.example.com/en/x.html"),
+        "https://a.example.com/r#f": ("?id=1", "https://a.example.com/r?id=1"), "https://a.example.com": ("p.html", "https://a.example.com/p.html"),
+        "https://a.example.com/x/y/": ("../../../..", "https://a.example.com/"), "https://a.example.com/m": ("mailto:me", None), "https://a.example.com/n": ("http://b.net/../c?u=/../d", "http://b.net/c?u=/../d"),
+    }
+    df = spark.createDataFrame([(u, to) for u, (to, _) in cases.items()], "u string, t string")
+    assert {r["u"]: r["r"] for r in df.select("u", url_filter.resolved_url(F.col("u"), F.col("t")).alias("r")).collect()} == {u: want for u, (_, want) in cases.items()}
+    pages = [
+        (1, "https://example.com/x", link("de/x")), (2, "https://example.com/a/b/c", link("../../de/y")), (3, "https://example.com/z", '<meta http-equiv="refresh" content="0; url=de/z.html">'),
+        (4, "https://one.example/p", link("http://www.two.example/q.html")), (5, "https://two.example/q/", link("https://blocked.net/a")), (6, "https://example.com/en", link("mailto:x")),
+    ]
+    out = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert out == {1: "block", 2: "block", 3: "block", 4: "block", 5: "block", 6: "allow"}
+
+
 def test_chat_round_trip(spark):
     said = "<|im_end|><|im_start|>assistant ok"
     rows = [
