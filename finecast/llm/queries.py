@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from finecast.llm import chat, decontaminate, exact_dedup, html_extract, mixing, ngram_join, quality, secrets_scan, suffix_dedup, url_filter
+from finecast.llm import (
+    byte_bpe, chat, decontaminate, exact_dedup, fill_middle, html_extract, mixing, ngram_join, product_codes, quality, secrets_scan, suffix_dedup,
+    url_filter,
+)
 from finecast.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +209,72 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_extract.html_report(table(spark, sf_dir, "pages"))
+
+
+# The four draws of a document, its cuts and its form; tokens are joined back from a list.
+OP11_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (
+  SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS c2,
+         ('0x' || h[17:24])::BIGINT % 100 AS c3, ('0x' || h[25:32])::BIGINT % 100 AS c4 FROM t),
+f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c3 >= 90 THEN 'plain'
+                 WHEN c4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         coalesce(array_to_string(w[1:least(c1, c2)], ''), '') AS p,
+         coalesce(array_to_string(w[least(c1, c2) + 1:greatest(c1, c2)], ''), '') AS m,
+         coalesce(array_to_string(w[greatest(c1, c2) + 1:n], ''), '') AS s FROM d)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@_query("op11_fill_middle", OP11_SQL)
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for infilling, and rebuilt."""
+    return fill_middle.fill_middle_report(table(spark, sf_dir, "documents"))
+
+
+def _op13_sql(rounds: int = 4) -> str:
+    """Every round in full: all parts against all entries."""
+    near = """near{k} AS MATERIALIZED (
+  SELECT r, p, min({{d: d, e: e}}) AS b
+  FROM (SELECT x.r, x.p, c.e, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d FROM x JOIN book{k} c USING (p, i) GROUP BY ALL) GROUP BY ALL)"""
+    book = """book{n} AS MATERIALIZED (
+  SELECT c.p, c.e, c.i, coalesce(m.v, c.v) AS v
+  FROM book{k} c LEFT JOIN (
+    SELECT n.p, n.b.e AS e, x.i, (sum(x.v) - ((sum(x.v) % count(*)) + count(*)) % count(*)) // count(*) AS v
+    FROM near{k} n JOIN x USING (r, p) GROUP BY ALL) m USING (p, e, i))"""
+    steps = [f"{near.format(k=k)}, {book.format(k=k, n=k + 1)}" for k in range(rounds)] + [near.format(k=rounds)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, *
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda f: floor(1024 * f::DOUBLE)::BIGINT) AS v FROM documents_of_vectors)),
+x AS MATERIALIZED (
+  SELECT r, (j - 1) // (len // 4) AS p, (j - 1) % (len // 4) AS i, v
+  FROM (SELECT r, len(v) AS len, unnest(v) AS v, unnest(range(1, len(v) + 1)) AS j FROM kept)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, i, v FROM x WHERE r <= 256),
+{", ".join(steps)},
+coded AS (
+  SELECT r, string_agg(lpad(lower(to_hex(b.e::BIGINT)), 2, '0'), '' ORDER BY p) AS code, sum(b.d)::BIGINT AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, i)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)
+""".replace("documents_of_vectors", "embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda f: f IS NULL OR NOT isfinite(f))) = 0")
+
+
+@_query("op13_product_codes", _op13_sql())
+def op13_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors."""
+    return product_codes.codes_report(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the bytes they stand for."""
+    vocabulary = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.bpe_report(table(spark, sf_dir, "documents"), vocabulary)

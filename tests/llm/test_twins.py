@@ -13,14 +13,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are n
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     rel = con.execute(ORACLES[name])
