@@ -91,6 +91,8 @@ def test_byte_bpe(docs, vocabulary):
     for r in byte_bpe.decode(coded, vocabulary).collect():
         assert r.bpe_ids == library.encode_ordinary(r.text or "")
         assert bytes(r.bpe_bytes) == (r.text or "").encode()
+    at_once = byte_bpe.encode(src, vocabulary, decoded="token").select("bpe_ids", "token", "text").collect()
+    assert all(r.bpe_ids == library.encode_ordinary(r.text or "") and bytes(r.token) == (r.text or "").encode() for r in at_once)
     got = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in byte_bpe.bpe_report(docs, vocabulary).collect()}
     ids = [(i, library.encode_ordinary(t or ""), t or "") for i, t in docs.select("doc_id", "text").collect()]
     assert got == {(i, len(x), _sha(" ".join(map(str, x))), _sha(t)) for i, x, t in ids}
