@@ -121,6 +121,8 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> list[list[int]]:
     def enter(places: np.ndarray) -> None:
         ranks = opens[places]
         places, ranks = places[ranks >= 0], ranks[ranks >= 0]
+        if not len(places):
+            return
         order = np.argsort(ranks, kind="stable")
         places, ranks = places[order], ranks[order]
         first = np.flatnonzero(_differs(ranks))
