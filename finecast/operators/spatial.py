@@ -1,8 +1,8 @@
-"""Polygon and neighbour jobs on a cell grid.
+"""Polygon and neighbour jobs on cell grids.
 
-A shape is filed under every cell that its bounding box touches.  Cells are
-equi-join keys that only pre-select pairs; areas are exact, from the edges of
-the pair.  Shapes may be rings, polygons with holes, or several parts.
+Cells are equi-join keys that only pre-select pairs; areas are exact, from the
+edges of the pair (``grid``).  Shapes may be rings, polygons with holes, or
+several parts.
 """
 
 from __future__ import annotations
@@ -13,64 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finecast.functions import geo
+from finecast.operators import grid as cells
+from finecast.operators.nearest import nearest
 from finecast.session import materialise
 
 
-def _shapes(polys: DataFrame, keys: Sequence[str], ring: str) -> DataFrame:
-    """(keys, edges, area, bx0, by0, bx1, by1) of every shape."""
-    edges = geo.sweep_edges(geo.oriented_rings(F.col(ring), geo.nesting(polys, ring)))
-    e = F.col("edges")
-    ys = F.concat(F.transform(e, lambda x: x["y0"]), F.transform(e, lambda x: x["y1"]))
-    return polys.select(*keys, edges.alias("edges")).select(
-        *keys, "edges", geo.edges_area(e).alias("area"), F.array_min(F.transform(e, lambda x: x["x0"])).alias("bx0"),
-        F.array_min(ys).alias("by0"), F.array_max(F.transform(e, lambda x: x["x1"])).alias("bx1"), F.array_max(ys).alias("by1"),
-    )
-
-
-def _filed(shapes: DataFrame, keys: Sequence[str], step: float) -> DataFrame:
-    """(keys, bounding box, cx, cy): one row per cell that the box touches."""
-    box = ("bx0", "by0", "bx1", "by1")
-    columns = F.sequence(F.floor(F.col("bx0") / step), F.floor(F.col("bx1") / step))
-    rows = F.sequence(F.floor(F.col("by0") / step), F.floor(F.col("by1") / step))
-    return shapes.select(*keys, *box, F.explode(columns).alias("cx"), rows.alias("_rows")).select(*keys, *box, "cx", F.explode("_rows").alias("cy"))
-
-
-def _shared(left: DataFrame, right: DataFrame, a: str, b: str, by: Sequence[str], step: float, once: bool) -> DataFrame:
-    """(by, a, b, shared, area_a, area_b): pairs of shapes with an area in common; with ``once`` only a < b.
-
-    A pair is looked at in one cell alone, the one of the lower left corner of
-    its boxes' intersection, so pairs need no distinct step.
-    """
-    fl = _filed(left, [*by, a], step)
-    fr = _filed(right, [*by, b], step).select(*by, b, *[F.col(c).alias(f"r{c}") for c in ("bx0", "by0", "bx1", "by1")], "cx", "cy")
-    x, y = F.greatest("bx0", "rbx0"), F.greatest("by0", "rby0")
-    pairs = fl.join(fr, [*by, "cx", "cy"]).filter(
-        (F.least("bx1", "rbx1") > x) & (F.least("by1", "rby1") > y) & (F.floor(x / step) == F.col("cx")) & (F.floor(y / step) == F.col("cy"))
-    )
-    pairs = (pairs.filter(F.col(a) < F.col(b)) if once else pairs).select(*by, a, b)
-    side = lambda d, k, n: d.select(*by, k, F.col("edges").alias(f"e{n}"), F.col("area").alias(f"area_{n}"))
-    joined = pairs.join(side(left, a, "a"), [*by, a]).join(side(right, b, "b"), [*by, b])
-    found = joined.select(*by, a, b, geo.overlap_area(F.col("ea"), F.col("eb")).alias("shared"), "area_a", "area_b")
-    return found.filter(F.col("shared") > F.least("area_a", "area_b") * TOLERANCE)
-
-
 #: Areas that differ by less than this share count as equal, and smaller ones as none.
 TOLERANCE = 1e-9
 
 
-def membership(
-    polys: DataFrame, zones: DataFrame, poly_key: str, zone_key: str, step: float, ring: str = "ring"
-) -> DataFrame:
+def membership(polys: DataFrame, zones: DataFrame, poly_key: str, zone_key: str, ring: str = "ring") -> DataFrame:
     """J-08: zones each polygon meets, with exact area and share of the polygon.
 
     Rows of one polygon key are its parts, rows of one zone key the zone's.
     """
-    part = F.struct(F.col("area"), F.col("edges"))
-    name = lambda d, k, n: d.withColumn(n, F.struct(F.col(k).alias("k"), F.xxhash64(part).alias("h")))
-    p = name(_shapes(polys, [poly_key], ring), poly_key, "_p").dropDuplicates(["_p"])
-    z = name(_shapes(zones, [zone_key], ring), zone_key, "_z").dropDuplicates(["_z"])
+    def parts(df: DataFrame, key: str, name: str) -> DataFrame:
+        named = df.select(F.struct(F.col(key).alias("k"), F.xxhash64(ring).alias("h")).alias(name), F.col(ring).alias("_ring"))
+        return cells.shapes(named.dropDuplicates([name]), [name], "_ring")
+
+    p, z = parts(polys, poly_key, "_p"), parts(zones, zone_key, "_z")
     total = p.groupBy(F.col("_p.k").alias(poly_key)).agg(F.sum("area").alias("_total"))
-    hit = _shared(p, z, "_p", "_z", [], step, once=False)
+    hit = cells.shared_areas(p, z, "_p", "_z", [], False, TOLERANCE)
     areas = hit.groupBy(F.col("_p.k").alias(poly_key), F.col("_z.k").alias(zone_key)).agg(F.sum("shared").alias("overlap_area"))
     return areas.join(total, poly_key).select(
         poly_key, zone_key, "overlap_area", (F.lit(100.0) * F.col("overlap_area") / F.col("_total")).alias("overlap_pct"),
@@ -104,7 +67,7 @@ def _relation(shared: Column, a: Column, b: Column) -> Column:
     )
 
 
-def _overlaps(polys: DataFrame, key: str, by: Sequence[str], step: float, ring: str) -> DataFrame:
+def _overlaps(polys: DataFrame, key: str, by: Sequence[str], ring: str) -> DataFrame:
     """Pairs of distinct outlines a < b (within ``by``) that share an area.
 
     ``a`` and ``b`` are the smallest ids drawn with each outline and
@@ -112,10 +75,10 @@ def _overlaps(polys: DataFrame, key: str, by: Sequence[str], step: float, ring:
     IDENTICAL row with a = b.
     """
     by = list(by)
-    outlines = distinct_outlines(polys, key, by, ring)
-    shapes = _shapes(outlines, [*by, "first_id"], ring)
+    outlines = materialise(distinct_outlines(polys, key, by, ring), "outlines")
+    shapes = cells.shapes(outlines, [*by, "first_id"], ring)
     other = lambda n: shapes.withColumnRenamed("first_id", n)
-    pairs = _shared(other("a"), other("b"), "a", "b", by, step, once=True)
+    pairs = cells.shared_areas(other("a"), other("b"), "a", "b", by, True, TOLERANCE)
     copies = lambda n: outlines.select(*by, F.col("first_id").alias(n), F.col("n_copies").alias(f"c{n}"))
     between = pairs.join(copies("a"), [*by, "a"]).join(copies("b"), [*by, "b"]).select(
         *by, "a", "b", "shared", "area_a", "area_b", (F.col("ca") * F.col("cb")).alias("n_pairs")
@@ -136,14 +99,14 @@ def _overlaps(polys: DataFrame, key: str, by: Sequence[str], step: float, ring:
     )
 
 
-def same_id_pairs(parts: DataFrame, by: Sequence[str], part: str, step: float, ring: str = "ring") -> DataFrame:
+def same_id_pairs(parts: DataFrame, by: Sequence[str], part: str, ring: str = "ring") -> DataFrame:
     """J-11: relation of the parts filed under one id, for all parts that meet."""
-    return _overlaps(parts, part, by, step, ring)
+    return _overlaps(parts, part, by, ring)
 
 
-def same_id_summary(parts: DataFrame, by: Sequence[str], part: str, step: float, ring: str = "ring") -> DataFrame:
+def same_id_summary(parts: DataFrame, by: Sequence[str], part: str, ring: str = "ring") -> DataFrame:
     """J-11 per id: pairs of each relation; DISJOINT is counted, not enumerated."""
-    met = same_id_pairs(parts, by, part, step, ring)
+    met = same_id_pairs(parts, by, part, ring)
     kinds = ("IDENTICAL", "A_CONTAINS_B", "B_CONTAINS_A", "OVERLAPPING")
     counted = met.groupBy(*by).agg(
         *[F.coalesce(F.sum(F.when(F.col("relation") == k, F.col("n_pairs"))), F.lit(0)).alias(k.lower()) for k in kinds]
@@ -155,9 +118,9 @@ def same_id_summary(parts: DataFrame, by: Sequence[str], part: str, step: float,
     return filled.withColumn("disjoint", pairs - met_pairs)
 
 
-def cross_overlaps(polys: DataFrame, key: str, step: float, ring: str = "ring") -> DataFrame:
+def cross_overlaps(polys: DataFrame, key: str, ring: str = "ring") -> DataFrame:
     """J-12: positive-area overlaps between distinct outlines, each pair once."""
-    return _overlaps(polys, key, [], step, ring).drop("overlap_pct_of_smaller")
+    return _overlaps(polys, key, [], ring).drop("overlap_pct_of_smaller")
 
 
 def touching(polys: DataFrame, key: str, by: Sequence[str], ring: str = "ring", digits: int = 5) -> DataFrame:
@@ -172,103 +135,9 @@ def touching(polys: DataFrame, key: str, by: Sequence[str], ring: str = "ring",
     )
 
 
-# Points a grid cell may hold in the first round, cell sizes tried for it
-# (each half the one before), and the growth of cells from round to round.
-CELL_POPULATION, CELL_LEVELS, CELL_GROWTH = 16, 12, 4
-
-
-def _first_step(spots: DataFrame, by: Sequence[str], k: int) -> tuple[float, float]:
-    """Starting cell size and the extent.
-
-    The coarsest tried size is the mean spacing; sizes halve until the fullest
-    cell is bounded.  One aggregate over all tried sizes decides, so a cluster
-    holding much of the data still starts with small candidate sets.
-    """
-    row = spots.agg(
-        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"),
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    extent = max((row["x1"] or 0) - (row["x0"] or 0), (row["y1"] or 0) - (row["y0"] or 0), 1e-9) * 1.001
-    spacing = extent / max(row["n"] or 1, 1) ** 0.5 * 8
-    sizes = [spacing / 2**i for i in range(CELL_LEVELS)]
-    table = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(s).alias("s")) for i, s in enumerate(sizes)])
-    full = (
-        spots.select(*by, "x", "y", F.explode(table).alias("l"))
-        .groupBy(*by, "l.i", F.floor(F.col("x") / F.col("l.s")), F.floor(F.col("y") / F.col("l.s")))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("i")
-        .agg(F.max("n").alias("n"))
-        .collect()
-    )
-    fits = [r["i"] for r in full if r["n"] <= max(CELL_POPULATION, 2 * k)]
-    return sizes[min(fits) if fits else CELL_LEVELS - 1], extent
-
-
-def nearest(
-    points: DataFrame, targets: DataFrame, key: str, target_key: str, k: int, by: Sequence[str] = (),
-    same_table: bool = False,
-) -> DataFrame:
-    """The ``k`` nearest targets of each point by planar distance, ties by id.
-
-    Both tables carry ``x`` and ``y``.  Targets sharing one spot are reduced
-    to their ``k + 1`` smallest ids first (no other can be among the nearest).
-    Round by round a point sees the 3 x 3 cells around it; it is finished once
-    its k-th distance is at most one cell, because nothing closer can lie
-    outside.  Unfinished points go on with larger cells until a cell covers
-    the whole extent, so the answer is exact for any density.
-    """
-    spot = Window.partitionBy(*by, "x", "y").orderBy(target_key)
-    slim = (
-        targets.withColumn("_rn", F.row_number().over(spot))
-        .filter(F.col("_rn") <= k + 1)
-        .select(*by, F.col(target_key).alias("_t"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-    )
-    cand = materialise(slim, "nearest-targets")
-    spots = cand.select(*by, F.col("tx").alias("x"), F.col("ty").alias("y")).distinct()
-    step, extent = _first_step(spots, by, k)
-    # Points far outside the targets count too: the last round must reach from any point to any target.
-    sides = points.select("x", "y").union(spots.select("x", "y")).agg(
-        F.max("x") - F.min("x"), F.max("y") - F.min("y")
-    ).first()
-    extent = max(extent, *[(v or 0) * 1.001 for v in sides])
-    open_points = points.select(*by, F.col(key).alias("_p"), "x", "y")
-    done = None
-    while True:
-        last = step >= extent
-        around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-        seen = open_points.select("*", around.alias("_d")).select(
-            *open_points.columns,
-            (F.floor(F.col("x") / step) + F.col("_d.i")).alias("cx"),
-            (F.floor(F.col("y") / step) + F.col("_d.j")).alias("cy"),
-        )
-        cells = cand.withColumns({"cx": F.floor(F.col("tx") / step), "cy": F.floor(F.col("ty") / step)})
-        pairs = seen.join(cells, [*by, "cx", "cy"], "left")
-        if same_table:
-            # Blank the point itself but keep its row, so that it stays open.
-            other = F.col("_t") != F.col("_p")
-            pairs = pairs.withColumns({c: F.when(other, F.col(c)) for c in ("tx", "ty", "_t")})
-        dist = F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty"))
-        order = Window.partitionBy(*by, "_p").orderBy(F.col("distance").asc_nulls_last(), "_t")
-        ranked = pairs.withColumn("distance", dist).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-        kth = Window.partitionBy(*by, "_p")
-        ranked = ranked.withColumn(
-            "_reach", F.when(F.count("distance").over(kth) >= k, F.max("distance").over(kth))
-        )
-        closed = F.lit(True) if last else F.coalesce(F.col("_reach") <= step, F.lit(False))
-        ranked = materialise(ranked.select(*by, "_p", "x", "y", "_t", "tx", "ty", "distance", "rank", closed.alias("_closed")), "nearest-round")
-        found = ranked.filter("_closed and _t is not null").select(
-            *by, F.col("_p").alias(key), F.col("_t").alias("other"), "tx", "ty", "distance", "rank"
-        )
-        done = found if done is None else done.unionByName(found)
-        rest = ranked.filter("not _closed").select(*by, "_p", "x", "y").distinct()
-        if last or rest.isEmpty():
-            return done
-        open_points, step = rest, step * CELL_GROWTH
-
-
-def nearest_cell(points: DataFrame, grid: DataFrame, key: str, node: str, by: Sequence[str] = ()) -> DataFrame:
+def nearest_cell(points: DataFrame, grid: DataFrame, key: str, node: str, by: Sequence[str] = (), metric: str = "planar") -> DataFrame:
     """J-09: closest grid node of each point."""
-    return nearest(points, grid, key, node, 1, by).select(*by, key, F.col("other").alias(node), "distance")
+    return nearest(points, grid, key, node, 1, by, metric=metric).select(*by, key, F.col("other").alias(node), "distance")
 
 
 def neighbours(

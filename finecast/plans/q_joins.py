@@ -127,7 +127,7 @@ def _(f):
 
     x, y = F.col("zx") * 4, F.col("zy") * 3
     zones = corners.select((F.col("zx") * 100 + F.col("zy")).alias("zone"), make_ring([(x, y), (x + 4, y), (x + 4, y + 3), (x, y + 3)]).alias("ring"))
-    return spatial.membership(sq.select("gp_id", "ring"), zones, "gp_id", "zone", 1.0)
+    return spatial.membership(sq.select("gp_id", "ring"), zones, "gp_id", "zone")
 
 
 POINTS = "SELECT c_custkey AS gp_id, (c_custkey * 37 % 9973) / 1e1 AS x, (c_custkey * 91 % 8999) / 1e1 AS y FROM customer"
@@ -172,7 +172,7 @@ OUTLINES = "SELECT gid, k, side, cx, cy, MIN(gp_id) AS f, COUNT(*) AS c FROM (SE
 def _(f):
     """Outlines filed under one id; copies appear once with their number of pairs."""
     parts = f.squares.select((F.col("k") % 40).alias("gid"), "gp_id", "ring")
-    return spatial.same_id_pairs(parts, ["gid"], "gp_id", 1.0)
+    return spatial.same_id_pairs(parts, ["gid"], "gp_id")
 
 
 @query(
@@ -185,7 +185,7 @@ def _(f):
 )
 def _(f):
     parts = f.squares.select((F.col("k") % 40).alias("gid"), "gp_id", "ring")
-    return spatial.same_id_summary(parts, ["gid"], "gp_id", 1.0)
+    return spatial.same_id_summary(parts, ["gid"], "gp_id")
 
 
 @query(
@@ -196,7 +196,7 @@ def _(f):
           u="SELECT k, side, cx, cy, MIN(gp_id) AS f, COUNT(*) AS c FROM square_cells GROUP BY ALL"),
 )
 def _(f):
-    return spatial.cross_overlaps(f.squares, "gp_id", 1.0)
+    return spatial.cross_overlaps(f.squares, "gp_id")
 
 
 @query(

@@ -113,13 +113,13 @@ def test_signature_ignores_start_and_direction(spark):
 
 
 def test_cross_overlaps(spark):
-    got = {(r["a"], r["b"]): (r["relation"], r["overlap_area"], r["n_pairs"]) for r in spatial.cross_overlaps(shapes(spark), "id", 1.0).collect()}
+    got = {(r["a"], r["b"]): (r["relation"], r["overlap_area"], r["n_pairs"]) for r in spatial.cross_overlaps(shapes(spark), "id").collect()}
     assert got == {(1, 1): ("IDENTICAL", 16.0, 1), (1, 3): ("A_CONTAINS_B", 4.0, 2), (1, 4): ("OVERLAPPING", 1.0, 2)}
 
 
 def test_membership_of_concave_shape(spark):
     zones = spark.createDataFrame([("w", ring([(10, 0), (12, 0), (12, 4), (10, 4)])), ("e", ring([(12, 0), (16, 0), (16, 4), (12, 4)]))], f"z string, ring {RING}")
-    got = {r["z"]: (r["overlap_area"], r["overlap_pct"]) for r in spatial.membership(shapes(spark).filter("id = 5"), zones, "id", "z", 0.5).collect()}
+    got = {r["z"]: (r["overlap_area"], r["overlap_pct"]) for r in spatial.membership(shapes(spark).filter("id = 5"), zones, "id", "z").collect()}
     assert got["w"][0] == 8.0 and got["e"][0] == 4.0 and got["w"][1] == pytest.approx(200 / 3)
 
 
@@ -163,9 +163,8 @@ def box(x, y, w, h):
     return [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
 
 
-@pytest.mark.parametrize("step", [0.25, 1.0, 7.0])
-def test_overlaps_are_exact_off_the_grid(spark, step):
-    """Tiny, shifted, concave, holed and multipart shapes; areas in closed form, whatever the cell size."""
+def test_overlaps_are_exact_off_the_grid(spark):
+    """Tiny, shifted, concave, holed and multipart shapes; areas in closed form."""
     shape = f"array<array<{RING}>>"
     parts = [
         (1, [polygon(box(0.1, 0.1, 3, 3))]),
@@ -176,7 +175,7 @@ def test_overlaps_are_exact_off_the_grid(spark, step):
         (6, [polygon(box(100, 100, 1e-3, 1e-3))]),
     ]
     df = spark.createDataFrame(parts, f"id int, ring {shape}")
-    got = {(r["a"], r["b"]): (r["relation"], round(r["overlap_area"], 9)) for r in spatial.cross_overlaps(df, "id", step).collect()}
+    got = {(r["a"], r["b"]): (r["relation"], round(r["overlap_area"], 9)) for r in spatial.cross_overlaps(df, "id").collect()}
     assert got == {
         (1, 2): ("A_CONTAINS_B", 0.09), (1, 3): ("OVERLAPPING", 5.0), (1, 4): ("OVERLAPPING", 0.42), (1, 5): ("A_CONTAINS_B", 4.5),
         (2, 5): ("B_CONTAINS_A", 0.09), (3, 4): ("A_CONTAINS_B", 2.0), (3, 5): ("OVERLAPPING", 1.22), (4, 5): ("OVERLAPPING", 0.18),
@@ -186,11 +185,81 @@ def test_overlaps_are_exact_off_the_grid(spark, step):
 def test_membership_keeps_tiny_polygons(spark):
     zones = spark.createDataFrame([("z", ring(box(0, 0, 10, 10)))], f"z string, ring {RING}")
     small = spark.createDataFrame([(1, ring(box(0.1, 0.1, 0.3, 0.3))), (2, ring(box(9.75, 3, 0.5, 0.5))), (3, ring(box(10, 0, 1, 1)))], f"id int, ring {RING}")
-    got = {r["id"]: (r["overlap_area"], r["overlap_pct"]) for r in spatial.membership(small, zones, "id", "z", 1.0).collect()}
+    got = {r["id"]: (r["overlap_area"], r["overlap_pct"]) for r in spatial.membership(small, zones, "id", "z").collect()}
     assert set(got) == {1, 2}
     assert got[1] == (pytest.approx(0.09), pytest.approx(100)) and got[2] == (pytest.approx(0.125), pytest.approx(50))
 
 
+def test_one_country_among_villages_is_filed_in_few_cells(spark):
+    """One shape ten thousand times as wide as most, a third of the small ones in one spot: few cells each, all pairs."""
+    from finecast.operators import grid
+
+    rng = np.random.default_rng(11)
+    boxes = [(0, -3.0, -7.0, 1000.0, 1000.0)]
+    for i in range(1, 400):
+        x, y = rng.uniform(500, 501, 2) if i % 3 == 0 else rng.uniform(0, 990, 2)
+        w, h = 10.0 ** rng.uniform(-1, 1.3, 2) if i % 7 else (60.0, 0.01)
+        boxes.append((i, float(x), float(y), float(w), float(h)))
+    df = spark.createDataFrame([(i, ring(box(x, y, w, h))) for i, x, y, w, h in boxes], f"id int, ring {RING}")
+    want = {}
+    for a in boxes:
+        for b in boxes[a[0] + 1 :]:
+            w, h = (min(a[k] + a[k + 2], b[k] + b[k + 2]) - max(a[k], b[k]) for k in (1, 2))
+            if w > 0 and h > 0:
+                want[a[0], b[0]] = pytest.approx(w * h, rel=1e-8)
+    got = {(r["a"], r["b"]): r["overlap_area"] for r in spatial.cross_overlaps(df, "id").collect()}
+    assert got == want and len(want) > 1500
+    made = grid.shapes(df, ["id"], "ring")
+    per_shape = grid.filed(made, made, ["id"], (0, 1), 0).groupBy("id").count().agg(F.max("count"), F.avg("count")).first()
+    assert per_shape[0] <= 16 and per_shape[1] < 10
+
+
+def wheel(n, radius):
+    """Ring around (70, 20) with n vertices and radius(i) as SQL over i."""
+    at = f"2 * pi() * i / {n}"
+    point = f"named_struct('x', 70 + ({radius}) * cos({at}), 'y', 20 + ({radius}) * sin({at}))"
+    return f"transform(concat(sequence(0, {n - 1}), array(0)), i -> {point})"
+
+
+def test_outlines_of_twenty_thousand_vertices(spark):
+    """Jagged outlines around one centre; per sector the shared part is a triangle or two, in closed form."""
+    import time
+
+    n, r1, r2 = 20_000, "1 + 0.01D * (i * 7919 % 97) / 97", "1.002D + 0.01D * (i * 104729 % 89) / 89"
+    df = spark.range(2).selectExpr("id", f"if(id = 0, {wheel(n, r1)}, {wheel(n, r2)}) as ring")
+    i = np.arange(n + 1) % n
+    a, b = 1 + 0.01 * (i * 7919 % 97) / 97, 1.002 + 0.01 * (i * 104729 % 89) / 89
+    s = np.sin(2 * np.pi / n)
+    whole = np.minimum(a[:-1], b[:-1]) * np.minimum(a[1:], b[1:])
+    # Where the outlines cross inside a sector, at share t of a's edge: two triangles.
+    u, v = 1 / a[:-1] - 1 / b[:-1], 1 / a[1:] - 1 / b[1:]
+    k = np.flatnonzero(u * v < 0)
+    angle = np.arange(n)[k] * 2 * np.pi / n
+    for j, t0 in zip(k, angle, strict=True):
+        p = [(c[j + d] * np.cos(t0 + d * 2 * np.pi / n), c[j + d] * np.sin(t0 + d * 2 * np.pi / n)) for c in (a, b) for d in (0, 1)]
+        (x1, y1), (x2, y2), (x3, y3), (x4, y4) = p
+        t = ((x1 - x3) * (y3 - y4) - (y1 - y3) * (x3 - x4)) / ((x1 - x2) * (y3 - y4) - (y1 - y2) * (x3 - x4))
+        x, y = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
+        first, last = (p[0], p[3]) if a[j] < b[j] else (p[2], p[1])
+        whole[j] = (abs(first[0] * y - first[1] * x) + abs(x * last[1] - y * last[0])) / s
+    start = time.time()
+    rows = spatial.cross_overlaps(df, "id").collect()
+    assert time.time() - start < 60
+    assert [(r["a"], r["b"], r["relation"]) for r in rows] == [(0, 1, "OVERLAPPING")]
+    assert rows[0]["overlap_area"] == pytest.approx(whole.sum() * s / 2, rel=1e-9)
+
+
+def test_vertices_crowded_in_one_corner(spark):
+    """A coast of 4,000 short edges in a thousandth of the width, two long sides: against squares of many sizes."""
+    n = 4000
+    coast = f"transform(sequence(0, {n}), i -> named_struct('x', 10 - 0.01 * i / {n}, 'y', 5 + 0.001 * (i % 2)))"
+    df = spark.range(1).selectExpr("1 as id", f"concat(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 10D, 'y', 0D)), {coast}, array(named_struct('x', 0D, 'y', 0D))) as ring")
+    squares = spark.createDataFrame([(9.995, ring(box(9.995, 4, 20, 20))), (9.0, ring(box(9, 1, 0.5, 0.5))), (9.992, ring(box(9.992, 4.5, 0.002, 0.25)))], f"z double, ring {RING}")
+    got = {r["z"]: r["overlap_area"] for r in spatial.membership(df, squares, "id", "z").collect()}
+    # Mean height of the coast is 5.0005.
+    assert got[9.995] == pytest.approx(0.005 * 1.0005, rel=1e-6) and got[9.0] == pytest.approx(0.25) and got[9.992] == pytest.approx(0.0005)
+
+
 def test_holes_count_in_signature_and_centroid(spark):
     shape = f"array<{RING}>"
     df = spark.createDataFrame([(1, polygon(box(0, 0, 4, 4))), (2, polygon(box(0, 0, 4, 4), box(0, 0, 2, 4))), (3, polygon(list(reversed(box(0, 0, 4, 4))), list(reversed(box(0, 0, 2, 4)))))], f"id int, rings {shape}")
@@ -207,6 +276,56 @@ def test_nearest_keeps_points_far_from_all_targets(spark):
     assert got == brute(p.toPandas(), t.toPandas(), 3, False)
 
 
+def crowded(n, seed):
+    """A third in a spot of a millionth of the extent, a third on one line, points far outside."""
+    rng = np.random.default_rng(seed)
+    x, y = rng.uniform(0, 1000, n), rng.uniform(0, 1000, n)
+    x[: n // 3], y[: n // 3] = 500 + rng.uniform(0, 1e-3, n // 3), 500 + rng.uniform(0, 1e-3, n // 3)
+    y[n // 3 : 2 * n // 3] = 250.0
+    x[-8:], y[-8:] = [-1e7, 1e7, 500, 500, -1e7, 2000, 999, 0], [500, 500, -1e7, 1e7, 1e7, -3000, 0, 1e5]
+    return pd.DataFrame({"id": np.arange(n), "x": x, "y": y})
+
+
+@pytest.mark.parametrize(("k", "same"), [(1, False), (5, True)])
+def test_candidates_stay_few_in_clusters_and_far_away(spark, k, same):
+    from finecast.operators import nearest as tree
+
+    t, p = crowded(3000, 1), crowded(900, 2)
+    p = t if same else p
+    got = {(r["id"], r["other"], r["rank"]) for r in spatial.nearest(spark.createDataFrame(p), spark.createDataFrame(t), "id", "id", k, same_table=same).collect()}
+    assert got == brute(p, t, k, same)
+    place = F.array("x", "y").alias("p")
+    made = tree.Tree(spark.createDataFrame(t).select("id", place), [], 2, 16)
+    assert made.homes.count() == 3000 and made.leaves().agg(F.sum("n"), F.max("n")).first() == (3000, 16)
+    leaves = made.reach(spark.createDataFrame(p).select("id", place), k + same).join(made.leaves(), ["level", "cell"])
+    held = leaves.groupBy("id").agg(F.sum("n").alias("n")).agg(F.count("n"), F.max("n"), F.avg("n")).first()
+    assert held[0] == len(p) and held[1] <= 300 and held[2] < 80
+
+
+def test_nearest_on_the_globe(spark):
+    rng = np.random.default_rng(5)
+    t = pd.DataFrame({"id": np.arange(400), "x": rng.uniform(-180, 180, 400), "y": np.degrees(np.arcsin(rng.uniform(-1, 1, 400)))})
+    t.loc[:9, "y"], t.loc[10:13, "x"] = rng.uniform(88, 90, 10), [179.99, -179.99, 179.5, -179.5]
+    p = pd.DataFrame({"id": np.arange(60), "x": np.r_[rng.uniform(-180, 180, 56), [180, -180, 0, 77]], "y": np.r_[rng.uniform(-90, 90, 56), [0, 0, 90, -90]]})
+    want = set()
+    for i, lon, lat in p.itertuples(index=False):
+        a, b = np.radians(lat), np.radians(t["y"])
+        h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(np.radians(t["x"] - lon) / 2) ** 2
+        order = sorted(zip(2 * 6371 * np.arcsin(np.sqrt(h)), t["id"], strict=True))[:3]
+        want |= {(i, j, r + 1, round(float(d), 6)) for r, (d, j) in enumerate(order)}
+    got = spatial.nearest(spark.createDataFrame(p), spark.createDataFrame(t), "id", "id", 3, metric="globe").collect()
+    assert {(r["id"], r["other"], r["rank"], round(r["distance"], 6)) for r in got} == want
+
+
+def test_nearest_of_odd_rows(spark):
+    t = spark.createDataFrame([("a", 1, None, 2.0), ("a", 2, float("nan"), 1.0), ("a", 3, 0.0, 0.0), ("a", 4, -0.0, 0.0), ("b", 5, 1.0, 1.0)], "g string, id int, x double, y double")
+    p = spark.createDataFrame([("a", 1, 5.0, 5.0), ("a", 2, None, 1.0), ("c", 3, 1.0, 1.0), ("b", 4, 1.0, 1.0)], "g string, id int, x double, y double")
+    got = {(r["g"], r["id"], r["other"], r["rank"]) for r in spatial.nearest(p, t, "id", "id", 2, ["g"]).collect()}
+    assert got == {("a", 1, 3, 1), ("a", 1, 4, 2), ("b", 4, 5, 1)}
+    assert spatial.nearest(p.filter("1 = 0"), t, "id", "id", 2, ["g"]).count() == 0
+    assert spatial.nearest(p, t.filter("1 = 0"), "id", "id", 2).count() == 0
+
+
 def test_latest_dates_per_area(spark):
     from finecast.operators import ingest
 
