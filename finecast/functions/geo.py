@@ -136,27 +136,27 @@ def edges_area(edges: Column) -> Column:
     return F.aggregate(edges, F.lit(0.0), lambda t, e: t + e["s"] * (e["x1"] - e["x0"]) * (e["y0"] + e["y1"]) / 2.0)
 
 
-def strip_below_both(e: Column, f: Column, left: Column, right: Column, ground: Column) -> Column:
-    """Signed area between ``ground`` and the lower of two ``sweep_edges``, over the x they share from ``left`` to ``right``.
+def height_at(edge: Column, x: Column, ground: Column) -> Column:
+    """Height above ``ground`` of one of ``sweep_edges`` at ``x``."""
+    return (edge["y0"] - ground) + (x - edge["x0"]) * (edge["y1"] - edge["y0"]) / (edge["x1"] - edge["x0"])
+
+
+def area_below_both(width: Column, el: Column, fl: Column, eh: Column, fh: Column) -> Column:
+    """Area below the lower of two lines over ``width``, from their heights at its left and right end.
 
     A shape is the signed sum of the strips below its edges, so the area that
-    two shapes share is the sum of this over all pairs of their edges.  Holds
-    for concave shapes, holes and several parts; ``ground`` cancels and may lie
+    two shapes share is the signed sum of this over all pairs of their edges
+    and the x each pair has in common.  Holds for concave shapes, holes and
+    several parts; the ground that heights count from cancels and may lie
     anywhere, but close to the shapes fewer digits are lost.
     """
-    lo, hi = F.greatest(e["x0"], f["x0"], left), F.least(e["x1"], f["x1"], right)
-
-    def at(g: Column, x: Column) -> Column:
-        return (g["y0"] - ground) + (x - g["x0"]) * (g["y1"] - g["y0"]) / (g["x1"] - g["x0"])
-
-    el, fl, eh, fh = at(e, lo), at(f, lo), at(e, hi), at(f, hi)
     dl, dh = el - fl, eh - fh
     ends = F.least(el, fl) + F.least(eh, fh)
     # Where the lines cross, the lower one changes.
     part = dl / (dl - dh)
     middle = el + (eh - el) * part
     crossed = part * (F.least(el, fl) + middle) + (F.lit(1.0) - part) * (middle + F.least(eh, fh))
-    return F.when(hi > lo, e["s"] * f["s"] * (hi - lo) / 2.0 * F.when(dl * dh < 0, crossed).otherwise(ends)).otherwise(0.0)
+    return width / 2.0 * F.when(dl * dh < 0, crossed).otherwise(ends)
 
 
 def vertices_mean(ring: Column, axis: str) -> Column:

@@ -111,9 +111,15 @@ def shared_areas(left: DataFrame, right: DataFrame, a: str, b: str, by: Sequence
         *by, a, b, "area_a", "area_b", "_y0", lo.alias("_lo"), (lo + fine).alias("_hi"),
         F.floor(lo / F.pow(F.lit(2.0), F.col("_ka"))).alias("_ia"), F.floor(lo / F.pow(F.lit(2.0), F.col("_kb"))).alias("_ib"),
     )
+    # Few narrow rows may stand for many edges: spread them before the edges come in.
+    runs = runs.repartition(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by, a, b, "_lo")
     side = lambda d, k, n: slabs(d, [*by, k]).withColumnsRenamed({"i": f"_i{n}", "edges": f"_e{n}"})
     met = runs.join(side(left, a, "a"), [*by, a, "_ia"]).join(side(right, b, "b"), [*by, b, "_ib"])
-    each = met.withColumn("e", F.explode("_ea")).withColumn("f", F.explode("_eb"))
-    strip = geo.strip_below_both(F.col("e"), F.col("f"), F.col("_lo"), F.col("_hi"), F.col("_y0"))
-    found = each.groupBy(*by, a, b, "area_a", "area_b").agg(F.sum(strip).alias("shared"))
+    keep = [*by, a, b, "area_a", "area_b"]
+    each = met.withColumn("e", F.explode("_ea")).select(*keep, "_y0", "_lo", "_hi", "e", F.explode("_eb").alias("f"))
+    common = each.select(*keep, "_y0", "e", "f", F.greatest("e.x0", "f.x0", "_lo").alias("lo"), F.least("e.x1", "f.x1", "_hi").alias("hi")).filter("hi > lo")
+    heights = [geo.height_at(F.col(g), F.col(x), F.col("_y0")).alias(f"{g}{x}") for x in ("lo", "hi") for g in ("e", "f")]
+    strips = common.select(*keep, ((F.col("hi") - F.col("lo")) * F.col("e.s") * F.col("f.s")).alias("w"), *heights)
+    below = geo.area_below_both(F.col("w"), F.col("elo"), F.col("flo"), F.col("ehi"), F.col("fhi"))
+    found = strips.groupBy(*keep).agg(F.sum(below).alias("shared"))
     return found.filter(F.col("shared") > F.least("area_a", "area_b") * tolerance).select(*by, a, b, "shared", "area_a", "area_b")
