@@ -10,6 +10,7 @@ from finecast.plans.frames import with_
 from finecast.plans.registry import query, r
 from finecast.session import fresh_dir
 from finecast.sources import geojson, hourly, tables
+from finecast.sources.keyed import KeyedArchive
 
 A, B = "1995-01-01", "2001-12-31"
 
@@ -127,7 +128,7 @@ def _(f):
     d = f.daily.select("date", "temp", "block_id")
     tables.publish(d, path, ["block_id"])
     tables.publish(d.filter("block_id % 2 = 0").withColumn("temp", F.col("temp") + 100), path, ["block_id"])
-    return f.spark.read.schema(d.schema).parquet(path).select("block_id", "date", "temp")
+    return tables.published(f.spark, path, d.schema).select("block_id", "date", "temp")
 
 
 @query(
@@ -199,16 +200,26 @@ def _(f):
     return ingest.append_new(*batches(f), ["gp_id", "image_id"], ["date", "v"])
 
 
-@query(
-    "i03_upsert_latest",
-    with_("radar", f"""SELECT gp_id, image_id, u.date, {r('u.vv')} AS vv, u.v FROM
+UPSERT = with_("radar", f"""SELECT gp_id, image_id, u.date, {r('u.vv')} AS vv, u.v FROM
       (SELECT gp_id, image_id, unnest([arg_max({{'date': date, 'vv': vv, 'v': v}}, (b, date, v))]) AS u
-       FROM (SELECT *, 0 AS b FROM a UNION ALL SELECT *, 1 FROM b) GROUP BY gp_id, image_id)""", a=EXISTING, b=ARRIVING),
-)
+       FROM (SELECT *, 0 AS b FROM a UNION ALL SELECT *, 1 FROM b) GROUP BY gp_id, image_id)""", a=EXISTING, b=ARRIVING)
+
+
+@query("i03_upsert_latest", UPSERT)
 def _(f):
     return ingest.upsert_latest(*batches(f), ["gp_id", "image_id"], ["date", "v"])
 
 
+@query("i03_keyed_archive", UPSERT)
+def _(f):
+    """The same upsert through the keyed archive; the delivery comes twice and counts once."""
+    stored, delivery = batches(f)
+    archive = KeyedArchive(f.spark, fresh_dir(f.spark, "keyed"), stored.schema, ["gp_id", "image_id"], ["date", "v"], buckets=16)
+    for no, batch in enumerate((stored, delivery, delivery)):
+        archive.append(batch, "deliveries", min(no, 1))
+    return archive.read()
+
+
 @query(
     "i04_conflicts",
     with_("radar", """SELECT gp_id, image_id, differing FROM (SELECT gp_id, image_id, array_to_string(list_filter([

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from finecast.errors import DataContractError
 from finecast.functions.names import match_key
+from finecast.sources.ledger import Ledger
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -43,33 +45,38 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
 
 
 def publish(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
-    """S-08: the target changes only after all data have been written, once.
+    """S-08: readers see the old data until all new ones are written, then the new ones, at every moment one of them.
 
-    With keys, Spark's dynamic overwrite stages the files and its commit swaps
-    in the partitions present in the new data; the others stay.  Without, the
-    data are written beside the target, which is then renamed away and replaced;
-    if the second rename fails the old target is put back.  A failed job leaves
-    the target as it was.
+    Data go to a folder of their own; a ledger beside it then points there.
+    With keys, partitions present in the new data are replaced and the others
+    stay.  Of two writers that start from one state the second fails with
+    ``ConcurrentWrite``; a failed job leaves everything as it was.  Read with
+    :func:`published`.
     """
-    if keys:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-        return
-    parent, _, name = path.rstrip("/").rpartition("/")
-    tag = uuid.uuid4().hex
-    staged, old = (f"{parent}/.{name}-{what}-{tag}" for what in ("new", "old"))
-    df.write.parquet(staged)
-    jvm = df.sparkSession.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    had = fs.exists(at(path))
-    if had and not fs.rename(at(path), at(old)):
-        raise DataContractError(f"cannot set {path} aside")
-    if not fs.rename(at(staged), at(path)):
-        if had:
-            fs.rename(at(old), at(path))
-        raise DataContractError(f"cannot put the new data at {path}")
-    if had:
-        fs.delete(at(old), True)
+    ledger = Ledger(df.sparkSession, path)
+    version, state = ledger.head()
+    folder = f"data-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*keys) if keys else df.write
+    writer.parquet(f"{ledger.path}/{folder}")
+    parts = [""]
+    for _ in keys:
+        parts = [f"{p}/{n}" if p else n for p in parts for n in ledger.names(f"{folder}/{p}" if p else folder) if "=" in n]
+    now = (state.get("parts", {}) if keys else {}) | dict.fromkeys(parts, folder)
+    ledger.commit(version, {"parts": now, "folders": sorted(set(now.values()))})
+
+
+def published(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """What was last published at ``path``."""
+    ledger = Ledger(spark, path)
+    parts = ledger.head()[1].get("parts", {})
+    if not parts:
+        raise DataContractError(f"nothing was published at {path}")
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    found = []
+    for folder in sorted(set(parts.values())):
+        base = f"{ledger.path}/{folder}"
+        found.append(reader.option("basePath", base).parquet(*[f"{base}/{p}" if p else base for p, f in parts.items() if f == folder]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 
 def manifest(df: DataFrame, keys: Sequence[str], date_col: str | None = None, policy: Mapping[str, bool] | None = None) -> DataFrame:

@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
-from finecast.operators.sets import dedupe
+from finecast.sources.keyed import KeyedArchive
 
 
 def landed(spark: SparkSession, src: str, schema: StructType, files_per_batch: int = 1000, pattern: str | None = None) -> DataFrame:
@@ -35,26 +35,28 @@ def _start(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> S
 def start_archive(
     stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
 ) -> StreamingQuery:
-    """Z-01: exactly-once archive; the newest arrival per key wins when it is read.
+    """Z-01: exactly-once archive; the newest arrival per key wins.
 
-    Each micro-batch is reduced to one row per key and written to its own
-    ``batch_no`` folder.  A batch repeated after a failure overwrites its own
-    folder, which makes the sink idempotent; the archive is never rewritten.
-    Read it with :func:`read_archive`.
+    Each micro-batch is one append to a :class:`KeyedArchive`, named by the
+    query's id and the batch number.  A batch repeated after a failure is known
+    to the archive's ledger and skipped; a query with a fresh checkpoint has
+    another id, so its batches are appended behind what is there.
     """
+    spark, schema = stream.sparkSession, StructType(stream.schema.fields)
+
     def write(batch: DataFrame, batch_no: int) -> None:
-        dedupe(batch, keys, order, keep="last").write.mode("overwrite").parquet(f"{sink}/batch_no={batch_no}")
+        # The checkpoint names the query before its first batch.
+        source = json.loads(batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        KeyedArchive(spark, sink, schema, keys, order).append(batch, source, batch_no)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def read_archive(spark: SparkSession, sink: str, schema: StructType, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Current state of the archive: last batch wins, ``order`` decides inside a batch."""
-    full = StructType(list(schema.fields)).add("batch_no", IntegerType())
-    rows = spark.read.schema(full).parquet(sink)
-    return dedupe(rows, keys, ["batch_no", *order], keep="last").drop("batch_no")
+def read_archive(spark: SparkSession, sink: str, schema: StructType, keys: Sequence[str], order: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
+    """Current state of the archive, or of ``wanted`` keys."""
+    return KeyedArchive(spark, sink, schema, keys, order).read(wanted)
 
 
 def compact_archive(spark: SparkSession, sink: str, target: str, schema: StructType, keys: Sequence[str], order: Sequence[str]) -> None:

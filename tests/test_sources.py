@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from finecast.errors import DataContractError
-from finecast.sources import geojson, hourly, tables
+from finecast.sources import geojson, hourly, keyed, tables
+from finecast.sources.keyed import KeyedArchive
+from finecast.sources.ledger import ConcurrentWrite
 
 SQUARE = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]
 
@@ -92,25 +94,104 @@ def test_hourly_strict_and_lenient(spark, tmp_path):
 
 def test_failed_publish_leaves_the_target(spark, tmp_path):
     path = str(tmp_path / "t")
+    shown = lambda: sorted((r["k"], r["v"]) for r in tables.published(spark, path).collect())
+    with pytest.raises(DataContractError, match="nothing"):
+        shown()
     tables.publish(spark.createDataFrame([(1, "a")], "v int, k string"), path, ["k"])
     broken = spark.createDataFrame([(2, "a")], "v int, k string").withColumn("v", F.when(F.col("v") == 2, F.raise_error(F.lit("stop"))).otherwise(F.col("v")))
     with pytest.raises(Exception, match="stop"):
         tables.publish(broken, path, ["k"])
-    assert [r["v"] for r in spark.read.parquet(path).collect()] == [1]
+    assert shown() == [("a", 1)]
     tables.publish(spark.createDataFrame([(5, "b")], "v int, k string"), path, ["k"])
-    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 5]
+    assert shown() == [("a", 1), ("b", 5)]
+    tables.publish(spark.createDataFrame([(6, "b"), (7, None)], "v int, k string"), path, ["k"])
+    assert sorted(map(str, ((r["k"], r["v"]) for r in tables.published(spark, path).collect()))) == ["('a', 1)", "('b', 6)", "(None, 7)"]
 
 
-def test_publish_without_keys_swaps_whole_tables(spark, tmp_path):
+def test_a_reader_between_the_steps_sees_the_old_table(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "whole")
+    shown = lambda: sorted(r["id"] for r in tables.published(spark, path).collect())
     tables.publish(spark.range(3), path)
+    before = tables.published(spark, path)
+    seen = []
+    commit = tables.Ledger.commit
+    monkeypatch.setattr(tables.Ledger, "commit", lambda self, *a: (seen.append(shown()), commit(self, *a), seen.append(shown())))
     tables.publish(spark.range(5, 7), path)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [5, 6]
-    broken = spark.range(2).withColumn("id", F.when(F.col("id") == 1, F.raise_error(F.lit("stop"))).otherwise(F.col("id")))
-    with pytest.raises(Exception, match="stop"):
-        tables.publish(broken, path)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [5, 6]
-    assert [n for n in os.listdir(tmp_path) if "-old-" in n] == []
+    assert seen == [[0, 1, 2], [5, 6]]
+    # Who resolved the pointer before still reads what it pointed to.
+    assert before.count() == 3
+    monkeypatch.undo()
+    for n in range(6):
+        tables.publish(spark.range(n), path)
+    assert shown() == [0, 1, 2, 3, 4] and len([n for n in os.listdir(path) if n.startswith("data-")]) == 3
+
+
+def test_of_two_writers_at_once_one_fails(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "both")
+    tables.publish(spark.range(1), path)
+    head, first = tables.Ledger.head, []
+
+    def late(self):
+        state = head(self)
+        if not first:
+            # Another writer comes and goes after this one has looked.
+            first.append(1)
+            tables.publish(spark.range(10, 12), path)
+        return state
+
+    monkeypatch.setattr(tables.Ledger, "head", late)
+    with pytest.raises(ConcurrentWrite):
+        tables.publish(spark.range(20, 23), path)
+    monkeypatch.undo()
+    assert sorted(r["id"] for r in tables.published(spark, path).collect()) == [10, 11]
+    assert not [n for n in os.listdir(f"{path}/_ledger") if n.startswith(".") and not n.endswith(".crc")]
+
+
+KEYED = "k long, g string, ts int, v double"
+
+
+def test_keyed_archive_touches_only_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "a")
+    make = lambda: KeyedArchive(spark, path, spark.createDataFrame([], KEYED).schema, ["k", "g"], ["ts"], buckets=8)
+    archive, want = make(), {}
+    assert archive.read().count() == 0
+    for no in range(2 * keyed.FANOUT + 3):
+        # A third of every delivery is one key, repeated with rising ts; a null key is a key.
+        rows = [(None if no == 3 else 7, "hot", t, float(no * 100 + t)) for t in range(5)] + [(no * 3 + i, "x", 0, float(no)) for i in range(10)]
+        archive.append(spark.createDataFrame(rows, KEYED), "src", no)
+        for k, g, _, v in rows:
+            want[k, g] = v
+    got = {(r["k"], r["g"]): r["v"] for r in make().read().collect()}
+    assert got == want
+    state = archive.ledger.head()[1]
+    assert sorted(s["level"] for s in state["segments"]) == [0, 0, 0, 1, 1]
+    one = spark.createDataFrame([(7, "hot", 9, -1.0)], KEYED)
+    archive.append(one, "src", 99)
+    assert len(archive.ledger.head()[1]["segments"][-1]["buckets"]) == 1
+    asked = archive.read(one.select("k", "g"))
+    assert [r["v"] for r in asked.collect()] == [-1.0]
+    assert all("_bucket=" in f for f in asked.inputFiles()) and len({f.split("_bucket=")[1].split("/")[0] for f in asked.inputFiles()}) == 1
+    # A batch that comes again, with other rows even, is known.
+    archive.append(spark.createDataFrame([(7, "hot", 99, 5.0)], KEYED), "src", 99)
+    assert [r["v"] for r in archive.read(one).collect()] == [-1.0]
+    archive.append(one.filter("k < 0"), "src", 100)
+    assert archive.ledger.head()[1]["applied"] == {"src": 100}
+
+
+def test_two_writers_of_an_archive_lose_nothing(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], KEYED).schema
+    a, b = (KeyedArchive(spark, str(tmp_path / "a"), schema, ["k", "g"], ["ts"]) for _ in range(2))
+    write = KeyedArchive._write
+
+    def slow(self, rows):
+        out = write(self, rows)
+        if self is a:
+            b.append(spark.createDataFrame([(2, "b", 0, 2.0)], KEYED))
+        return out
+
+    monkeypatch.setattr(KeyedArchive, "_write", slow)
+    a.append(spark.createDataFrame([(1, "a", 0, 1.0)], KEYED))
+    assert sorted(r["k"] for r in a.read().collect()) == [1, 2]
 
 
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):

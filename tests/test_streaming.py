@@ -1,6 +1,7 @@
 """Streams equal batch on the same files, survive restarts, count late rows."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +41,22 @@ def test_archive_keeps_last_across_restarts(spark, dirs):
     assert spark.read.parquet(dirs["flat"]).count() == 3
 
 
+def test_archive_survives_the_loss_of_its_checkpoint(spark, dirs):
+    def run(ckpt):
+        s = jobs.landed(spark, dirs["src"], SCHEMA, files_per_batch=1)
+        jobs.start_archive(s, dirs["sink"], ckpt, ["k"], ["ts"]).awaitTermination()
+        return {r["k"]: r["v"] for r in jobs.read_archive(spark, dirs["sink"], SCHEMA, ["k"], ["ts"]).collect()}
+
+    for i in range(3):
+        land(spark, dirs["src"], [(i, hour(1, i), "a", float(i))])
+    assert run(dirs["ckpt"]) == {0: 0.0, 1: 1.0, 2: 2.0}
+    # The files so far have expired; a job with a fresh checkpoint counts batches from 0 again.
+    for n in [n for n in os.listdir(dirs["src"]) if n.endswith(".parquet")]:
+        os.remove(f"{dirs['src']}/{n}")
+    land(spark, dirs["src"], [(9, hour(2, 0), "a", 9.0), (2, hour(2, 0), "a", 20.0)])
+    assert run(dirs["ckpt"] + "-2") == {0: 0.0, 1: 1.0, 2: 20.0, 9: 9.0}
+
+
 def day_rows(day, skip=()):
     return [(day * 100 + h, hour(day, h), "a", float(h)) for h in range(24) if h not in skip]
 
