@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from finecast.plans.frames import with_
 from finecast.plans.registry import query, r
-from finecast.session import fresh_dir
+from finecast.session import fresh_dir, materialise
 from finecast.streaming import jobs
 
 
@@ -69,11 +69,26 @@ def _(f):
     return read(f, sink, jobs.sliding_means(s, "ts", ["area"], "value"))
 
 
-@query("z05_late_rows", "SELECT COUNT(*) AS n_rows, COUNT(*) AS rows_in, CAST(0 AS BIGINT) AS rows_dropped_late FROM events")
+SLOTS = 12
+ARRIVALS = f"""SELECT event_id, ts, least({SLOTS - 1}, CAST(floor({SLOTS} * (epoch(ts) - epoch(lo)) / (epoch(hi) - epoch(lo) + 1)) AS BIGINT) + CASE WHEN event_id % 17 = 0 THEN 3 ELSE 0 END) AS slot
+  FROM events, (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM events)"""
+
+
+@query(
+    "z05_late_rows",
+    with_("", """SELECT slot AS batch_no, COUNT(*) AS rows_in, COUNT(*) FILTER (late) AS rows_late, COUNT(*) FILTER (NOT late) AS rows_in_time, MIN(event_id) FILTER (late) AS first_late_id
+    FROM (SELECT *, coalesce(ts < (SELECT MAX(p.ts) - INTERVAL 2 DAY FROM arrivals p WHERE p.slot < a.slot), false) AS late FROM arrivals a) GROUP BY slot""", arrivals=ARRIVALS),
+)
 def _(f):
-    """Counts of rows read and rows behind the watermark, beside the rows kept."""
-    s = events(f).select("event_id", "ts")
-    sink, ckpt = fresh_dir(f.spark, "late"), fresh_dir(f.spark, "late-state")
-    counts = jobs.finish(jobs.start_dedup(s, sink, ckpt, ["event_id"], "ts"))
-    kept = read(f, sink, s).agg(F.count(F.lit(1)).alias("n_rows"))
-    return kept.select("n_rows", *[F.lit(v).cast("long").alias(k) for k, v in counts.items()])
+    """Events arrive in twelve files by time, every 17th three files later; what is behind the mark is counted and kept aside."""
+    e = f.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = e.select(F.unix_timestamp(F.min("ts"))).scalar(), e.select(F.unix_timestamp(F.max("ts"))).scalar()
+    slot = F.floor(F.lit(SLOTS) * (F.unix_micros("ts") / 1e6 - lo) / (hi - lo + 1)) + F.when(F.col("event_id") % 17 == 0, 3).otherwise(0)
+    arrivals = materialise(e.withColumn("slot", F.least(F.lit(SLOTS - 1), slot)), "arrivals")
+    src, sink, ckpt = (fresh_dir(f.spark, f"late{x}") for x in ("-src", "", "-state"))
+    for n in range(SLOTS):
+        arrivals.filter(F.col("slot") == n).drop("slot").coalesce(1).write.mode("append").parquet(src)
+    jobs.start_guarded(jobs.landed(f.spark, src, e.schema, files_per_batch=1), sink, ckpt, "ts", "2 days").awaitTermination()
+    late = jobs.late_rows(f.spark, sink, e.schema).groupBy("batch_no").agg(F.min("event_id").alias("first_late_id"))
+    kept = jobs.in_time(f.spark, sink, e.schema).groupBy("batch_no").agg(F.count(F.lit(1)).alias("rows_in_time"))
+    return jobs.late_counts(f.spark, sink).join(kept, "batch_no", "left").join(late, "batch_no", "left").na.fill(0, ["rows_in_time"])

@@ -7,14 +7,15 @@ stop, so a scheduler can start them as often as new files arrive.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, LongType, StructType
 
 from finecast.sources.keyed import KeyedArchive
+from finecast.sources.ledger import Ledger
 
 
 def landed(spark: SparkSession, src: str, schema: StructType, files_per_batch: int = 1000, pattern: str | None = None) -> DataFrame:
@@ -32,6 +33,15 @@ def _start(df: DataFrame, sink: str, checkpoint: str, mode: str = "append") -> S
     )
 
 
+def _each(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _name(batch: DataFrame, checkpoint: str) -> str:
+    """Id of the query that keeps ``checkpoint``, which names it before its first batch."""
+    return json.loads(batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def start_archive(
     stream: DataFrame, sink: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]
 ) -> StreamingQuery:
@@ -45,13 +55,9 @@ def start_archive(
     spark, schema = stream.sparkSession, StructType(stream.schema.fields)
 
     def write(batch: DataFrame, batch_no: int) -> None:
-        # The checkpoint names the query before its first batch.
-        source = json.loads(batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
-        KeyedArchive(spark, sink, schema, keys, order).append(batch, source, batch_no)
+        KeyedArchive(spark, sink, schema, keys, order).append(batch, _name(batch, checkpoint), batch_no)
 
-    return (
-        stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    return _each(stream, checkpoint, write)
 
 
 def read_archive(spark: SparkSession, sink: str, schema: StructType, keys: Sequence[str], order: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
@@ -106,10 +112,64 @@ def start_sliding(stream: DataFrame, sink: str, checkpoint: str, ts: str, by: Se
     return _start(sliding_means(stream, ts, by, value, **windows), sink, checkpoint)
 
 
+def start_guarded(stream: DataFrame, sink: str, checkpoint: str, ts: str, delay: str = "7 days") -> StreamingQuery:
+    """Z-05: rows in time and late rows side by side, with the counts of every batch.
+
+    A row is late when its ``ts`` lies more than ``delay`` before the newest
+    ``ts`` of all earlier batches; a row without ``ts`` is late too.  Each batch
+    is written once, split in two folders; its counts are those of the rows
+    written, kept in a file of their own, so neither their number nor a restart
+    limits them.  The newest ``ts`` is in a ledger beside the rows: a batch that
+    comes again is written over itself or skipped, and a fresh checkpoint goes
+    on behind the same mark.  Absent dates stay absent: no job here fills a gap.
+
+    Read with :func:`in_time`, :func:`late_rows` and :func:`late_counts`.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_no: int) -> None:
+        ledger, source = Ledger(spark, sink), _name(batch, checkpoint)
+        version, state = ledger.head()
+        if state.get("applied", {}).get(source, -1) >= batch_no:
+            return
+        no, mark = state.get("batches", 0), F.lit(state.get("newest")).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        late = F.coalesce(F.col(ts).isNull() | (F.col(ts) < mark), F.lit(False))
+        path = f"{sink}/rows/batch_no={no}"
+        batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(path)
+        full = StructType(list(batch.schema.fields)).add("late", BooleanType())
+        n, n_late, newest = spark.read.schema(full).parquet(path).agg(
+            F.count(F.lit(1)), F.count_if("late"), F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        ).first()
+        newest = max(filter(None, (newest, state.get("newest"))), default=None)
+        ledger.write(f"counts/{no:09d}.json", json.dumps({"batch_no": no, "rows_in": n, "rows_late": n_late}))
+        ledger.commit(version, {"applied": state.get("applied", {}) | {source: batch_no}, "batches": no + 1, "newest": newest, "folders": []})
+
+    return _each(stream, checkpoint, write)
+
+
+def _guarded(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType(list(schema.fields)).add("late", BooleanType()).add("batch_no", LongType())).parquet(f"{sink}/rows")
+
+
+def in_time(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
+    """Rows of :func:`start_guarded` that were in time, with ``batch_no``."""
+    return _guarded(spark, sink, schema).filter("not late").drop("late")
+
+
+def late_rows(spark: SparkSession, sink: str, schema: StructType) -> DataFrame:
+    """Rows that came behind the mark, with ``batch_no``."""
+    return _guarded(spark, sink, schema).filter("late").drop("late")
+
+
+def late_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """(batch_no, rows_in, rows_late) of every batch there ever was."""
+    return spark.read.schema("batch_no long, rows_in long, rows_late long").json(f"{sink}/counts")
+
+
 def late_policy(progress: list[dict]) -> dict[str, int]:
-    """Z-05: rows read and rows dropped behind the watermark, summed over a query's progress.
+    """Rows read and rows that a stateful step dropped, summed over the progress records at hand (the last ones only).
 
-    Absent dates stay absent: no job here fills a gap.
+    For counts of all batches and the rows themselves put :func:`start_guarded` before the step.
     """
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in progress for op in p.get("stateOperators", []))
     return {"rows_in": sum(p.get("numInputRows", 0) for p in progress), "rows_dropped_late": dropped}

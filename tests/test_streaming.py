@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampType
@@ -84,6 +86,44 @@ def test_duplicates_and_late_rows(spark, dirs):
     assert sorted(r["k"] for r in spark.read.parquet(dirs["sink"]).collect()) == [1, 2, 4]
 
 
+def test_late_rows_are_kept_and_counted_over_more_than_a_hundred_batches(spark, dirs):
+    """Every 5th file holds a row behind the mark and every 9th one without a time; the job starts three times, once with a fresh checkpoint."""
+    def run(ckpt):
+        s = jobs.landed(spark, dirs["src"], SCHEMA, files_per_batch=1)
+        jobs.start_guarded(s, dirs["sink"], ckpt, "ts", "2 hours").awaitTermination()
+
+    start, planted, no = dt.datetime(2024, 1, 1), [], 0
+
+    def deliver(n):
+        nonlocal no
+        for _ in range(n):
+            at = start + dt.timedelta(hours=no)
+            rows = [(no * 10, at, "a", 1.0), (no * 10 + 1, at - dt.timedelta(hours=1), "a", 1.0)]
+            if no % 5 == 4:
+                rows.append((no * 10 + 2, at - dt.timedelta(hours=3, seconds=1), "a", 1.0))
+            if no % 9 == 8:
+                rows.append((no * 10 + 3, None, "a", 1.0))
+            planted.extend(r[0] for r in rows[2:])
+            os.makedirs(dirs["src"], exist_ok=True)
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.timestamp("us", "UTC"), pa.string(), pa.float64()), strict=True)]
+            pq.write_table(pa.table(columns, names=SCHEMA.names), f"{dirs['src']}/{no:04d}.parquet")
+            no += 1
+
+    deliver(40)
+    run(dirs["ckpt"])
+    run(dirs["ckpt"])
+    deliver(50)
+    run(dirs["ckpt"])
+    for n in [n for n in os.listdir(dirs["src"]) if n.endswith(".parquet")]:
+        os.remove(f"{dirs['src']}/{n}")
+    deliver(14)
+    run(dirs["ckpt"] + "-2")
+    counts = {r["batch_no"]: (r["rows_in"], r["rows_late"]) for r in jobs.late_counts(spark, dirs["sink"]).collect()}
+    assert counts == {i: (2 + (i % 5 == 4) + (i % 9 == 8), (i % 5 == 4) + (i % 9 == 8)) for i in range(104)}
+    assert sorted(r["k"] for r in jobs.late_rows(spark, dirs["sink"], SCHEMA).collect()) == sorted(planted)
+    assert jobs.in_time(spark, dirs["sink"], SCHEMA).count() == 208
+
+
 def test_sliding_means_equal_batch(spark, dirs):
     land(spark, dirs["src"], [(d, hour(d, 12), "a", float(d)) for d in range(1, 21)])
     s = jobs.landed(spark, dirs["src"], SCHEMA)
