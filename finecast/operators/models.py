@@ -1,8 +1,8 @@
-"""MLlib models: residual correction, direct regression, two-stage rain.
+"""Models: residual correction, direct regression, two-stage rain.
 
-Spark has random forests, not extremely randomised trees, so fitted values
-are judged by skill.  Leads stay in the long layout and enter as a feature:
-one distributed fit per variable instead of one per variable and lead.
+Residuals of all leads at once are learned by extremely randomised trees with
+one output per lead (``extra_trees``).  The MLlib forests keep leads in the long
+layout, as a feature: one fit per variable; their values are judged by skill.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from finecast.errors import DataContractError
 from finecast.functions.columns import clip, expm1, log1p
+from finecast.operators import extra_trees
 from finecast.operators.training import blended_rain, forbid_actuals, impute, median_imputer
 
 # Forest settings, blend weight, least number of wet rows.
@@ -83,6 +84,50 @@ def apply_residual(corrector: Corrector, df: DataFrame, raw: str, low: float | N
     return out.withColumn("corrected", clip(F.col(raw) + F.col(corrector.output), low, high))
 
 
+@dataclass
+class OutputsCorrector:
+    """Trees with one output per lead, together with the imputation values."""
+
+    model: extra_trees.ExtraTrees
+    medians: dict[str, float]
+
+    def save(self, path: str) -> None:
+        """M-14."""
+        self.model.save(f"{path}/nodes")
+        rows = [(i, f, self.medians.get(f), "predictor") for i, f in enumerate(self.model.features)]
+        rows += [(i, o, float(self.model.trees), "output") for i, o in enumerate(self.model.outputs)]
+        spark = SparkSession.active()
+        spark.createDataFrame(rows, "position int, name string, value double, role string").coalesce(1).write.mode("overwrite").parquet(f"{path}/contract")
+
+
+def load_outputs_corrector(spark: SparkSession, path: str) -> OutputsCorrector:
+    rows = spark.read.parquet(f"{path}/contract").orderBy("position").collect()
+    features, outputs = ([r["name"] for r in rows if r["role"] == role] for role in ("predictor", "output"))
+    trees = int(next(r["value"] for r in rows if r["role"] == "output"))
+    medians = {r["name"]: r["value"] for r in rows if r["role"] == "predictor" and r["value"] is not None}
+    return OutputsCorrector(extra_trees.load(spark, f"{path}/nodes", trees, features, outputs), medians)
+
+
+def fit_residual_outputs(
+    train: DataFrame, features: Sequence[str], truths: Sequence[str], raws: Sequence[str], trees: int = TREES, depth: int = 10, seed: int = SEED
+) -> OutputsCorrector:
+    """M-08 in the wide layout: one model of truth - raw for all leads, on rows that have them all."""
+    forbid_actuals(features)
+    usable = train.dropna(subset=[*truths, *raws])
+    medians = median_imputer(usable, features)
+    residuals = {f"_residual_{r}": F.col(t) - F.col(r) for t, r in zip(truths, raws, strict=True)}
+    model = extra_trees.fit(impute(usable, medians).withColumns(residuals), features, list(residuals), trees, depth, LEAF, seed=seed)
+    return OutputsCorrector(model, medians)
+
+
+def apply_residual_outputs(corrector: OutputsCorrector, df: DataFrame, raws: Sequence[str], low: float | None = None, high: float | None = None) -> DataFrame:
+    """``<raw>_corrected`` for every lead; null where the raw forecast is."""
+    names = [f"_predicted_{r}" for r in raws]
+    out = corrector.model.predict(df.withColumns({f"_given_{c}": F.col(c) for c in corrector.medians}).na.fill(corrector.medians), names)
+    kept = out.withColumns({f"{r}_corrected": clip(F.col(f"_given_{r}" if r in corrector.medians else r) + F.col(n), low, high) for r, n in zip(raws, names, strict=True)})
+    return kept.withColumns({c: F.col(f"_given_{c}") for c in corrector.medians}).drop(*names, *[f"_given_{c}" for c in corrector.medians])
+
+
 def fit_direct(train: DataFrame, features: Sequence[str], truth: str, kind: str = "forest", trees: int = TREES, depth: int = 8) -> Corrector:
     """M-09: forest or boosted trees straight on the target."""
     forbid_actuals(features)
