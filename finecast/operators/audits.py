@@ -58,11 +58,15 @@ def _pick(key: Column, table: Mapping[str, tuple], fields: Sequence[str]) -> lis
 
 
 def feature_inventory(df: DataFrame, dataset: str, level: str) -> DataFrame:
-    """Q-01: profile per column plus a preliminary class from the name, as a table."""
-    key = F.regexp_replace(F.lower("column_name"), "[^a-z0-9]+", "")
+    """Q-01: profile per column plus a preliminary class from the name, as a table.
+
+    A name falls under a rule by a whole part of it, a number at the end or a
+    plural left aside: "humidity" holds no "id", "gp_id" and "gpId" do.
+    """
+    parts = F.regexp_replace(F.regexp_replace("column_name", "([A-Z])([A-Z][a-z])", "$1_$2"), "([a-z0-9])([A-Z])", "$1_$2")
     rule = None
     for i, (tokens, _) in enumerate(INVENTORY_RULES):
-        hit = key.rlike("|".join(tokens))
+        hit = F.lower(parts).rlike(f"(^|[^a-z0-9])({'|'.join(tokens)})s?[0-9]*($|[^a-z0-9])")
         rule = F.when(hit, F.lit(str(i))) if rule is None else rule.when(hit, F.lit(str(i)))
     rule = rule.when(F.col("dtype").rlike(NUMERIC_TYPES), "num").when(F.col("dtype") == "boolean", "bool").otherwise("text")
     table = {str(i): v for i, (_, v) in enumerate(INVENTORY_RULES)} | {

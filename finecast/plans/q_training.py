@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finecast.functions.names import ROLE_PATTERNS, has_role
-from finecast.operators import audits, joins, metrics, models, training, windows
+from finecast.operators import audits, extra_trees, joins, metrics, models, training, windows
 from finecast.plans.frames import with_
 from finecast.plans.q_joins import ACTUALS, RATES, rate_sql, rates
 from finecast.plans.q_windows import hist_sql
@@ -184,6 +184,41 @@ def _(f):
     return sound(metrics.horizon_evaluation(out, ["split", "lead"], "truth", "temp_f", "corrected"))
 
 
+TREE_FEATURES = ["temp", "rh", "wind", "phase"]
+
+
+def trees_sql(trees: int, depth: int, leaf: int, tried: int, seed: int) -> str:
+    """Every level of every tree: draws, extremes, cuts, gains, and where rows go."""
+    digest = lambda *p: f"md5(concat_ws(':', {seed}, t, node, {', '.join(p)}))"
+    steps = {}
+    for n in range(depth):
+        steps[f"drawn{n}"] = f"""SELECT t, node, i, row_number() OVER (PARTITION BY t, node ORDER BY {digest("i")}, i) AS j FROM (SELECT DISTINCT t, node FROM stand{n}), (SELECT unnest(range(0, {len(TREE_FEATURES)})) AS i)"""
+        steps[f"ends{n}"] = f"""SELECT t, node, i, j, min(x[i + 1]) AS lo, max(x[i + 1]) AS hi FROM stand{n} JOIN s USING (rid) JOIN drawn{n} USING (t, node) WHERE j <= {2 * tried} GROUP BY ALL"""
+        steps[f"cuts{n}"] = f"""SELECT t, node, i, k, lo + ('0x' || substr({digest("i", "'cut'")}, 1, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE * (hi - lo) AS cut
+  FROM (SELECT *, row_number() OVER (PARTITION BY t, node ORDER BY j) AS k FROM ends{n} WHERE lo < hi) WHERE k <= {tried}"""
+        steps[f"sides{n}"] = f"""SELECT t, node, i, k, cut, o, sum(y[o]) FILTER (x[i + 1] <= cut) AS sl, sum(y[o]) FILTER (x[i + 1] > cut) AS sr, count(*) FILTER (x[i + 1] <= cut) AS nl, count(*) FILTER (x[i + 1] > cut) AS nr
+  FROM stand{n} JOIN s USING (rid) JOIN cuts{n} USING (t, node), (SELECT unnest(range(1, 8)) AS o) GROUP BY ALL"""
+        steps[f"best{n}"] = f"""SELECT t, node, arg_max({{'i': i, 'cut': cut}}, (gain, -k)) AS b FROM (SELECT t, node, i, k, cut, sum(sl * sl / nl + sr * sr / nr) AS gain FROM sides{n} WHERE nl >= {leaf} AND nr >= {leaf} GROUP BY ALL) GROUP BY ALL"""
+        steps[f"stand{n + 1}"] = f"""SELECT rid, t, node * 2 + CASE WHEN x[b.i + 1] > b.cut THEN 1 ELSE 0 END AS node FROM stand{n} JOIN s USING (rid) JOIN best{n} USING (t, node)"""
+    means = ", ".join(f"{r(f'avg(y[{o}])')} AS mean_{o}" for o in (1, 7))
+    found = " UNION ALL ".join(
+        f"SELECT t::INTEGER AS t, node::INTEGER AS node, count(*) AS n, {means}, any_value({f'b.i::INTEGER' if n < depth else 'NULL::INTEGER'}) AS f, {r(f'any_value(b.cut)') if n < depth else 'NULL::DOUBLE'} AS cut "
+        f"FROM stand{n} JOIN s USING (rid) {f'LEFT JOIN best{n} USING (t, node)' if n < depth else ''} GROUP BY t, node" for n in range(depth + 1)
+    )
+    rows = """SELECT row_number() OVER () AS rid, [temp, rh, wind, (dn % 5)::DOUBLE] AS x, list_transform(range(1, 8), lambda h: -((dn % 5 - 2) * h / 1e1 + wind * h / 2e1))::DOUBLE[] AS y
+      FROM daily WHERE temp IS NOT NULL"""
+    return with_("daily", found, s=rows, stand0=f"SELECT rid, unnest(range(0, {trees})) AS t, 1 AS node FROM s", **steps)
+
+
+@query("m08_extra_trees", trees_sql(3, 3, 5, 2, 7))
+def _(f):
+    """The nodes of three trees over the residuals of all seven leads: counts, cuts and means."""
+    late = lambda h: -((F.col("dn") % 5 - 2) * h / 10.0 + F.col("wind") * h / 20.0)
+    wide = f.daily.filter("temp is not null").select("temp", "rh", "wind", (F.col("dn") % 5).cast("double").alias("phase"), *[late(h).alias(f"r{h}") for h in range(1, 8)])
+    nodes = extra_trees.fit(wide, TREE_FEATURES, [f"r{h}" for h in range(1, 8)], trees=3, depth=3, leaf=5, seed=7).nodes
+    return nodes.select("t", "node", "n", *[F.col("mean")[o - 1].alias(f"mean_{o}") for o in (1, 7)], "f", "cut")
+
+
 @query("m09_direct_model", raw_error("temp_f", "temp", "5e-1"))
 def _(f):
     s = area_samples(f)
@@ -293,7 +328,7 @@ def _(f):
     return audits.feature_dictionary(f.gp, "gp_merged_features", "gp", ["soil__gone"])
 
 
-INVENTORY = {"gp_id": "metadata_or_identifier|metadata|exclude_initial", "gp_name": "metadata_or_identifier|metadata|exclude_initial", "terrain__slope_mean": "spatial_or_remote_sensing|predictor|keep_review", "landcover__void": "metadata_or_identifier|metadata|exclude_initial", "lat": "spatial_or_remote_sensing|predictor|keep_review"}
+INVENTORY = {"gp_id": "metadata_or_identifier|metadata|exclude_initial", "gp_name": "metadata_or_identifier|metadata|exclude_initial", "terrain__slope_mean": "spatial_or_remote_sensing|predictor|keep_review", "landcover__void": "spatial_or_remote_sensing|predictor|keep_review", "lat": "spatial_or_remote_sensing|predictor|keep_review"}
 INV_TYPE = {"gp_id": "bigint", "gp_name": "string"}
 
 

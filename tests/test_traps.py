@@ -281,3 +281,15 @@ def test_conflict_inside_a_delivery_and_null_keys(spark):
 def test_static_predictors(spark):
     df = spark.createDataFrame([(1.0, None, 2.0, "x", 5.0)], "terrain__slope double, soil__sand double, lat double, terrain__name string, actual_temp double")
     assert clean.static_predictors(df) == ["terrain__slope", "lat"]
+
+
+def test_inventory_matches_whole_parts_of_names(spark):
+    from finecast.operators.audits import feature_inventory
+
+    names = ["humidity", "gp_id", "stationIds", "wind_id2", "sentiment", "mean_time", "latent_heat", "lat", "devil", "evi3", "encode", "HTTPCode", "leader", "lead_3"]
+    df = spark.createDataFrame([tuple(float(i) for i in range(len(names)))], names)
+    got = {r["column_name"]: r["classification"] for r in feature_inventory(df, "d", "l").collect()}
+    other, ident = "numeric_environmental_or_derived", "metadata_or_identifier"
+    assert got == dict.fromkeys(("humidity", "sentiment", "latent_heat", "devil", "encode", "leader"), other) | dict.fromkeys(("gp_id", "stationIds", "wind_id2", "HTTPCode"), ident) | {
+        "mean_time": "temporal", "lead_3": "temporal", "lat": "spatial_or_remote_sensing", "evi3": "spatial_or_remote_sensing",
+    }
