@@ -167,19 +167,20 @@ def product_codes(
 
     The width is that of the smallest id's vector and must be a multiple of
     ``parts``; rows of another width go, and a width that can't be cut leaves
-    no row.  Columns ``pq_code`` and ``pq_error`` of ``df`` are replaced, all
-    others stay, the vector too.  Repeated rows are coded alike; an empty table
-    gives no rows and empty codebooks.
+    no row.  Columns ``pq_code`` and ``pq_error`` of ``df`` are replaced, the
+    vector, for which the code now stands, goes, all others stay.  Repeated rows
+    are coded alike; an empty table gives no rows and empty codebooks.
 
-    State (integers, entry and distance per part) is written in the shared
-    folder after each assignment: a lost executor costs a task, not a round, and
-    rows never move between tasks.  Only sums per entry are shuffled, as many
+    State (integers, entry and distance per part, a good third of the vectors'
+    size) is written in the shared folder after each assignment: a lost executor
+    costs a task, not a round, and rows never move between tasks.  Only sums per entry are shuffled, as many
     as the codebooks hold.
     """
     df = df.drop("pq_code", "pq_error")
-    none = T.StructType([*df.schema.fields, T.StructField("pq_code", T.ArrayType(T.IntegerType())), T.StructField("pq_error", T.LongType())])
+    others = [c for c in df.columns if c != vector]
+    none = T.StructType([*df.drop(vector).schema.fields, T.StructField("pq_code", T.ArrayType(T.IntegerType())), T.StructField("pq_error", T.LongType())])
     whole = integers(df, vector, scale)
-    keyed = whole.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col("_v").alias("v"), F.col(vec_id).alias("_id"))
+    keyed = whole.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.col("_v").alias("v"), F.col(vec_id).alias("_id"))
     state = written(keyed.select("row", "v", F.array(*[F.lit(-1)] * parts).alias("near"), F.array(*[F.lit(0).cast("long")] * parts).alias("far")), "codes")
     by_id = F.col(f"row.`{vec_id}`")
     first = state.select("v", by_id.alias("i")).orderBy(F.col("i").asc_nulls_last(), "v").limit(1).collect()
