@@ -13,8 +13,11 @@ BLOCK_TAGS = frozenset(
     "td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Content that is never text.
-_RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea"
+#: Content that is never text and never markup; left open, it takes the rest of the page.
+_RAW = "script|style|template|textarea"
+#: Elements whose content is not shown: everywhere, and within drawings and formulas.
+_HIDDEN = frozenset(["iframe"])
+_HIDDEN_IN = {"svg": frozenset(["title", "desc", "metadata"]), "math": frozenset(["annotation", "annotation-xml"])}
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(?P<raw>{_RAW})\b(?:"[^"]*"|'[^']*'|[^>"'])*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*)>""",
@@ -37,11 +40,19 @@ class Block:
 
 
 def blocks(page: str) -> list[Block]:
-    """All blocks with text, in page order; broken markup never fails."""
+    """All blocks with text, in page order; broken markup never fails.
+
+    Formulas, drawings, embedded objects and what stands in for scripts are
+    inline text of their block.  An element left open ends with its parent; a
+    block inside a drawing or formula ends that.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
-    linked, links = 0, 0
+    linked, links, hidden = 0, 0, 0
+
+    def conceals(tag: str) -> bool:
+        return tag in _HIDDEN or any(tag in inner and any(t == outer for t, _ in stack) for outer, inner in _HIDDEN_IN.items())
 
     def flush() -> None:
         nonlocal linked
@@ -53,13 +64,14 @@ def blocks(page: str) -> list[Block]:
         linked = 0
 
     def pop_to(at: int) -> None:
-        nonlocal links
+        nonlocal links, hidden
         links -= sum(t == "a" for t, _ in stack[at:])
+        hidden -= sum(bool(names) and names[0] == "" for _, names in stack[at:])
         del stack[at:]
 
     at = 0
     for m in _TOKEN.finditer(page):
-        if m.start() > at:
+        if m.start() > at and not hidden:
             piece = page[at : m.start()]
             text.append(piece)
             linked += len(piece) if links else 0
@@ -71,7 +83,8 @@ def blocks(page: str) -> list[Block]:
         if tag == "br":
             text.append(" ")
             continue
-        boundary = tag in BLOCK_TAGS
+        concealed = conceals(tag)
+        boundary = tag in BLOCK_TAGS and not concealed
         if boundary:
             flush()
         if m["close"]:
@@ -81,6 +94,10 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if boundary:
+            for i, (open_, _) in enumerate(stack):
+                if open_ in _HIDDEN_IN:
+                    pop_to(i)
+                    break
             for i in range(len(stack) - 1, -1, -1):
                 open_ = stack[i][0]
                 if open_ == "p" or tag in _ENDS.get(open_, ()):
@@ -95,8 +112,9 @@ def blocks(page: str) -> list[Block]:
             for values in _NAMES.findall(m["attrs"]):
                 names += _PART.findall("".join(values).lower())
         links += tag == "a"
-        stack.append((tag, tuple(names)))
-    if at < len(page):
+        hidden += concealed
+        stack.append((tag, ("", *names) if concealed else tuple(names)))
+    if at < len(page) and not hidden:
         text.append(page[at:])
     flush()
     return out

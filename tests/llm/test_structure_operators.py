@@ -133,6 +133,24 @@ def test_blocks():
     assert html_blocks.blocks("") == [] and [b.text for b in html_blocks.blocks("5 < 6 & 7 > 2 &am")] == ["5 < 6 & 7 > 2 &am"]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>5</mn></math> hold.</p><p>b", ["Let x=5 hold.", "b"]),
+        ("<p>a</p><svg><p>kept</p><p>b</p>", ["a", "kept", "b"]),
+        ("<p>see <svg viewBox='0'><title>Icon</title><desc>a circle</desc><text>label</text></svg> there</p>", ["see label there"]),
+        ("<p>1 <math><semantics><mi>y</mi><annotation encoding='tex'>\\y</annotation></semantics></math> 2</p>", ["1 y 2"]),
+        ("<p>x <object data='a'>instead</object> y<noscript> z</noscript><canvas>c</canvas></p>", ["x instead y zc"]),
+        ("<div>x <iframe src='a'>never shown</div><div>y</div>", ["x", "y"]),
+        ("<p>a<math><mi>q</p><p>b</math> c</p>", ["aq", "b c"]),
+        ("<p>a <svg><title>never closed<p>b</p>", ["a", "b"]),
+        ("<title>T</title><p>a<script>x<p>y</script>b<textarea>t</textarea>", ["T", "ab"]),
+    ],
+)
+def test_html_blocks_keep_what_a_page_shows(page, want):
+    assert [b.text for b in html_blocks.blocks(page)] == want
+
+
 def test_html_extract(spark, labeller):
     rows = [(1, PAGE), (1, PAGE), (2, None), (3, ""), (4, "</p></div>"), (5, PAGE.replace("Second", "word " * 20000))]
     df = spark.createDataFrame(rows, "page_id long, html string").withColumn("text", F.lit("old")).withColumn("url", F.lit(None).cast("string"))
