@@ -17,12 +17,51 @@ def read_geojson(spark: SparkSession, path: str, properties: Mapping[str, str],
     """S-03: polygon features as rows: properties, ``parts``, and of the first part ``rings`` and ``ring`` (its outer one).
 
     A Polygon has one part, a MultiPolygon as many as it states; a part is its
-    outer ring and its holes.  Many collections may lie under ``path``; each is
-    one document and explodes in its own task.  Refused: another reference
-    system, a collection without features, other geometries, an unclosed or too
-    short ring, blank or repeated ids.
+    outer ring and its holes.  Many collections may lie under ``path``; one of
+    any size is read by many tasks (``_cut_features``) as long as its features
+    state their type first, as writers do.  Refused: another reference system,
+    a collection without features, other geometries, an unclosed or too short
+    ring, blank or repeated ids.
     """
     props = ", ".join(f"{k}: {t}" for k, t in properties.items())
+    rows = _cut_features(spark, path, props)
+    return _checked(rows if rows is not None else _whole_features(spark, path, props), properties, id_col)
+
+
+#: The mark that every feature has once, and what stands before it.
+MARK, OPENING = '"Feature"', '{"type":"Feature"'
+
+
+def _cut_features(spark: SparkSession, path: str, props: str) -> DataFrame | None:
+    """Features (f) of collections cut at the mark, in byte ranges; None where a cut piece is not one feature.
+
+    A piece runs from one mark to the next, so with its opening put back it
+    starts with the rest of one feature; what follows that is not looked at.  The
+    piece before a collection's first mark is its head.  Whatever does not come
+    out as one head and whole features per file (a type that is not stated
+    first, the mark inside a text) is left to :func:`_whole_features`.
+    """
+    schema = f"properties struct<{props}>, geometry struct<type: string, coordinates: string>, _broken string"
+    pieces = spark.read.option("lineSep", MARK).text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    read = pieces.withColumn("head", F.contains("value", F.lit('"FeatureCollection"'))).withColumn(
+        "f", F.from_json(F.concat(F.lit(OPENING), "value"), schema, {"columnNameOfCorruptRecord": "_broken"})
+    )
+    whole = F.col("f._broken").isNull() & F.col("f.properties").isNotNull() & F.col("f.geometry").isNotNull()
+    crs = F.regexp_extract("value", r'"crs"\s*:\s*\{[^{}]*\{[^{}]*"name"\s*:\s*"([^"]*)"', 1)
+    files = read.groupBy("file").agg(
+        F.count_if("head").alias("heads"), F.count_if(~F.col("head") & F.coalesce(whole, F.lit(False))).alias("whole"), F.count(F.lit(1)).alias("n"),
+        F.count_if((crs != "") & ~crs.isin(*GEOGRAPHIC_CRS)).alias("crs"),
+    )
+    c = files.agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("heads") != 1) | (F.col("whole") + 1 != F.col("n")) | (F.col("whole") < 1)).alias("other"), F.sum("crs").alias("crs")).first()
+    if not c["n"] or c["other"]:
+        return None
+    if c["crs"]:
+        raise DataContractError("coordinates are not geographic (EPSG:4326)")
+    return read.filter("not head").select(F.struct("f.properties", "f.geometry").alias("f"))
+
+
+def _whole_features(spark: SparkSession, path: str, props: str) -> DataFrame:
+    """Features (f) of collections that are read one document a task."""
     schema = (
         "type string, crs struct<properties: struct<name: string>>, features array<struct<"
         f"properties: struct<{props}>, geometry: struct<type: string, coordinates: string>>>"
@@ -37,7 +76,10 @@ def read_geojson(spark: SparkSession, path: str, properties: Mapping[str, str],
         raise DataContractError("feature collection without features")
     if bad["crs"]:
         raise DataContractError("coordinates are not geographic (EPSG:4326)")
-    rows = docs.select(F.explode("features").alias("f"))
+    return docs.select(F.explode("features").alias("f"))
+
+
+def _checked(rows: DataFrame, properties: Mapping[str, str], id_col: str) -> DataFrame:
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     polygon = "array<array<array<double>>>"
     drawn = F.when(kind == "Polygon", F.array(F.from_json(text, polygon))).when(kind == "MultiPolygon", F.from_json(text, f"array<{polygon}>"))

@@ -54,6 +54,34 @@ def test_geojson_parts_and_holes(spark, tmp_path):
             geojson.read_geojson(spark, write(tmp_path / f"bad{i}.json", collection(bad)), {"gp_id": "string"}, "gp_id")
 
 
+def test_one_large_collection_is_read_by_many_tasks(spark, tmp_path):
+    def moved(i):
+        return feature(str(i), [[x + i, y] for x, y in SQUARE])
+
+    path = write(tmp_path / "large.json", json.dumps(collection(*map(moved, range(6000))), indent=1))
+    size = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(size, "128k")
+    try:
+        rows = geojson._cut_features(spark, path, "gp_id: string")
+        assert rows.rdd.getNumPartitions() > 4 and rows.count() == 6000
+        got = geojson.read_geojson(spark, path, {"gp_id": "string"}, "gp_id").agg(F.countDistinct("gp_id"), F.sum(F.col("ring")[0]["x"]), F.min(F.size("ring"))).first()
+    finally:
+        spark.conf.unset(size)
+    assert tuple(got) == (6000, 6000 * 5999 / 2, 5)
+
+
+def test_collections_that_cannot_be_cut_are_read_whole(spark, tmp_path):
+    last = [dict(reversed(feature(i).items())) for i in ("1", "2")]
+    texts = [feature(i) | {"properties": {"gp_id": i, "kind": "Feature"}} for i in ("1", "2")]
+    for n, features in enumerate((last, texts, [feature("1"), last[1]])):
+        path = write(tmp_path / f"odd{n}.json", collection(*features))
+        assert geojson._cut_features(spark, path, "gp_id: string") is None
+        assert sorted(r["gp_id"] for r in geojson.read_geojson(spark, path, {"gp_id": "string"}, "gp_id").collect()) == ["1", "2"]
+    late = write(tmp_path / "late.json", {"type": "FeatureCollection", "features": [feature("1")], "crs": {"type": "name", "properties": {"name": "EPSG:32643"}}})
+    with pytest.raises(DataContractError, match="geographic"):
+        geojson.read_geojson(spark, late, {"gp_id": "string"}, "gp_id")
+
+
 def test_collection_round_trip(spark, tmp_path):
     rows = geojson.read_geojson(spark, write(tmp_path / "a.json", collection(feature("1"), feature("2"))), {"gp_id": "string"}, "gp_id")
     out = str(tmp_path / "doc")
