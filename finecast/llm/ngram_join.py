@@ -19,6 +19,8 @@ CELL_BITS = 18
 #: Up to this many sets, a token's sets are paired directly; beyond, by rounds of pivots.
 FEW = 8
 PIVOTS = 4
+#: A cell of the sketch with so many times the mean count is hot: at most 2^CELL_BITS / HOT are.
+HOT = 16
 #: Sets of one tree.
 TREE = 256
 #: Up to this many candidate sets (a long each) their ids are broadcast to the texts; beyond, texts are shuffled to them.
@@ -81,15 +83,57 @@ def _described(docs: DataFrame, width: int, percent: int, often: np.ndarray) ->
     return docs.select("doc_id", "body").mapInArrow(describe, "doc_id long, n long, a long, b long, rare array<long>")
 
 
+def outline(tokens: np.ndarray) -> bytes:
+    """How many tokens of a set fall into each of its cells, a byte each; empty if a cell holds too many.
+
+    There are about four tokens to a cell, so it takes a twentieth of the set's room.
+    """
+    cells = max(64, 1 << max(0, len(tokens) // 4 - 1).bit_length())
+    held = np.bincount((mixed(tokens) & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return held.astype(np.uint8).tobytes() if held.max(initial=0) < 256 else b""
+
+
+def most_overlap(one: bytes, other: bytes) -> int | None:
+    """What two sets can share at most by their outlines; the finer one is folded. None if an outline is missing."""
+    if not one or not other:
+        return None
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in sorted((one, other), key=len))
+    return int(np.minimum(a, b.reshape(-1, len(a)).sum(axis=0)).sum())
+
+
 def _whole_sets(docs: DataFrame, width: int, often: np.ndarray) -> DataFrame:
-    """(rep, tokens): whole sets in the global order, as bytes."""
+    """(rep, n, outline, tokens): whole sets in the global order, as bytes, with size and outline."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [ordered(shingles(t, width), often).tobytes() for t in _texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["rep", "tokens"])
+            rows = [ordered(shingles(t, width), often) for t in _texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(r) for r in rows], pa.int64()), pa.array(list(map(outline, rows)), pa.binary()), pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["rep", "n", "outline", "tokens"],
+            )
 
-    return docs.select("rep", "body").mapInArrow(sets, "rep long, tokens binary")
+    return docs.select("rep", "body").mapInArrow(sets, "rep long, n long, outline binary, tokens binary")
+
+
+def promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose outlines leave room for enough overlap, so that whole sets travel for few others.
+
+    An outline's bound is never below the overlap, so no similar pair is lost.
+    An id that stands for several sets is kept if any of them may do.
+    """
+    side = lambda c, n, o: sets.select(F.col("rep").alias(c), F.col("n").alias(n), F.col("outline").alias(o))
+    rows = pairs.join(side("x", "n", "ox"), "x").join(side("y", "m", "oy"), "y").select("x", "y", "n", "m", "ox", "oy")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out = []
+            for x, y, n, m, ox, oy in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                most = most_overlap(ox, oy)
+                if most is None or (100 + percent) * most >= percent * (n + m):
+                    out.append((x, y))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["x", "y"])
+
+    return rows.mapInArrow(keep, "x long, y long").distinct()
 
 
 def tree_overlaps(pivot: np.ndarray, members: list[tuple[int, bytes]], percent: int) -> Iterator[tuple[int, int]]:
@@ -125,9 +169,11 @@ def tree_overlaps(pivot: np.ndarray, members: list[tuple[int, bytes]], percent:
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(x, y) of the pairs that are similar enough, by their whole sets.
 
-    A pivot x meets its partners in trees of bounded size: a pivot with more
+    Pairs that their outlines rule out are dropped first.  A pivot x meets its partners in trees of bounded size: a pivot with more
     than TREE partners gets several, each with its own copy of x's set.
     """
+    pairs = written(promising(pairs, sets, percent), "ngram-promising")
+    sets = sets.select("rep", "tokens")
     trees = pairs.groupBy("x").agg(F.count("*").alias("m")).select("x", F.ceil(F.col("m") / TREE).alias("k"))
     dealt = pairs.join(trees, "x").select(F.col("y").alias("rep"), "x", F.pmod(F.xxhash64("y"), "k").cast("int").alias("tree"), "y")
     heads = trees.select(F.col("x").alias("rep"), "x", F.explode(F.expr("sequence(0, cast(k as int) - 1)")).alias("tree"), F.lit(None).cast("long").alias("y"))
@@ -230,9 +276,7 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     # Described once more rather than kept: prefixes are the bulk of it.
     classes = written(described.where("n > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("rare").alias("rare")), "ngram-classes")
     # A repeated id may stand for several sets: all of them are looked at under its name.
-    tokens = classes.select("rep", "n", F.explode("rare").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    groups = written(tokens.join(counts, "token"), "ngram-groups")
+    groups = _shared(classes.select("rep", "n", F.explode("rare").alias("token")), often)
     # g: prefix tokens that a set shares with any other, h: those of many sets.
     own = Window.partitionBy("rep")
     groups = written(
@@ -272,6 +316,24 @@ def similar_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, te
     return out, links
 
 
+def _shared(tokens: DataFrame, often: np.ndarray) -> DataFrame:
+    """(token, rep, n, c) of the tokens that c > 1 sets hold.
+
+    Most are counted beside each other after one shuffle.  Those in a cell of the
+    sketch that is HOT times as full as the mean, the only ones that many sets
+    can hold, are counted map-side and joined back, which adaptive execution
+    splits.  The list of such cells is bounded by the sketch's size.
+    """
+    hot = np.flatnonzero(often > HOT * often.mean())
+    cells = tokens.sparkSession.createDataFrame([(int(c),) for c in hot], "cell int")
+    cell = F.shiftrightunsigned("token", 64 - CELL_BITS).cast("int")
+    marked = tokens.withColumn("cell", cell).join(F.broadcast(cells.withColumn("hot", F.lit(True))), "cell", "left").drop("cell")
+    cold = marked.where("hot IS NULL").drop("hot").withColumn("c", F.count("*").over(Window.partitionBy("token"))).where("c > 1")
+    full = marked.where("hot").drop("hot")
+    counts = full.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    return cold.select("token", "rep", "n", "c").union(full.join(counts, "token").select("token", "rep", "n", "c"))
+
+
 def _sets_of(pairs: DataFrame, body: DataFrame, width: int, often: np.ndarray, known: DataFrame | None) -> DataFrame:
     """Whole sets of all documents of ``pairs``, besides those already ``known``."""
     ids = pairs.select(F.col("x").alias("rep")).union(pairs.select("y")).distinct()

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,6 +316,29 @@ def test_ngram_join_sets_of_different_size(spark):
     assert got == _similar(rows, 5, 80)
 
 
+def test_ngram_join_outlines_bound_the_overlap():
+    rng = np.random.default_rng(4)
+    for n, d in [(1, 0), (1, 1), (5, 2), (300, 10), (300, 300), (255, 3), (256, 5), (5000, 400), (40_000, 40_000)]:
+        one = rng.integers(1, 1 << 63, n, dtype=np.uint64)
+        other = np.concatenate([one[d:], rng.integers(1, 1 << 63, d + n // 7, dtype=np.uint64)])
+        most = ngram_join.most_overlap(ngram_join.outline(one), ngram_join.outline(other))
+        assert n - d <= most <= n
+        assert d < n or n < 300 or most < 0.95 * n
+    full = ngram_join.outline(np.full(300, 7, np.uint64))
+    assert full == b"" and ngram_join.most_overlap(full, full) is None
+
+
+def test_ngram_join_counts_shared_tokens_of_full_and_other_cells(spark):
+    few, many = 5 << 46, 9 << 46
+    rows = [(r, 10, few + r // 2) for r in range(7)] + [(r, 10, many + r // 3) for r in range(7)]
+    often = np.ones(1 << ngram_join.CELL_BITS, np.int64)
+    often[9] = 100
+    want = sorted((t, r, sum(u == t for _, _, u in rows)) for r, _, t in rows if sum(u == t for _, _, u in rows) > 1)
+    for sketch in (often, np.ones_like(often)):
+        got = ngram_join._shared(spark.createDataFrame(rows, "rep long, n long, token long"), sketch).collect()
+        assert sorted((x["token"], x["rep"], x["c"]) for x in got) == want
+
+
 def test_ngram_join_odd_rows(spark):
     docs = odd.documents(spark)
     rows = ngram_join.join_report(docs).collect()
@@ -327,8 +351,6 @@ def test_ngram_join_odd_rows(spark):
 
 
 def test_tree_prunes_nothing_similar():
-    import numpy as np
-
     rng = np.random.default_rng(4)
     base = np.sort(rng.choice(10**6, 400, replace=False).astype(np.uint64))
     members = []
