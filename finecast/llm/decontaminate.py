@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finecast.llm.shared import ascii_lower, present
+from finecast.llm.shared import ascii_lower, present, written
 
 WINDOW = 10
 BROADCAST_BYTES = 32 << 20
+#: Words of a stretch of text whose positions are tried together: what a position carries does not grow with its text.
+STRETCH = 64
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -44,10 +46,13 @@ def contamination(
 
     The benchmark's distinct windows are measured first; only below
     ``broadcast_bytes`` are they broadcast as a hash set, otherwise the windows
-    of the documents are shuffled to them.  Each word position of a whole text
-    is hashed once per window length that the benchmark has (ten at most),
-    looked up, and compared word by word.  Positions without a hit end in the
-    task that made them, so only hits are shuffled.  Rows are known by id, hash
+    of the documents are shuffled to their hashes, each as place and hash alone,
+    and only stretches with a hash in common are fetched again to be compared.
+    Each word position of a whole text is hashed once per window length that the
+    benchmark has (ten at most), looked up, and compared word by word.  Texts of
+    any length are taken in stretches of STRETCH words and the few after them.
+    With a broadcast, positions without a hit end in the task that made them,
+    so only hits are shuffled.  Rows are known by id, hash
     and length of the text: repeated rows share one result.  Null text has no
     words; an empty benchmark hits nothing.
     """
@@ -65,15 +70,21 @@ def contamination(
             *[F.col(f"`{c}`") for c in docs.columns], "_dwords", F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("_dspans"),
             F.lit(0).cast("long").alias("_dhit"), F.expr("cast(array() as array<string>)").alias("_ditems"),
         )
-    at = rows.select("_drow", "_dw", F.posexplode("_dw").alias("at", "word"))
-    tried = [F.struct(F.lit(n).alias("length"), _key("_dw", "at", n).alias("key")) for n in sorted(lengths)]
-    if len(tried) == 1:
-        at = at.select("_drow", "_dw", "at", tried[0].alias("t"))
+    cut = f"transform(sequence(0, greatest(size(_dw) - 1, 0) div {STRETCH}), c -> struct(int(c * {STRETCH}) AS base, slice(_dw, int(c * {STRETCH} + 1), {STRETCH + window - 1}) AS w))"
+    parts = rows.select("_drow", F.inline(F.expr(cut)))
+    tried = [F.struct(F.lit(n).alias("length"), _key("w", "at", n).alias("key")) for n in sorted(lengths)]
+    at = parts.select("_drow", "base", "w", F.posexplode(F.slice("w", 1, STRETCH)).alias("at", "word"))
+    at = at.select("_drow", "base", "w", "at", (tried[0] if len(tried) == 1 else F.explode(F.array(*tried))).alias("t"))
+    at = at.select("_drow", "base", "w", "at", F.col("t.length").alias("length"), F.col("t.key").alias("key")).where("at + length <= size(w)")
+    if size > broadcast_bytes:
+        known = at.drop("w").join(grams.select("key", "length").distinct(), ["key", "length"], "left_semi").distinct()
+        known = written(known, "window-places")
+        fetched = parts.join(known.select("_drow", "base").distinct(), ["_drow", "base"], "left_semi").dropDuplicates(["_drow", "base"])
+        at = known.join(fetched, ["_drow", "base"]).withColumn("gram", F.expr("slice(w, at + 1, length)")).drop("w")
+        hits = at.join(grams, ["key", "length", "gram"])
     else:
-        at = at.select("_drow", "_dw", "at", F.explode(F.array(*tried)).alias("t"))
-    at = at.select("_drow", "_dw", "at", F.col("t.length").alias("length"), F.col("t.key").alias("key")).where("at + length <= size(_dw)")
-    side = F.broadcast(grams) if size <= broadcast_bytes else grams
-    hits = at.join(side, ["key", "length"]).where("slice(_dw, at + 1, length) = gram").select("_drow", "at", "length", "items")
+        hits = at.join(F.broadcast(grams), ["key", "length"]).where("slice(w, at + 1, length) = gram")
+    hits = hits.select("_drow", (F.col("base") + F.col("at")).alias("at"), "length", "items")
     merged = (
         hits.groupBy("_drow")
         .agg(F.array_sort(F.collect_set(F.struct(F.col("at").alias("s"), (F.col("at") + F.col("length")).alias("e")))).alias("_dspans"), F.collect_set("items").alias("sets"))

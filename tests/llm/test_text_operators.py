@@ -75,6 +75,25 @@ def test_decontamination(spark, docs, limit):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_decontamination_across_stretches(spark, limit):
+    """Passages at every place around the ends of stretches, in texts of those lengths, rows repeated, ids null."""
+    passage = [f"p{i}" for i in range(10)]
+    rows = []
+    for at in (0, 53, 54, 55, 63, 64, 65, 118, 127, 128):
+        for after in (0, 1, 70):
+            rows.append((len(rows), " ".join([f"w{i}" for i in range(at)] + passage + [f"v{i}" for i in range(after)])))
+    rows += [(None, rows[4][1])] * 3 + [(7, rows[7][1])]
+    bench = spark.createDataFrame([(1, " ".join(passage)), (2, "v0"), (3, "w63 p0")], "item_id long, text string")
+    got = decontaminate.contamination_report(spark.createDataFrame(rows, "doc_id long, text string"), bench, broadcast_bytes=limit).collect()
+    items = [("1", passage), ("2", ["v0"]), ("3", ["w63", "p0"])]
+    want = []
+    for i, t in rows:
+        marks, found = _hits(_words(t), items)
+        want.append((i, len(_words(t)), len(marks), len(found)))
+    assert sorted(map(str, (tuple(r)[:4] for r in got))) == sorted(map(str, want))
+
+
 def test_decontamination_cuts_and_drops(spark, docs):
     bench = spark.createDataFrame([(1, odd.prose(12)), (2, "été")], "item_id long, text string")
     clean = decontaminate.drop_contaminated(odd.clashing(docs), bench)
