@@ -15,6 +15,9 @@ from finecast.errors import DataContractError
 from finecast.functions.names import match_key
 from finecast.sources.ledger import Ledger
 
+#: Layers that a published table holds before they become one.
+LAYERS = 8
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None, fmt: str = "parquet") -> DataFrame:
     """S-01: CSV or parquet scan with a declared schema.
@@ -47,36 +50,59 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], mode: str =
 def publish(df: DataFrame, path: str, keys: Sequence[str] = ()) -> None:
     """S-08: readers see the old data until all new ones are written, then the new ones, at every moment one of them.
 
-    Data go to a folder of their own; a ledger beside it then points there.
-    With keys, partitions present in the new data are replaced and the others
-    stay.  Of two writers that start from one state the second fails with
-    ``ConcurrentWrite``; a failed job leaves everything as it was.  Read with
-    :func:`published`.
+    Data go to a folder of their own, a layer; a ledger beside it then lists it.
+    With keys, rows whose keys are among the new data's are replaced and the
+    others stay: a layer keeps its distinct keys beside its rows, and readers
+    leave out older rows that a newer layer has the keys of.  So files follow
+    the size of the data, not the number of keys, and a publish reads nothing
+    but what it wrote; ``LAYERS`` layers are merged into one.  Of two writers
+    that start from one state the second fails with ``ConcurrentWrite``; a
+    failed job leaves everything as it was.  Read with :func:`published`.
     """
-    ledger = Ledger(df.sparkSession, path)
+    spark, ledger, keys = df.sparkSession, Ledger(df.sparkSession, path), list(keys)
     version, state = ledger.head()
+    layers = state.get("layers", []) if keys else []
+    new = {"folder": _write_layer(df, ledger.path, keys), "by": keys}
+    if not keys:
+        layers = [new]
+    elif not spark.read.parquet(f"{ledger.path}/{new['folder']}/keys").isEmpty():
+        layers = [*layers, new]
+    if len(layers) > LAYERS:
+        layers = [{"folder": _write_layer(_merged(spark, ledger.path, layers), ledger.path, keys), "by": keys}]
+    ledger.commit(version, {"layers": layers, "folders": [x["folder"] for x in layers]})
+
+
+def _write_layer(df: DataFrame, path: str, keys: Sequence[str]) -> str:
+    """Folder of a new layer: its rows, near each other by key, and its distinct keys."""
     folder = f"data-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*keys) if keys else df.write
-    writer.parquet(f"{ledger.path}/{folder}")
-    parts = [""]
-    for _ in keys:
-        parts = [f"{p}/{n}" if p else n for p in parts for n in ledger.names(f"{folder}/{p}" if p else folder) if "=" in n]
-    now = (state.get("parts", {}) if keys else {}) | dict.fromkeys(parts, folder)
-    ledger.commit(version, {"parts": now, "folders": sorted(set(now.values()))})
+    near = df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys) if keys else df
+    near.write.parquet(f"{path}/{folder}/rows")
+    if keys:
+        df.sparkSession.read.schema(df.schema).parquet(f"{path}/{folder}/rows").select(*keys).distinct().write.parquet(f"{path}/{folder}/keys")
+    return folder
+
+
+def _merged(spark: SparkSession, path: str, layers: Sequence[Mapping], schema: StructType | str | None = None) -> DataFrame:
+    """Rows of all layers, oldest first, without those whose keys a newer layer has."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    parts = [reader.parquet(f"{path}/{x['folder']}/rows").withColumn("_layer", F.lit(i)) for i, x in enumerate(layers)]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for by in sorted({tuple(x["by"]) for x in layers[1:]}):
+        named = [F.col(k).alias(f"_key{i}") for i, k in enumerate(by)]
+        found = [spark.read.parquet(f"{path}/{x['folder']}/keys").select(*named, F.lit(i).alias("_newer")) for i, x in enumerate(layers) if i and tuple(x["by"]) == by]
+        newest = reduce(DataFrame.unionByName, found).groupBy(*[f"_key{i}" for i in range(len(by))]).agg(F.max("_newer").alias("_newer"))
+        same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(by)]
+        rows = rows.join(newest, reduce(lambda a, b: a & b, [*same, F.col("_layer") < F.col("_newer")]), "left_anti")
+    return rows.drop("_layer")
 
 
 def published(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """What was last published at ``path``."""
+    """What was last published at ``path``; a ``schema`` has the keys too."""
     ledger = Ledger(spark, path)
-    parts = ledger.head()[1].get("parts", {})
-    if not parts:
+    layers = ledger.head()[1].get("layers", [])
+    if not layers:
         raise DataContractError(f"nothing was published at {path}")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    found = []
-    for folder in sorted(set(parts.values())):
-        base = f"{ledger.path}/{folder}"
-        found.append(reader.option("basePath", base).parquet(*[f"{base}/{p}" if p else base for p, f in parts.items() if f == folder]))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
+    return _merged(spark, ledger.path, layers, schema)
 
 
 def manifest(df: DataFrame, keys: Sequence[str], date_col: str | None = None, policy: Mapping[str, bool] | None = None) -> DataFrame:

@@ -175,6 +175,23 @@ def test_of_two_writers_at_once_one_fails(spark, tmp_path, monkeypatch):
     assert not [n for n in os.listdir(f"{path}/_ledger") if n.startswith(".") and not n.endswith(".crc")]
 
 
+def test_publish_of_many_keys_writes_few_files_and_replaces_by_key(spark, tmp_path):
+    path, want = str(tmp_path / "many"), {}
+    for n in range(12):
+        keys = range(0, 300, n + 1)
+        df = spark.range(300).filter(F.col("id") % (n + 1) == 0).select((F.col("id") + 1000 * n).alias("v"), F.format_string("%03d", "id").alias("k"))
+        tables.publish(df.unionByName(df.limit(1).select(F.lit(-n).cast("long").alias("v"), F.lit(None).cast("string").alias("k"))), path, ["k"])
+        want |= {f"{i:03d}": i + 1000 * n for i in keys} | {None: -n}
+        if n in (0, 1, 8, 11):
+            assert {r["k"]: r["v"] for r in tables.published(spark, path, "v long, k string").collect()} == want
+            assert tables.published(spark, path).count() == len(want)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) < 300
+    tables.publish(spark.createDataFrame([(1, "a")], "v long, k string"), path)
+    tables.publish(spark.createDataFrame([(2, "a"), (3, "b")], "v long, k string"), path, ["k"])
+    assert sorted((r["k"], r["v"]) for r in tables.published(spark, path).collect()) == [("a", 2), ("b", 3)]
+
+
 KEYED = "k long, g string, ts int, v double"
 
 
