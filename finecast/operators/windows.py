@@ -271,8 +271,16 @@ def horizon_position(df: DataFrame, by: Sequence[str], date_col: str, name: str
 
 
 def above_own_mean(df: DataFrame, by: Sequence[str], value: str, delta: float) -> DataFrame:
-    """W-13: rows above the group mean by more than ``delta``."""
-    means = df.groupBy(*by).agg(F.avg(value).alias("own_mean"))
+    """W-13: rows above the group mean by more than ``delta``.
+
+    A value may lie at the mean plus ``delta`` to the last bit, so the sum is
+    taken in decimals, which no order of the rows changes.  Values that
+    decimals do not hold to a double's precision have a sum of doubles.
+    """
+    exact = F.col(value).try_cast("decimal(38,18)")
+    held = (F.count(exact) == F.count(value)) & (F.max(F.abs(value)) >= 0.01)
+    mean = F.when(held, F.try_sum(exact).cast("double") / F.count(value))
+    means = df.groupBy(*by).agg(F.coalesce(mean, F.avg(value)).alias("own_mean"))
     return df.join(means, list(by)).withColumn("above", F.col(value) > F.col("own_mean") + delta)
 
 

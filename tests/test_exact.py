@@ -335,3 +335,16 @@ def test_latest_dates_per_area(spark):
     df = spark.createDataFrame(rows, "area string, date string, v int")
     got = ingest.latest_dates(df, "date", 7, ["area"]).groupBy("area").agg(F.count("*").alias("n"), F.min("date").alias("lo")).collect()
     assert {r["area"]: (r["n"], r["lo"]) for r in got} == {"a": (14, "2024-01-05"), "b": (7, "2023-01-05"), None: (1, "2020-05-05")}
+
+
+def test_own_mean_does_not_hang_on_the_order_of_rows(spark):
+    import itertools
+
+    from finecast.operators import windows
+
+    orders = list(itertools.permutations([0.1, 0.2, 0.3, 0.7, None]))
+    rows = [(g, v) for g, p in enumerate(orders) for v in p] + [(-1, 1e300), (-1, 3e300), (-2, 1e-15), (-2, 3e-15), (-3, None), (-4, float("inf")), (-4, 1.0)]
+    out = windows.above_own_mean(spark.createDataFrame(rows, "g int, v double").coalesce(1), ["g"], "v", 0.0)
+    means = {r["g"]: r["own_mean"] for r in out.collect()}
+    assert {means[g] for g in range(len(orders))} == {1.3 / 4}
+    assert [means[-n] for n in (1, 2, 3, 4)] == [2e300, 2e-15, None, float("inf")]
