@@ -138,3 +138,21 @@ def test_batch_form_is_the_same_function(spark):
     day = jobs.daily_completeness(df, "ts", ["area"], "v").first()
     assert (day["n_hours"], day["complete"]) == (2, False)
     assert df.select(F.count("*")).first()[0] == 2
+
+
+def test_late_rows_query_keeps_parts_of_a_second(spark, tmp_path):
+    """Deliveries change within a second of the first event; the twin does not cut it off."""
+    import duckdb
+
+    from finecast.plans.catalog import ORACLES, QUERIES
+
+    first = dt.datetime(2024, 1, 1, 0, 0, 0, 900_000)
+    part = dt.timedelta(days=30) / 12
+    times = [first + part * n - dt.timedelta(seconds=s) for n in range(1, 12) for s in (0.2, -0.2, 70_000)] + [first, first + part * 12 - dt.timedelta(seconds=1)]
+    pq.write_table(pa.table({"event_id": pa.array(range(len(times)), pa.int64()), "ts": pa.array(times, pa.timestamp("us"))}), f"{tmp_path}/events.parquet")
+    got = QUERIES["z05_late_rows"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    names = ", ".join(got.columns)
+    want = con.execute(f"SELECT {names} FROM ({ORACLES['z05_late_rows']}) ORDER BY batch_no").fetchall()
+    assert [tuple(r) for r in got.orderBy("batch_no").collect()] == want and len(want) == 12
