@@ -10,6 +10,7 @@ from finecast.plans.frames import with_
 from finecast.plans.q_joins import ACTUALS, RATES, rate_sql, rates
 from finecast.plans.q_windows import hist_sql
 from finecast.plans.registry import query, r
+from finecast.session import fresh_dir, materialise
 
 RAW = "SELECT l_suppkey AS gp_id, CAST(l_shipdate AS DATE) AS date, l_quantity + 270 AS temp_k, l_quantity + 262 - l_linenumber AS dew_k, (l_discount - 0.01::DOUBLE) AS precip_m, l_quantity - 25 AS u, l_tax * 100 AS v FROM lineitem"
 SATURATION = "exp(17.625::DOUBLE * {t} / (243.04::DOUBLE + {t}))"
@@ -157,7 +158,8 @@ def area_samples(f):
     """Area-level temperature samples with a bias that grows with the lead."""
     d = f.daily.select("block_id", F.col("date").alias("target_date"), F.col("temp").alias("truth"))
     j = f.forecast.join(d, ["block_id", "target_date"]).withColumn("temp_f", F.col("temp_f") + F.col("lead") * 0.5)
-    return training.date_split(j, "target_date")
+    # Split, fit and evaluation all read the samples, and predictions are read more than once: both are made once.
+    return training.date_split(materialise(j.select("block_id", "target_date", *FEATURES, "truth"), "samples"), "target_date")
 
 
 def sound(evaluated, slack=1.05):
@@ -168,6 +170,10 @@ def sound(evaluated, slack=1.05):
     )
 
 
+def judged(predicted, raw, corrected):
+    return materialise(predicted.select("split", "lead", "truth", raw, corrected), "predictions")
+
+
 def raw_error(value: str, truth: str, bias: str) -> str:
     return with_(
         "forecast daily pred_dates",
@@ -181,7 +187,7 @@ def _(f):
     s = area_samples(f)
     m = models.fit_residual(s.filter("split = 'train'"), FEATURES, "truth", "temp_f", depth=5)
     out = models.apply_residual(m, s.filter("split <> 'train'").dropna(subset=["temp_f"]), "temp_f", -60, 60)
-    return sound(metrics.horizon_evaluation(out, ["split", "lead"], "truth", "temp_f", "corrected"))
+    return sound(metrics.horizon_evaluation(judged(out, "temp_f", "corrected"), ["split", "lead"], "truth", "temp_f", "corrected"))
 
 
 TREE_FEATURES = ["temp", "rh", "wind", "phase"]
@@ -223,24 +229,25 @@ def _(f):
 def _(f):
     s = area_samples(f)
     m = models.fit_direct(s.filter("split = 'train'"), FEATURES, "truth")
-    return sound(metrics.horizon_evaluation(m.predict(s.filter("split <> 'train'")), ["split", "lead"], "truth", "temp_f", "predicted"), 3)
+    out = judged(m.predict(s.filter("split <> 'train'")), "temp_f", "predicted")
+    return sound(metrics.horizon_evaluation(out, ["split", "lead"], "truth", "temp_f", "predicted"), 3)
 
 
 @query("m09_boosted_model", raw_error("temp_f", "temp", "5e-1"))
 def _(f):
     s = area_samples(f)
     m = models.fit_direct(s.filter("split = 'train'"), FEATURES, "truth", kind="boosted", trees=20, depth=5)
-    return sound(metrics.horizon_evaluation(m.predict(s.filter("split <> 'train'")), ["split", "lead"], "truth", "temp_f", "predicted"), 3)
+    out = judged(m.predict(s.filter("split <> 'train'")), "temp_f", "predicted")
+    return sound(metrics.horizon_evaluation(out, ["split", "lead"], "truth", "temp_f", "predicted"), 3)
 
 
 @query("m10_two_stage_rain", raw_error("rain_f", "rain", "0e0"))
 def _(f):
-    s = training.date_split(
-        f.forecast.join(f.daily.select("block_id", F.col("date").alias("target_date"), F.col("rain").alias("truth")), ["block_id", "target_date"]), "target_date"
-    )
+    j = f.forecast.join(f.daily.select("block_id", F.col("date").alias("target_date"), F.col("rain").alias("truth")), ["block_id", "target_date"])
+    s = training.date_split(materialise(j.select("target_date", "lead", "rain_f", "rh_f", "wind_f", "truth"), "samples"), "target_date")
     m = models.fit_rain(s.filter("split = 'train'"), ["lead", "rain_f", "rh_f", "wind_f"], "truth", depth=5)
     out = m.predict(s.filter("split <> 'train'").dropna(subset=["rain_f"]), "rain_f")
-    g = metrics.horizon_evaluation(out, ["split", "lead"], "truth", "rain_f", "corrected")
+    g = metrics.horizon_evaluation(judged(out, "rain_f", "corrected"), ["split", "lead"], "truth", "rain_f", "corrected")
     # The made-up rain errors are proportional and leave little to correct; the blend must stay finite and in bounds.
     return g.select("split", "lead", "n", "raw_rmse", ((F.col("corrected_rmse") < 100) & ~F.isnan("corrected_rmse")).alias("sound"))
 
@@ -263,8 +270,6 @@ def _(f):
 )
 def _(f):
     """A saved corrector predicts the same after loading."""
-    from finecast.session import fresh_dir
-
     s = area_samples(f)
     m = models.fit_residual(s.filter("split = 'train'"), FEATURES, "truth", "temp_f", depth=5)
     path = fresh_dir(f.spark, "model")

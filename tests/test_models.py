@@ -155,3 +155,27 @@ def test_seven_outputs_are_corrected_at_once(spark, tmp_path):
     assert (again["raw_d3_corrected"].round(9) == out["raw_d3_corrected"].round(9)).all() and out["f1"].isna().any()
     with pytest.raises(DataContractError):
         models.fit_residual_outputs(df.withColumn("actual_x", F.lit(1.0)), ["actual_x"], truths, raws)
+
+
+def test_a_fit_grows_with_bins_not_rows(spark, samples):
+    """Forty copies of every row: as many points, their weights add up to all rows, and what is learned stays."""
+    train = samples.filter("split = 'train' and raw is not null").withColumn("residual", F.col("truth") - F.col("raw"))
+    many = train.crossJoin(spark.range(40).select())
+    for rows, n in ((train, train.count()), (many, 40 * train.count())):
+        bins = models._bins(rows, FEATURES)
+        points = models._points(rows, bins, FEATURES, "residual", limit=1)
+        got = points.agg(F.count(F.lit(1)), F.sum("_n"), F.sum(F.col("_n") * F.col("residual"))).first()
+        assert got[0] == rows.select(*FEATURES).distinct().count() and got[1] == n
+        assert got[2] == pytest.approx(rows.agg(F.sum("residual")).first()[0])
+    m = models.fit_residual(many, FEATURES, "truth", "raw", trees=15, depth=6)
+    out = models.apply_residual(m, samples.filter("split = 'test' and raw is not null"), "raw")
+    assert set(out.columns) == {*samples.columns, "predicted_residual", "corrected"}
+    assert rmse(out, "corrected", "truth") < 0.6 * rmse(out, "raw", "truth")
+
+
+def test_scores_of_bins_equal_scores_of_rows(samples, monkeypatch):
+    m = models.fit_direct(samples.filter("split = 'train'"), FEATURES, "truth", trees=5, depth=3)
+    test = samples.filter("split = 'test'").select("id", *FEATURES)
+    joined = {r["id"]: r["predicted"] for r in m.predict(test).collect()}
+    monkeypatch.setattr(models, "POINTS", 0)
+    assert {r["id"]: r["predicted"] for r in m.predict(test).collect()} == joined and len(joined) == test.count()
