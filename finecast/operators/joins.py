@@ -14,6 +14,9 @@ from finecast.operators import guards
 from finecast.operators.clean import prefix_columns
 from finecast.operators.sets import key_difference
 
+#: Entities of one area that share a task when dates multiply them.
+AREA_PART = 10_000
+
 
 def daily_master(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
     """J-01: N sources outer-joined one to one on ``keys``; columns become ``source_column``.
@@ -153,15 +156,24 @@ def expand(entities: DataFrame, dates: DataFrame, within: Sequence[str], date_co
     Dates travel as one sorted array per area (bounded by the calendar).  The
     join therefore keeps one row per entity, and rows multiply only in the
     ``explode`` that follows, inside the tasks that already hold the entities.
+    These are dealt out for what they become, not for their bytes: an area of
+    many entities is cut into parts of ``AREA_PART``, each with the dates, and
+    the number of tasks is the one set for shuffles.
     """
+    within = list(within)
+    sizes = entities.groupBy(*within).agg(F.ceil(F.count(F.lit(1)) / AREA_PART).alias("_parts"))
+    whole = [f.name for f in entities.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    dealt = entities.join(sizes, within).withColumn("_part", F.pmod(F.xxhash64(*whole), F.col("_parts"))).drop("_parts")
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     arrays = (
         dates.select(*within, date_col)
         .distinct()
         .groupBy(*within)
         .agg(F.sort_array(F.collect_list(date_col)).alias("_dates"))
     )
-    joined = entities.join(arrays, list(within))
-    return joined.withColumn(date_col, F.explode("_dates")).drop("_dates")
+    arrays = arrays.join(sizes, within).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+    joined = dealt.repartition(tasks, *within, "_part").join(arrays.repartition(tasks, *within, "_part"), [*within, "_part"])
+    return joined.withColumn(date_col, F.explode("_dates")).drop("_dates", "_part")
 
 
 def attach(

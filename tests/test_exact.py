@@ -348,3 +348,15 @@ def test_own_mean_does_not_hang_on_the_order_of_rows(spark):
     means = {r["g"]: r["own_mean"] for r in out.collect()}
     assert {means[g] for g in range(len(orders))} == {1.3 / 4}
     assert [means[-n] for n in (1, 2, 3, 4)] == [2e300, 2e-15, None, float("inf")]
+
+
+def test_a_hot_area_is_expanded_by_many_tasks(spark, monkeypatch):
+    """Two thirds of the entities are in one area; no task gets more than its share of them."""
+    monkeypatch.setattr(joins, "AREA_PART", 50)
+    entities = spark.range(3000).coalesce(1).selectExpr("id as e", "if(id % 3 = 0, id, -1) as area")
+    dates = spark.range(4).selectExpr("-1L as area", "date_add(date'2024-01-01', cast(id as int)) as date").unionByName(spark.range(0, 900, 9).selectExpr("id as area", "date'2024-02-02' as date"))
+    grid = joins.expand(entities, dates, ["area"], "date")
+    assert grid.columns == ["area", "e", "date"]
+    rows = [r[0] for r in grid.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    assert sum(rows) == 8100 and max(rows) < 4000
+    assert grid.distinct().count() == 8100
