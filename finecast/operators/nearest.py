@@ -118,43 +118,52 @@ class Tree:
             F.lit(0).alias("level"), F.array(*[F.lit(0).cast("long")] * self.dims).alias("cell"),
         )
 
-        def bounded(q: Column) -> Column:
-            near, face, far = self._bounds(F.col("p"), q)
-            return F.struct(near.alias("near"), face.alias("face"), far.alias("far"), q["n"].alias("n"), q["level"].alias("level"), q["cell"].alias("cell"))
-
         # A root without targets below it has no kids and no way on.
-        opened = F.when(F.col("kids").isNotNull(), F.transform("kids", bounded)).when(F.col("k.level") > 0, F.array("k"))
-        faces = F.get(F.array_sort(F.transform("ks", lambda q: q["face"])), F.lit(need - 1))
+        # Kids beyond the bound along one axis are dropped before their own bounds are taken.
+        beside = lambda q: [g <= F.col("_side") for i in range(self.dims) for g in (q["lo"][i] - F.col("p")[i], F.col("p")[i] - q["hi"][i])]
+        close = F.filter("kids", lambda q: reduce(lambda a, b: a & b, beside(q)))
+        opened = F.when(F.col("kids").isNotNull(), self._bounds(close, need)).when(F.col("k.level") > 0, F.array("k"))
+        faces = F.get(F.sort_array(F.transform("ks", lambda q: q["face"])), F.lit(need - 1))
+        first = F.array_min(F.transform("ks", lambda q: q["face"]))
         enough = F.aggregate(
-            F.array_sort(F.transform("ks", lambda q: F.struct(q["far"].alias("far"), q["n"].alias("n")))),
+            F.sort_array(F.transform("ks", lambda q: F.struct(q["far"].alias("far"), q["n"].alias("n")))),
             F.struct(F.lit(0).cast("long").alias("n"), endless.alias("r")),
             lambda s, q: F.struct((s["n"] + q["n"]).alias("n"), F.when((s["n"] < need) & (s["n"] + q["n"] >= need), q["far"]).otherwise(s["r"]).alias("r")),
         )["r"]
-        bound = F.least("_r", F.coalesce(faces, endless) * (1 + SLACK), enough * (1 + SLACK)).alias("_r")
+        # One face is never beyond the far corner of its box, so for one target the first face is all it takes.
+        bound = F.least("_r", *[c * (1 + SLACK) for c in ([first] if need == 1 else [F.coalesce(faces, endless), enough])]).alias("_r")
         within = F.explode(F.filter("ks", lambda q: q["near"] <= F.col("_r"))).alias("k")
         open_ = spots.select(*cols, endless.alias("_r"), root.alias("k"))
         for level in self.branching:
             kids = self.kids.filter(F.col("_l") == level).drop("_l")
             seen = open_.withColumn("_c", F.when(F.col("k.level") == level, F.col("k.cell"))).join(kids, [*self.by, "_c"], "left")
-            seen = seen.select(*cols, "_r", F.explode(opened).alias("k")).filter("k.near <= _r")
+            seen = seen.withColumn("_side", F.sqrt("_r") * (1 + SLACK)).select(*cols, "_r", F.explode(opened).alias("k")).filter("k.near <= _r")
             each = seen.groupBy(*cols).agg(F.min("_r").alias("_r"), F.collect_list("k").alias("ks"))
             open_ = each.select(*cols, bound, "ks").select(*cols, "_r", within)
         return open_.filter("k.level > 0").select(*cols, "k.level", "k.cell")
 
-    def _bounds(self, p: Column, k: Column) -> tuple[Column, Column, Column]:
-        """Squared distances from ``p`` to a box: nearest place, farthest place of the best face, farthest corner."""
-        near, far, closer = [], [], []
-        for i in range(self.dims):
-            lo, hi, v = k["lo"][i], k["hi"][i], p[i]
-            gap = F.greatest(lo - v, v - hi, F.lit(0.0))
-            a, b = F.abs(v - lo), F.abs(v - hi)
-            near.append(gap * gap)
-            far.append(F.greatest(a, b) * F.greatest(a, b))
-            closer.append(F.least(a, b) * F.least(a, b))
+    def _bounds(self, kids: Column, need: int) -> Column:
+        """``kids`` with their squared distances from ``p``: nearest place, farthest place of the best face, farthest corner.
+
+        Each step is an array of its own, so that no distance along an axis is
+        taken twice.  For one target the far corner is not looked at.
+        """
+        axes = range(self.dims)
         plus = lambda cols: reduce(lambda a, b: a + b, cols)
-        whole = plus(far)
-        faces = [plus([closer[i], *[far[j] for j in range(self.dims) if j != i]]) for i in range(self.dims)]
-        return plus(near), F.least(*faces), whole
+        ends = F.transform(kids, lambda q: F.struct(
+            q.alias("q"), *[(F.col("p")[i] - q[e][i]).alias(f"{e}{i}") for i in axes for e in ("lo", "hi")]
+        ))
+        sides = F.transform(ends, lambda s: F.struct(
+            s["q"].alias("q"), *[F.greatest(-s[f"lo{i}"], s[f"hi{i}"], F.lit(0.0)).alias(f"gap{i}") for i in axes],
+            *[f(F.abs(s[f"lo{i}"]), F.abs(s[f"hi{i}"])).alias(f"{n}{i}") for i in axes for n, f in (("close", F.least), ("far", F.greatest))],
+        ))
+        square = lambda s, n, i: s[f"{n}{i}"] * s[f"{n}{i}"]
+        faces = lambda s: [plus([square(s, "close", i), *[square(s, "far", j) for j in axes if j != i]]) for i in axes]
+        return F.transform(sides, lambda s: F.struct(
+            plus([square(s, "gap", i) for i in axes]).alias("near"), (F.least(*faces(s)) if self.dims > 1 else faces(s)[0]).alias("face"),
+            (F.lit(float("inf")) if need == 1 else plus([square(s, "far", i) for i in axes])).alias("far"),
+            s["q"]["n"].alias("n"), s["q"]["level"].alias("level"), s["q"]["cell"].alias("cell"),
+        ))
 
 
 def nearest(
@@ -174,7 +183,10 @@ def nearest(
     slim = targets.filter(here).withColumn("_rn", F.row_number().over(spot)).filter(F.col("_rn") <= k + 1)
     p = F.array(*[c.cast("double") for c in _axes(metric)]).alias("p")
     tree = Tree(slim.select(*by, F.col(target_key).alias("_t"), F.col("x").alias("tx"), F.col("y").alias("ty"), p), by, len(_axes(metric)), max(CELL_TARGETS, 2 * need))
-    spots = points.filter(here).select(*by, "x", "y").distinct().select(*by, "x", "y", p)
+    # Few bytes and much work: spots are dealt to as many tasks as are set for shuffles, by ``p``, so that
+    # this is no repeat of the deal before it, whose tasks are merged by bytes.
+    tasks = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = points.filter(here).select(*by, "x", "y").distinct().select(*by, "x", "y", p).repartition(tasks, "p")
     pairs = tree.reach(spots, need).join(tree.homes.drop("p"), tree.key).select(*by, "x", "y", "_t", "tx", "ty", _distance(metric).alias("distance"))
     best = Window.partitionBy(*by, "x", "y").orderBy("distance", "_t")
     found = pairs.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= need)

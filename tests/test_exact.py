@@ -74,6 +74,13 @@ def test_nearest_with_fewer_targets_than_asked(spark):
     assert got == {(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)}
 
 
+def test_spots_are_dealt_by_number_not_by_bytes(spark):
+    """A spot has few bytes and costs much: tasks merged by bytes would leave all spots to one."""
+    df = spark.createDataFrame(cluster(50, 3))
+    plan = spatial.nearest(df, df, "id", "id", 1, same_table=True)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_asof_matches_pandas(spark, strict):
     rng = np.random.default_rng(3)
