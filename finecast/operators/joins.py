@@ -39,16 +39,27 @@ def daily_master(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFr
 
 
 def unique_side(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
-    """Collapse to one row per key, failing at run time when a key repeats.
+    """The rows as they are, failing at run time when a key repeats.
 
-    The aggregate leaves the side partitioned by ``keys``, so a following join
-    on those keys adds no shuffle for it.
+    Rows are numbered within their key, one after the other: no task holds a
+    table of all its keys, neither before the shuffle nor after it.  The side is
+    left partitioned and sorted by ``keys``, so a following join on those keys
+    adds neither a shuffle nor a sort for it.
     """
     values = [c for c in df.columns if c not in keys]
-    n = F.count(F.lit(1))
-    return df.groupBy(*keys).agg(
-        *[guards.fail_when(n > 1, f"{what}: duplicate key", F.any_value(c)).alias(c) for c in values]
-    )
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    seen = df.withColumn("_nth", nth)
+    return seen.select(*keys, *[guards.fail_when(F.col("_nth") > 1, f"{what}: duplicate key", F.col(c)).alias(c) for c in values])
+
+
+def spread_side(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """:func:`unique_side` for a side of entities times dates: as many tasks as are set for shuffles, not merged by bytes.
+
+    Such rows shrink so well in a shuffle that tasks of even bytes would hold
+    millions of them.  A key must not repeat, so none is hot here.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return unique_side(df.repartition(tasks, *keys), keys, what)
 
 
 def training_base(forecast: DataFrame, sources: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -181,13 +192,13 @@ def attach(
     target_keys: Sequence[str],
 ) -> DataFrame:
     """J-06: area forecasts by date, local reference targets by entity and date."""
-    side = unique_side(targets, target_keys, "targets")
+    side = spread_side(targets, target_keys, "targets")
     return frame.join(forecasts, list(forecast_keys), "left").join(side, list(target_keys), "left")
 
 
 def attach_target(samples: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J-07: inner join to the genuine target, which must be unique."""
-    return samples.join(unique_side(target, keys, "target"), list(keys))
+    return samples.join(spread_side(target, keys, "target"), list(keys))
 
 
 def attach_history(forecast: DataFrame, history: DataFrame, by: Sequence[str], forecast_date: str, date_col: str) -> DataFrame:

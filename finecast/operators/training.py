@@ -80,7 +80,7 @@ def horizon_dataset(
     safe = forecast.select(area, target_date, F.col(issue_date), checked_lead.alias(lead), *values)
     # Samples grow only at the last join: each (entity, date) label meets the
     # few leads of its area and date.
-    side = joins.unique_side(target.select(entity, target_date, *labels), [entity, target_date], "target")
+    side = joins.spread_side(target.select(entity, target_date, *labels), [entity, target_date], "target")
     labelled = gps.select(entity, area).join(side.dropna(how="all", subset=list(labels)), entity)
     return labelled.join(safe, [area, target_date])
 

@@ -109,6 +109,17 @@ def test_dedup_directions(spark):
     assert rows(ingest.append_strict(old, same, ["k"]), "k") == [(1, 10.0), (2, 20.0), (4, None)]
 
 
+def test_target_side_is_dealt_by_number_and_repeats_fail(spark):
+    s = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (None, 8)], "k int, x int")
+    t = spark.createDataFrame([(1, 1.0), (2, None), (3, 3.0)], "k int, y double")
+    got = joins.attach_target(s, t, ["k"])
+    assert rows(got, "x") == [(1, 5, 1.0), (1, 6, 1.0), (2, 7, None)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Aggregate" not in plan
+    with pytest.raises(Exception, match="duplicate key"):
+        joins.attach_target(s, t.union(t.filter("k = 1")), ["k"]).collect()
+
+
 def test_dedupe_of_key_only_rows(spark):
     assert sets.dedupe(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], []).count() == 1
 
