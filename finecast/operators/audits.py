@@ -13,6 +13,7 @@ from finecast.operators import guards
 from finecast.operators.aggregates import duplicate_rows, profile
 from finecast.operators.sets import union_chunks
 from finecast.operators.windows import history_columns
+from finecast.session import bounded_tasks, materialise
 
 # Dictionary rows by role, decided first match first
 # (group, final role, engineering action, availability, leakage risk).
@@ -268,7 +269,9 @@ def training_audit(
         F.coalesce(F.sum("dup"), F.lit(0)).alias("duplicate_sample"),
         F.coalesce(F.sum("overlap"), F.lit(0)).alias("split_overlap"), late.alias("split_order"),
     ).unpivot([], ["duplicate_sample", "split_overlap", "split_order"], "check_name", "n_bad")
-    return _with_status(agg.unionByName(keyed))
+    # Run at once, as one job, so that the tasks of the sample keys can be kept small.
+    with bounded_tasks(samples.sparkSession):
+        return materialise(_with_status(agg.unionByName(keyed)), "training-audit")
 
 
 def target_preflight(target: DataFrame, keys: Sequence[str], ranges: Mapping[str, tuple[float, float]]) -> DataFrame:

@@ -5,8 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+#: Shuffled bytes that one task of a job on very many keys should hold, and into how many pieces the usual tasks are cut.
+TASK_BYTES, TASK_PIECES = 8 << 20, 8
+
 
 def local_session(app: str = "finecast", cpus: str | int = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and benches; on a cluster use the one you are given."""
@@ -60,3 +66,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def bounded_tasks(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffles are cut into more pieces, and these are merged up to ``TASK_BYTES`` only.
+
+    For a job run at once whose aggregate keeps about one entry per row: keys
+    shrink so well in a shuffle that tasks of the usual bytes hold many
+    millions.  The session's own settings hold again afterwards.
+    """
+    parts, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {k: spark.conf.get(k) for k in (parts, merged)}
+    spark.conf.set(parts, str(TASK_PIECES * int(before[parts])))
+    spark.conf.set(merged, str(TASK_BYTES))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

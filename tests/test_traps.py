@@ -120,6 +120,18 @@ def test_target_side_is_dealt_by_number_and_repeats_fail(spark):
         joins.attach_target(s, t.union(t.filter("k = 1")), ["k"]).collect()
 
 
+def test_audit_keys_run_in_small_tasks_and_settings_come_back(spark, monkeypatch):
+    parts, seen = "spark.sql.shuffle.partitions", []
+    keep = audits.materialise
+    monkeypatch.setattr(audits, "materialise", lambda df, label: seen.append(int(spark.conf.get(parts))) or keep(df, label))
+    before = int(spark.conf.get(parts))
+    s = spark.createDataFrame([(1, D(2020, 1, 1), 1, 0.5, 1.0, "train"), (1, D(2020, 1, 1), 1, 0.5, 1.0, "test"), (2, D(2020, 1, 2), 1, 0.5, 1.0, "test")],
+                              "g int, d date, lead int, f double, y double, split string")
+    got = {r["check_name"]: r["n_bad"] for r in audits.training_audit(s, ["f"], ["y"], "g", "d", "lead").collect()}
+    assert (got["duplicate_sample"], got["split_overlap"], got["split_order"]) == (1, 1, 0)
+    assert seen and min(seen) > before and int(spark.conf.get(parts)) == before
+
+
 def test_dedupe_of_key_only_rows(spark):
     assert sets.dedupe(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], []).count() == 1
 
