@@ -12,6 +12,7 @@ from finecast.errors import DataContractError
 from finecast.functions.columns import close
 from finecast.operators import guards
 from finecast.operators.sets import dedupe, union_chunks
+from finecast.session import bounded_tasks, materialise
 
 
 def next_window(
@@ -50,10 +51,15 @@ def append_new(
 
     Keys are compared null-safe, so a key with a NULL in it is stored once too.
     """
+    return existing.unionByName(unseen(existing, new, keys, order))
+
+
+def unseen(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``new`` that ``append_new`` adds."""
     fresh = dedupe(new, keys, list(order) or list(keys), keep="first").alias("a")
     seen = existing.select(*keys).alias("b")
     same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    return existing.unionByName(fresh.join(seen, same, "left_anti"))
+    return fresh.join(seen, same, "left_anti")
 
 
 def upsert_latest(
@@ -90,11 +96,18 @@ def conflicts(
 def append_strict(
     existing: DataFrame, new: DataFrame, keys: Sequence[str], rtol: float = 1e-10, atol: float = 1e-12
 ) -> DataFrame:
-    """I-04: identical repeats are ignored; a changed repeat raises, be it of a stored row or inside the delivery."""
-    bad = conflicts(existing, new, keys, rtol, atol).limit(guards.EXAMPLES).collect()
-    if bad:
-        raise DataContractError(f"same key, different values: {[r.asDict() for r in bad]}")
-    return append_new(existing, new, keys)
+    """I-04: identical repeats are ignored; a changed repeat raises, be it of a stored row or inside the delivery.
+
+    Both tables are read twice, by the check and by the merge.  Only the rows
+    added are written here.
+    """
+    # Either step keeps one entry per key, so both run at once in small tasks.
+    with bounded_tasks(existing.sparkSession, scans=True):
+        bad = conflicts(existing, new, keys, rtol, atol).limit(guards.EXAMPLES).collect()
+        if bad:
+            raise DataContractError(f"same key, different values: {[r.asDict() for r in bad]}")
+        fresh = materialise(unseen(existing, new, keys), "append-strict")
+    return existing.unionByName(fresh)
 
 
 def date_spine(start: Column, end: Column) -> Column:

@@ -8,7 +8,7 @@ from finecast.functions import geo
 from finecast.operators import ingest, serving
 from finecast.plans.frames import with_
 from finecast.plans.registry import query, r
-from finecast.session import fresh_dir
+from finecast.session import bounded_tasks, fresh_dir, materialise
 from finecast.sources import geojson, hourly, tables
 from finecast.sources.keyed import KeyedArchive
 
@@ -237,8 +237,13 @@ def _(f):
     with_("radar", f"SELECT DISTINCT gp_id, image_id, l_orderkey, l_linenumber FROM radar"),
 )
 def _(f):
-    """A delivery that repeats stored scenes unchanged is absorbed without a conflict."""
+    """A delivery that repeats stored scenes unchanged is absorbed without a conflict.
+
+    The scenes are written once, as check and merge both read them.
+    """
     k = f.radar.select("gp_id", "image_id", "l_orderkey", "l_linenumber").distinct()
+    with bounded_tasks(f.spark, scans=True):
+        k = materialise(k, "scenes")
     return ingest.append_strict(k.filter("l_linenumber <= 4"), k.filter("l_linenumber >= 3"), ["gp_id", "image_id"])
 
 

@@ -69,17 +69,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def bounded_tasks(spark: SparkSession) -> Iterator[None]:
+def bounded_tasks(spark: SparkSession, scans: bool = False) -> Iterator[None]:
     """Inside, shuffles are cut into more pieces, and these are merged up to ``TASK_BYTES`` only.
 
     For a job run at once whose aggregate keeps about one entry per row: keys
     shrink so well in a shuffle that tasks of the usual bytes hold many
-    millions.  The session's own settings hold again afterwards.
+    millions.  ``scans`` bounds the pieces of files too, for partial aggregates
+    right over a scan.  The session's own settings hold again afterwards.
     """
-    parts, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = {k: spark.conf.get(k) for k in (parts, merged)}
+    parts, merged, read = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    before = {k: spark.conf.get(k) for k in (parts, merged, read)}
     spark.conf.set(parts, str(TASK_PIECES * int(before[parts])))
     spark.conf.set(merged, str(TASK_BYTES))
+    if scans:
+        spark.conf.set(read, str(TASK_BYTES))
     try:
         yield
     finally:

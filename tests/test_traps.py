@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from finecast import session
 from finecast.errors import DataContractError
 from finecast.functions import columns as C
 from finecast.functions import weather
@@ -132,6 +133,28 @@ def test_audit_keys_run_in_small_tasks_and_settings_come_back(spark, monkeypatch
     assert seen and min(seen) > before and int(spark.conf.get(parts)) == before
 
 
+def test_strict_append_runs_in_small_tasks_and_settings_come_back(spark, monkeypatch):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+
+    def now():
+        return tuple(spark.conf.get(n) for n in names)
+
+    before, seen = now(), []
+    check, keep = ingest.conflicts, session.materialise
+    monkeypatch.setattr(ingest, "conflicts", lambda *a: seen.append(now()) or check(*a))
+    monkeypatch.setattr(ingest, "materialise", lambda df, label: seen.append(now()) or keep(df, label), raising=False)
+    old = spark.createDataFrame([(1, 10.0), (1, 10.0), (None, 5.0)], "k int, v double")
+    new = spark.createDataFrame([(1, 10.0), (3, 30.0), (3, 30.0), (None, 5.0)], "k int, v double")
+    got = ingest.append_strict(old, new, ["k"])
+    assert sorted((r["k"] or 0, r["v"]) for r in got.collect()) == [(0, 5.0), (1, 10.0), (1, 10.0), (3, 30.0)]
+    assert len(seen) == 2 and now() == before
+    for parts, merged, read in seen:
+        assert int(parts) > int(before[0]) and int(merged) == int(read) == 8 << 20
+    with pytest.raises(DataContractError):
+        ingest.append_strict(old, new.withColumn("v", F.col("v") + 1), ["k"])
+    assert now() == before
+
+
 def test_dedupe_of_key_only_rows(spark):
     assert sets.dedupe(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], []).count() == 1
 
