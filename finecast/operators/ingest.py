@@ -76,7 +76,8 @@ def conflicts(
     """Keys of ``new`` whose rows disagree, with each other or with stored ones, and the columns that differ.
 
     One partial aggregate over both tables (extremes and counts per key), so
-    neither repeated keys nor a hot one multiply rows.
+    neither repeated keys nor a hot one multiply rows.  It keeps one entry per
+    key, so it runs at once, in small tasks.
     """
     values = [c for c in existing.columns if c not in keys]
     numeric = {f.name for f in existing.schema.fields if f.dataType.typeName() in ("double", "float")}
@@ -90,7 +91,8 @@ def conflicts(
         return apart | ((n > 0) & (n < F.col("_n")))
 
     named = F.array_compact(F.array(*[F.when(differs(i, c), F.lit(c)) for i, c in enumerate(values)]))
-    return g.select(*keys, named.alias("differing")).filter(F.size("differing") > 0)
+    with bounded_tasks(existing.sparkSession, scans=True):
+        return materialise(g.select(*keys, named.alias("differing")).filter(F.size("differing") > 0), "conflicts")
 
 
 def append_strict(
@@ -98,14 +100,13 @@ def append_strict(
 ) -> DataFrame:
     """I-04: identical repeats are ignored; a changed repeat raises, be it of a stored row or inside the delivery.
 
-    Both tables are read twice, by the check and by the merge.  Only the rows
-    added are written here.
+    Both tables are read twice, by the check and by the merge, which run at once
+    in small tasks.  Only the rows added are written here.
     """
-    # Either step keeps one entry per key, so both run at once in small tasks.
+    bad = conflicts(existing, new, keys, rtol, atol).limit(guards.EXAMPLES).collect()
+    if bad:
+        raise DataContractError(f"same key, different values: {[r.asDict() for r in bad]}")
     with bounded_tasks(existing.sparkSession, scans=True):
-        bad = conflicts(existing, new, keys, rtol, atol).limit(guards.EXAMPLES).collect()
-        if bad:
-            raise DataContractError(f"same key, different values: {[r.asDict() for r in bad]}")
         fresh = materialise(unseen(existing, new, keys), "append-strict")
     return existing.unionByName(fresh)
 
